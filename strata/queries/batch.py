@@ -351,7 +351,7 @@ def contained_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STATS_SQL = """
-    SELECT user_id, 1 AS workout_id, day(ts) AS session_id, time_bucket(INTERVAL 1 DAY, ts) AS end_time,
+    SELECT user_id, 1 AS workout_id, CAST(day(ts) AS INTEGER) AS session_id, time_bucket(INTERVAL 1 DAY, ts) AS end_time,
            min(heartrate) AS min_bpm, round(avg(heartrate), 4) AS avg_bpm, max(heartrate) AS max_bpm,
            count(heartrate) AS num_recordings
     FROM (SELECT *, CASE WHEN event_type <> 'error' THEN round(value - 20, 4) END AS heartrate FROM events)

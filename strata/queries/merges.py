@@ -178,7 +178,7 @@ def rewards_additive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT CAST(event_id AS VARCHAR) AS key, event_type AS topic, 0 AS partition, event_id AS "offset",
+    SELECT CAST(event_id AS VARCHAR) AS key, event_type AS topic, CAST(0 AS BIGINT) AS partition, event_id AS "offset",
            CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k
     FROM events
 """)

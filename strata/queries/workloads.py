@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.plans.invoices import InvoiceFolders, flatten, ingest, stream_line_items
 from strata.plans.workouts import Gym
 from strata.queries.batch import (
-    AS_OF, BINS_SQL, INVOICE_SQL, as_of, date_lookup_of, invoices_of, profiles_of, users_of,
+    BINS_SQL, INVOICE_SQL, as_of, date_lookup_of, invoices_of, profiles_of, users_of,
 )
 from strata.queries.registry import (
     events, plain_times, query, rounded, run_folder, streaming_session, table, table_stream, text,
@@ -42,7 +42,8 @@ def invoice_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderkey, o_custkey, year(o_orderdate) AS year, dayofyear(o_orderdate) AS dayofyear,
+    SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+           CAST(dayofyear(o_orderdate) AS INTEGER) AS dayofyear,
            CASE WHEN dayofweek(o_orderdate) IN (0, 6) THEN 'weekend' ELSE 'weekday' END AS week_part
     FROM orders
 """)
@@ -90,19 +91,29 @@ def _land_gym(session: SparkSession, sf_dir: str, landing: str) -> None:
             "user_id", F.lit("new").alias("update_type"), F.lit(1.7e9).alias("timestamp"),
             F.date_format("dob", "MM/dd/yyyy").alias("dob"), "gender",
             F.struct("city", "state").alias("address"))).alias("value"))
-    action = F.when(F.col("event_type") == "click", "start").otherwise("stop")
-    work = source.where("event_type IN ('click', 'purchase')").select(
-        "user_id", second.alias("second"), F.lit("workout").alias("topic"),
-        F.to_json(F.struct(
-            "user_id", F.lit(1).alias("workout_id"), second.cast("double").alias("timestamp"),
-            action.alias("action"), F.dayofmonth("ts").alias("session_id"))).alias("value"))
-    bpm = source.where("event_type IN ('view', 'error')").select(
-        "user_id", second.alias("second"), F.lit("bpm").alias("topic"),
+    clicks = source.where("event_type = 'click'").select(
+        "user_id", "event_id", "value", second.alias("begun"),
+        (second + F.round(F.col("value") * 120).cast("long")).alias("ended"))
+
+    def work(action: str, second: str) -> DataFrame:
+        return clicks.select(
+            "user_id", F.col(second).alias("second"), F.lit("workout").alias("topic"),
+            F.to_json(F.struct(
+                "user_id", F.lit(1).alias("workout_id"), F.col(second).cast("double").alias("timestamp"),
+                F.lit(action).alias("action"), F.col("event_id").alias("session_id"))).alias("value"))
+
+    # Three readings per session, of which some come after its end or are not valid.
+    minute = F.explode(F.array(F.lit(0), F.lit(10), F.lit(60)))
+    read = clicks.withColumn("minute", minute).select(
+        "user_id", (F.col("begun") + F.col("minute") * 60 + 1).alias("second"),
+        F.round(F.col("value") - 5 + F.col("minute"), 4).alias("heartrate"))
+    bpm = read.select(
+        "user_id", "second", F.lit("bpm").alias("topic"),
         F.to_json(F.struct(
             (F.col("user_id") * 7).alias("device_id"),
-            F.date_format(F.date_trunc("second", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
-            F.round(F.col("value") - 5, 4).alias("heartrate"))).alias("value"))
-    for messages in (info, work, bpm):
+            F.date_format(F.timestamp_seconds("second"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
+            "heartrate")).alias("value"))
+    for messages in (info, work("start", "begun"), work("stop", "ended"), bpm):
         messages.select(
             text("user_id").alias("key"), "value", "topic", F.lit(0).alias("partition"),
             F.col("second").alias("offset"), F.col("second").alias("timestamp"),
@@ -110,29 +121,18 @@ def _land_gym(session: SparkSession, sf_dir: str, landing: str) -> None:
 
 
 @query(f"""
-    WITH work AS (
-        SELECT DISTINCT ON (user_id, s) user_id, date_trunc('second', ts) AS s, event_type, day(ts) AS session_id
-        FROM events WHERE event_type IN ('click', 'purchase')
-        ORDER BY user_id, s, session_id, CASE WHEN event_type = 'click' THEN 'start' ELSE 'stop' END),
-    done AS (
-        SELECT user_id, session_id, start_time, end_time FROM (
-            SELECT a.user_id, a.session_id, a.s AS start_time, b.s AS end_time,
-                   row_number() OVER (PARTITION BY a.user_id, a.session_id ORDER BY a.s, b.s) AS n
-            FROM work a JOIN work b ON a.user_id = b.user_id AND a.session_id = b.session_id
-            WHERE a.event_type = 'click' AND b.event_type = 'purchase'
-              AND b.s >= a.s AND b.s < a.s + INTERVAL 3 HOUR) WHERE n = 1),
-    rates AS (
-        SELECT user_id, s, heartrate FROM (
-            SELECT user_id, date_trunc('second', ts) AS s, round(value - 5, 4) AS heartrate,
-                   row_number() OVER (
-                       PARTITION BY user_id, date_trunc('second', ts)
-                       ORDER BY (round(value - 5, 4) > 0) DESC, round(value - 5, 4)) AS n
-            FROM events WHERE event_type IN ('view', 'error'))
-        WHERE n = 1 AND heartrate > 0),
+    WITH done AS (
+        SELECT user_id, event_id AS session_id, date_trunc('second', ts) AS start_time,
+               date_trunc('second', ts) + to_seconds(CAST(round(value * 120) AS BIGINT)) AS end_time, value
+        FROM events WHERE event_type = 'click'),
+    readings AS (
+        SELECT user_id, start_time + to_seconds(m * 60 + 1) AS s, round(value - 5 + m, 4) AS heartrate
+        FROM done, (SELECT unnest([0, 10, 60]) AS m)),
     bpm AS (
         SELECT d.user_id, d.session_id, d.end_time, r.heartrate
-        FROM done d JOIN rates r ON r.user_id = d.user_id AND r.s > d.start_time AND r.s <= d.end_time
-        WHERE d.user_id IN (SELECT c_custkey FROM customer)),
+        FROM done d JOIN readings r ON r.user_id = d.user_id AND r.s > d.start_time AND r.s <= d.end_time
+        WHERE r.heartrate > 0 AND d.end_time < d.start_time + INTERVAL 3 HOUR
+          AND d.end_time < r.s + INTERVAL 3 HOUR AND d.user_id IN (SELECT c_custkey FROM customer)),
     stats AS (
         SELECT user_id, session_id, min(heartrate) AS min_bpm, avg(heartrate) AS avg_bpm,
                max(heartrate) AS max_bpm, count(*) AS num_recordings
@@ -152,6 +152,3 @@ def gym_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     gym.dates.overwrite(date_lookup_of(days))
     gym.run()
     return plain_times(rounded(gym.tables["workout_bpm_summary"].read(), "avg_bpm"))
-
-
-__all__ = ["AS_OF", "gym_layers", "invoice_layers", "invoice_table_stream", "table_lifecycle"]

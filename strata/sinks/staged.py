@@ -63,6 +63,13 @@ def _split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Dat
     return df.where(~missing), df.where(missing)
 
 
+def _fits_broadcast(kept: DataFrame) -> bool:
+    """Whether Catalyst would broadcast a kept batch, going by its actual size in memory."""
+    size = kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = kept.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= limit
+
+
 class SnapshotTable(_Staged):
     """A table whose whole content is replaced by every batch (complete output mode)."""
 
@@ -134,9 +141,7 @@ class InsertTable(_Staged):
         target = f"{self.data}/writer={writer}/batch={batch_id}"
         if self.fs.exists(target):
             return False
-        keyed, unkeyed = _split_null_keys(self._conform(source), self.keys)
-        candidates = first_per_key(keyed, self.keys, order).unionByName(unkeyed)
-        with _kept(candidates) as rows:
+        with _kept(self._conform(source)) as rows:
             bounds = [F.count("*").alias("n")]
             if range_column:
                 bounds += [
@@ -144,7 +149,8 @@ class InsertTable(_Staged):
             facts = rows.agg(*bounds).first()
             if facts.n == 0:
                 return False
-            new = rows
+            keyed, unkeyed = _split_null_keys(rows, self.keys)
+            new = first_per_key(keyed, self.keys, order)
             if self.fs.names(self.data):
                 stored = self.read()
                 if range_column and facts.lo is not None:
@@ -153,9 +159,9 @@ class InsertTable(_Staged):
                     stored = stored.where(F.col(range_column).between(low, high))
                 # Reduce the table to the batch's keys first: with a small batch this is a
                 # broadcast of the batch, and the table is scanned but never shuffled.
-                known = stored.select(*self.keys).join(rows.select(*self.keys), self.keys, "left_semi")
-                new = rows.join(known, self.keys, "left_anti")
-            self._publish(new, target)
+                known = stored.select(*self.keys).join(keyed.select(*self.keys), self.keys, "left_semi")
+                new = new.join(known, self.keys, "left_anti")
+            self._publish(new.unionByName(unkeyed), target)
         return True
 
 
@@ -290,9 +296,16 @@ class UpsertTable(_Staged):
         s = once.select(*self.keys, F.when(F.col("_copies") > 1, F.raise_error(complaint).cast(row_type))
                         .otherwise(F.col("s")).alias("s"))
         t = stored.select(*self.keys, F.struct(*stored.columns).alias("t"))
-        pairs = t.alias("a").join(
-            s.alias("b"), [F.col(f"a.{k}") == F.col(f"b.{k}") for k in self.keys], "full_outer",
-        ).select("t", "s")
+        on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in self.keys]
+        if _fits_broadcast(rows):
+            # The stored side stays where it is: the batch is broadcast to it, and what it
+            # matched, no more than the batch itself, tells the new rows apart.
+            pairs = t.alias("a").join(s.alias("b"), on, "left_outer").select("t", "s")
+            known = t.alias("a").join(keyed.select(*self.keys).alias("b"), on, "left_semi").select(*self.keys)
+            new = s.join(known, self.keys, "left_anti")
+            pairs = pairs.unionByName(new.select(F.lit(None).cast(t.schema["t"].dataType).alias("t"), "s"))
+        else:
+            pairs = t.alias("a").join(s.alias("b"), on, "full_outer").select("t", "s")
 
         both = F.col("t").isNotNull() & F.col("s").isNotNull()
         tests = [both if cond is None else both & F.expr(cond) for cond, _ in matched]
