@@ -28,6 +28,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small else df
 
 
+def matching(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of a large static table that a small batch asks for.
+
+    A left join cannot broadcast its left side. Cutting the table down to the batch's keys
+    first can, so the table is scanned for the batch but not shuffled.
+    """
+    return table.join(rows.select(*keys), list(keys), "left_semi")
+
+
 def with_week_part(messages: DataFrame, dates: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Adds ``date`` and ``week_part`` of the message time; messages without a match keep nulls."""
     lookup = broadcast_if_small(dates.select("date", "week_part"), max_rows)

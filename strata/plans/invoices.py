@@ -13,11 +13,11 @@ from strata.operators.latest import first_per_key
 from strata.operators.messages import text_log, where
 from strata.operators.nested import line_items
 from strata.schemas import INVOICE, TABLES
-from strata.sinks.staged import SET_ALL, SnapshotTable, UpsertTable
+from strata.sinks.staged import SET_ALL, InsertTable, SnapshotTable, UpsertTable
 from strata.sources.files import stream_files, with_source_file
 from strata.sources.log import LogConnection
 from strata.sinks.log import log_writer
-from strata.streaming.jobs import Job, append_to_path, append_to_table, replace_snapshot, upsert
+from strata.streaming.jobs import Job, append_to_path, append_to_table, insert_new, replace_snapshot, upsert
 
 REWARD_KEY = ["CustomerCardNo"]
 
@@ -64,14 +64,27 @@ def flatten(spark: SparkSession, folders: InvoiceFolders, every: str | None = No
 # -- raw message ingest ----------------------------------------------------------------
 
 
-def message_table(spark: SparkSession, root: str, key: list[str] | None = None, buckets: int = 16) -> UpsertTable:
-    return UpsertTable(spark, root, TABLES["invoice_messages"], key or POSITION_KEY, buckets)
+def message_table(
+    spark: SparkSession, root: str, key: list[str] | None = None, buckets: int = 16,
+) -> InsertTable | UpsertTable:
+    """A table that holds each message once.
 
+    Messages of one position are the same message, so by position nothing is ever updated: the
+    table only grows, and streams can read it. By content, a repeated message takes the place
+    of the stored one.
+    """
+    key, schema = key or POSITION_KEY, TABLES["invoice_messages"]
+    if key == POSITION_KEY:
+        return InsertTable(spark, root, schema, key)
+    return UpsertTable(spark, root, schema, key, buckets, "timestamp" if "timestamp" in key else None)
 
-def ingest_messages(log: DataFrame, table: UpsertTable, job: Job) -> StreamingQuery:
-    """Log records into a table that holds each once, however often they are delivered."""
+
+def ingest_messages(log: DataFrame, table: InsertTable | UpsertTable, job: Job) -> StreamingQuery:
+    """Log records into a message table, however often they are delivered."""
     others = [c for c in table.columns if c not in table.keys]
     order = [F.col(c).asc_nulls_last() for c in others]
+    if isinstance(table, InsertTable):
+        return insert_new(text_log(log), table, job, order, range_column="offset")
 
     def once(rows: DataFrame) -> DataFrame:
         return first_per_key(rows, table.keys, order)

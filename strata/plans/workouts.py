@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.functions.temporal import epoch_to_timestamp
 from strata.operators.aggregates import reading_stats
 from strata.operators.joins import (
-    containment_join, interval_join, presence_report, profile_bins, with_bins, with_device, with_week_part,
+    containment_join, interval_join, matching, presence_report, profile_bins, with_bins, with_device,
+    with_week_part,
 )
 from strata.operators.latest import latest_changes, latest_per_key
 from strata.operators.messages import actions, heart_rates, profile_changes, valid_only, workout_events
@@ -37,10 +38,12 @@ KEYS = {
     "workouts": ["user_id", "time"],
     "heart_rate": ["device_id", "time"],
     "completed_workouts": SESSION,
+    "session_devices": SESSION,
     "workout_bpm": [*SESSION, "time"],
     "workout_bpm_summary": SESSION,
 }
 UPDATED_TABLES = {"gym_logs", "user_profile", "user_bins"}
+GROWING = {"gym_logs": "login"}  # updated tables that grow with event time
 
 LATER_LOGOUT = [("s.logout > t.login AND s.logout > t.logout", {"logout": "s.logout"})]
 NEWER_PROFILE = [("t.updated < s.updated", SET_ALL)]
@@ -70,7 +73,7 @@ class Gym:
         for name, keys in KEYS.items():
             at, schema = f"{self.root}/{name}", TABLES[name]
             self.tables[name] = (
-                UpsertTable(self.spark, at, schema, keys, self.buckets) if name in UPDATED_TABLES
+                UpsertTable(self.spark, at, schema, keys, self.buckets, GROWING.get(name)) if name in UPDATED_TABLES
                 else InsertTable(self.spark, at, schema, keys)
             )
         self.dates = SnapshotTable(self.spark, f"{self.root}/date_lookup", DATE_LOOKUP)
@@ -168,7 +171,8 @@ class Gym:
 
         def current(rows: DataFrame) -> DataFrame:
             newest = latest_per_key(rows, KEYS["user_profile"], "updated")
-            return profile_bins(newest, self.tables["users"].read(), self.as_of)
+            users = matching(self.tables["users"].read(), newest, ["user_id"])
+            return profile_bins(newest, users, self.as_of)
 
         return upsert(
             profiles, self.tables["user_bins"], self.job("user_bins", "silver_p3"), [(None, SET_ALL)],
@@ -184,13 +188,22 @@ class Gym:
             interval_join(starts, stops, SESSION), self.tables["completed_workouts"],
             self.job("completed_workouts", "silver_p1"), order=["start_time", "end_time"])
 
+    def silver_devices(self) -> StreamingQuery:
+        """Finished sessions with the user's device, by the users registered at that moment.
+
+        A static side joined inside a running stream would keep the users of its start.
+        """
+        def with_current_devices(rows: DataFrame) -> DataFrame:
+            return with_device(rows, self.tables["users"].read())
+
+        return insert_new(
+            self.tables["completed_workouts"].stream(), self.tables["session_devices"],
+            self.job("session_devices", "silver_p1"), order=["start_time", "end_time"],
+            prepare=with_current_devices)
+
     def silver_bpm(self) -> StreamingQuery:
         """Valid readings taken during a finished session."""
-        def with_current_devices(sessions: DataFrame) -> DataFrame:
-            return with_device(sessions, self.tables["users"].read())
-
-        sessions = watermarked(
-            with_current_devices(self.tables["completed_workouts"].stream()), "end_time", self._join_lateness)
+        sessions = watermarked(self.tables["session_devices"].stream(), "end_time", self._join_lateness)
         readings = watermarked(
             valid_only(self.tables["heart_rate"].stream()).select("device_id", "time", "heartrate"),
             "time", self._join_lateness)
@@ -231,6 +244,7 @@ class Gym:
             [self.silver_users, self.silver_gym_logs, self.silver_profiles, self.silver_workouts,
              self.silver_heart_rate],
             [self.silver_bins, self.silver_completed],
+            [self.silver_devices],
             [self.silver_bpm],
             [self.gold_summary],
         ]

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from strata.operators.latest import latest_per_key
 from strata.plans.invoices import (
-    ingest_messages, message_table, rewards_additive, rewards_complete, rewards_replace, rewards_table,
+    CONTENT_KEY, POSITION_KEY, ingest_messages, message_table, rewards_additive, rewards_complete,
+    rewards_replace, rewards_table,
 )
 from strata.plans.workouts import LATER_LOGOUT, NEWER_PROFILE
 from strata.queries.batch import REWARDS_SQL, invoices_from_orders, log_of
@@ -135,7 +136,8 @@ def merge_if_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def merge_later_logout(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = UpsertTable(
-        spark, run_folder(spark, "merge_later_logout"), TABLES["gym_logs"], ["mac_address", "gym", "login"], buckets=8)
+        spark, run_folder(spark, "merge_later_logout"), TABLES["gym_logs"],
+        ["mac_address", "gym", "login"], buckets=2, day_of="login")
     for i, (_, load) in enumerate(reversed(_loads(spark, sf_dir))):
         rows = load.groupBy(
             F.concat(F.lit("mac"), F.col("o_custkey").cast("string")).alias("mac_address"),
@@ -177,18 +179,30 @@ def rewards_additive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(totals.read(), "TotalAmount", "TotalPoints")
 
 
-@query("""
-    SELECT CAST(event_id AS VARCHAR) AS key, event_type AS topic, CAST(0 AS BIGINT) AS partition, event_id AS "offset",
-           CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k
+MESSAGES_SQL = """
+    SELECT CAST(event_id AS VARCHAR) AS key, event_type AS topic, CAST(0 AS BIGINT) AS partition,
+           event_id AS "offset", CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k
     FROM events
-""")
-def idempotent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log whose records are delivered twice, within and across loads; each is stored once."""
-    session, folder = streaming_session(spark), run_folder(spark, "idempotent_ingest")
+"""
+
+
+def _twice_delivered(spark: SparkSession, sf_dir: str, name: str, key: list[str]) -> DataFrame:
+    """A log whose records come twice, within and across loads, into a table that keeps each once."""
+    session, folder = streaming_session(spark), run_folder(spark, name)
     log = log_of(events(table(session, sf_dir, "events")))
     twice = log.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
-    stored = message_table(spark, f"{folder}/table", buckets=8)
+    stored = message_table(spark, f"{folder}/table", key, buckets=8)
     source = in_batches(session, twice, f"{folder}/landing", loads=2).drop("delivery")
     await_all([ingest_messages(source, stored, Job("ingest", f"{folder}/checkpoint"))])
     k = F.get_json_object(F.get_json_object("value", "$.props"), "$.k").cast("long")
     return stored.read().select("key", "topic", "partition", "offset", k.alias("k"))
+
+
+@query(MESSAGES_SQL)
+def ingest_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _twice_delivered(spark, sf_dir, "ingest_by_position", POSITION_KEY)
+
+
+@query(MESSAGES_SQL)
+def ingest_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _twice_delivered(spark, sf_dir, "ingest_by_content", CONTENT_KEY)

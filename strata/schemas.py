@@ -52,6 +52,10 @@ TABLES = {
     "completed_workouts": """
         user_id bigint, workout_id bigint, session_id bigint, start_time timestamp, end_time timestamp
     """,
+    "session_devices": """
+        user_id bigint, device_id bigint, workout_id bigint, session_id bigint, start_time timestamp,
+        end_time timestamp
+    """,
     "workout_bpm": """
         user_id bigint, workout_id bigint, session_id bigint, start_time timestamp, end_time timestamp,
         time timestamp, heartrate double

@@ -25,8 +25,9 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# Batch shuffles start wide and are coalesced by AQE; this many tasks per core.
+# On a cluster, batch shuffles start with this many tasks per core and AQE coalesces them.
 BATCH_TASKS_PER_CORE = 4
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def build_session(
@@ -47,17 +48,21 @@ def build_session(
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    cores = spark.sparkContext.defaultParallelism
+    width = spark.sparkContext.defaultParallelism
     if "spark.sql.shuffle.partitions" not in settings:
-        spark.conf.set("spark.sql.shuffle.partitions", str(cores))
-    if "spark.sql.adaptive.coalescePartitions.initialPartitionNum" not in settings:
-        spark.conf.set(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-            str(cores * BATCH_TASKS_PER_CORE),
-        )
+        spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    if _INITIAL not in settings:
+        spark.conf.set(_INITIAL, str(_batch_width(spark)))
     return spark
 
 
+def _batch_width(spark: SparkSession) -> int:
+    """Partitions a batch shuffle starts with, for AQE to coalesce."""
+    context = spark.sparkContext
+    per_core = 1 if context.master.startswith("local") else BATCH_TASKS_PER_CORE
+    return context.defaultParallelism * per_core
+
+
 def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session set up for stateful queries, leaving the caller's settings alone.
 
@@ -69,6 +74,7 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
     for key, value in {**COMMON_CONF, **STATE_CONF}.items():
         session.conf.set(key, value)
     session.conf.set("spark.sql.shuffle.partitions", str(width))
+    session.conf.set(_INITIAL, str(max(width, _batch_width(spark))))
     return session
 
 

@@ -16,7 +16,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.operators.latest import first_per_key
 from strata.sources.fs import SharedFs
@@ -175,13 +175,22 @@ class UpsertTable(_Staged):
     A manifest names the current folder of every bucket and the last batch of every writer.
     It is replaced by one rename, which is what commits a merge. Files also hold the commit
     that last changed a row; sorted on it, they double as the table's change feed.
+
+    ``day_of`` names a key column of event time for tables that grow with time: every day then
+    has its own set of buckets, so a batch rewrites the days it holds and leaves the rest alone.
     """
 
     _CHANGED = "_changed_in"
 
-    def __init__(self, spark: SparkSession, root: str, schema: str, keys: Sequence[str], buckets: int = 16):
+    def __init__(
+        self, spark: SparkSession, root: str, schema: str, keys: Sequence[str], buckets: int = 16,
+        day_of: str | None = None,
+    ):
         super().__init__(spark, root, schema)
+        if day_of is not None and day_of not in keys:
+            raise ValueError(f"day_of has to be one of the keys {list(keys)}, not {day_of}")
         self.keys = list(keys)
+        self.day_of = day_of
         manifest = self._manifest()
         self.buckets = manifest["width"] or buckets
 
@@ -213,7 +222,11 @@ class UpsertTable(_Staged):
         for key in self.keys:
             missing = missing | F.col(key).isNull()
         spread = F.when(missing, F.xxhash64(*self.columns)).otherwise(of_keys)
-        return F.pmod(spread, F.lit(self.buckets)).cast("int")
+        bucket = F.pmod(spread, F.lit(self.buckets))
+        if self.day_of:
+            day = F.coalesce(F.unix_date(F.to_date(self.day_of)), F.lit(0))
+            bucket = bucket + day * self.buckets
+        return bucket.cast("long")
 
     def _read_buckets(self, manifest: dict, wanted: Sequence[int] | None = None) -> DataFrame:
         paths = [
@@ -231,7 +244,7 @@ class UpsertTable(_Staged):
     def stream(self, starting_commit: int = 0, **options: str) -> DataFrame:
         """Inserted and updated rows as a stream, each in the state its commit gave it."""
         stored = StructType([
-            *self._stored_schema(), StructField("commit", LongType()), StructField("bucket", IntegerType())])
+            *self._stored_schema(), StructField("commit", LongType()), StructField("bucket", LongType())])
         rows = self.spark.readStream.options(**options).schema(stored).parquet(self.data)
         rows = rows.where(F.col(self._CHANGED) == F.col("commit"))
         if starting_commit:

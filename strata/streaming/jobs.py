@@ -48,7 +48,17 @@ def for_each_batch(
     df: DataFrame, action: Callable[[DataFrame, int], None], job: Job, mode: str = "append",
 ) -> StreamingQuery:
     """Hand every micro-batch to ``action(rows, batch_id)`` as a static DataFrame."""
-    return job.writer(df, mode).foreachBatch(action).start()
+    def adaptive(rows: DataFrame, batch_id: int) -> None:
+        # Stateful queries run with adaptive execution off, and hand that setting down to what
+        # is done with their batches. That work is plain batch work, so it gets it back.
+        conf = rows.sparkSession.conf
+        before = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")
+        try:
+            action(rows, batch_id)
+        finally:
+            conf.set("spark.sql.adaptive.enabled", before)
+    return job.writer(df, mode).foreachBatch(adaptive).start()
 
 
 def replace_snapshot(df: DataFrame, table: SnapshotTable, job: Job) -> StreamingQuery:
