@@ -130,10 +130,12 @@ class InsertTable(_Staged):
 
     def insert_new(
         self, source: DataFrame, writer: str, batch_id: int,
-        order: Sequence[Column | str], range_column: str | None = None,
+        order: Sequence[Column | str] = (), range_column: str | None = None,
     ) -> bool:
         """Insert rows whose key is not in the table; of equal new keys the first in order.
 
+        Columns the order leaves out break its ties.
+
         ``range_column`` names a key column along which the table's files are clustered, such
         as event time: the table scan then skips files outside the batch's range.
         Returns False if there was nothing to do.
@@ -150,7 +152,8 @@ class InsertTable(_Staged):
             if facts.n == 0:
                 return False
             keyed, unkeyed = _split_null_keys(rows, self.keys)
-            new = first_per_key(keyed, self.keys, order)
+            ties = [F.col(c).asc_nulls_last() for c in self.columns if c not in self.keys]
+            new = first_per_key(keyed, self.keys, [*order, *(ties or self.keys)])
             if self.fs.names(self.data):
                 stored = self.read()
                 if range_column and facts.lo is not None:
@@ -306,19 +309,19 @@ class UpsertTable(_Staged):
             F.count("*").alias("_copies"), F.first(F.struct(*self.columns)).alias("s"))
         complaint = F.concat(F.lit("source holds a key more than once: "), F.to_json(F.struct(*self.keys)))
         row_type = once.schema["s"].dataType
-        s = once.select(*self.keys, F.when(F.col("_copies") > 1, F.raise_error(complaint).cast(row_type))
+        s = once.select(F.when(F.col("_copies") > 1, F.raise_error(complaint).cast(row_type))
                         .otherwise(F.col("s")).alias("s"))
-        t = stored.select(*self.keys, F.struct(*stored.columns).alias("t"))
-        on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in self.keys]
+        t = stored.select(F.struct(*stored.columns).alias("t"))
+        on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in self.keys]
         if _fits_broadcast(rows):
             # The stored side stays where it is: the batch is broadcast to it, and what it
             # matched, no more than the batch itself, tells the new rows apart.
-            pairs = t.alias("a").join(s.alias("b"), on, "left_outer").select("t", "s")
-            known = t.alias("a").join(keyed.select(*self.keys).alias("b"), on, "left_semi").select(*self.keys)
-            new = s.join(known, self.keys, "left_anti")
-            pairs = pairs.unionByName(new.select(F.lit(None).cast(t.schema["t"].dataType).alias("t"), "s"))
+            asked = keyed.select(F.struct(*self.keys).alias("s"))
+            known = t.join(asked, on, "left_semi").select(F.struct(*[f"t.{k}" for k in self.keys]).alias("t"))
+            new = s.join(known, on, "left_anti").select(F.lit(None).cast(t.schema["t"].dataType).alias("t"), "s")
+            pairs = t.join(s, on, "left_outer").unionByName(new)
         else:
-            pairs = t.alias("a").join(s.alias("b"), on, "full_outer").select("t", "s")
+            pairs = t.join(s, on, "full_outer")
 
         both = F.col("t").isNotNull() & F.col("s").isNotNull()
         tests = [both if cond is None else both & F.expr(cond) for cond, _ in matched]

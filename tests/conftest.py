@@ -14,6 +14,7 @@ def base_spark(tmp_path_factory):
         "spark.sql.warehouse.dir": str(root / "warehouse"),
         "spark.checkpoint.dir": str(root / "shared"),
         "spark.driver.memory": "4g",
+        "spark.sql.maxMetadataStringLength": "5000",
         "spark.sql.streaming.noDataMicroBatches.enabled": "true",
     })
     spark.sparkContext.setLogLevel("ERROR")
