@@ -6,6 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _literal(separator: str) -> str:
+    """A pattern for the separator itself; one escaped character is split without the regex engine."""
+    if len(separator) == 1:
+        return separator if separator.isalnum() or separator.isspace() else f"\\{separator}"
+    return rf"\Q{separator}\E"
+
+
 def split_words(text: Column, separator: str = " ") -> Column:
     """Pieces between separators; empty pieces and line breaks inside pieces stay."""
     return F.split(text, _literal(separator))
@@ -20,10 +27,6 @@ def has_letter(word: Column) -> Column:
     return word.rlike("[a-z]")
 
 
-def _literal(separator: str) -> str:
-    return separator if separator.isspace() else rf"\Q{separator}\E"
-
-
 def split_records(text: Column, separator: str = ".") -> Column:
     """The records a text reader with this line separator would make of the text."""
     return F.split(text, _literal(separator))

@@ -21,14 +21,17 @@ from strata.operators.joins import (
 )
 from strata.operators.latest import latest_changes, latest_per_key
 from strata.operators.messages import actions, heart_rates, profile_changes, valid_only, workout_events
-from strata.schemas import DATE_LOOKUP, GYM_LOGIN, LINEAGE, MESSAGE, REGISTERED_USER, TABLES
+from strata.schemas import DATE_LOOKUP, GYM_LOGIN, LINEAGE, MESSAGE, REGISTERED_USER, STORED_MESSAGE, TABLES
 from strata.sinks.staged import SET_ALL, InsertTable, SnapshotTable, UpsertTable
 from strata.sources.files import read_json_file, stream_csv, stream_json
+from strata.sources.fs import SharedFs
 from strata.streaming.jobs import Job, append_to_path, insert_new, run_stages, upsert
 from strata.streaming.state import LATENESS, watermarked, without_duplicates
 
 SESSION = ["user_id", "workout_id", "session_id"]
 
+BRONZE = ["registered_users_bz", "gym_logins_bz", "kafka_multiplex_bz"]
+
 # Keys that identify a row of each table.
 KEYS = {
     "users": ["user_id"],
@@ -76,6 +79,9 @@ class Gym:
                 UpsertTable(self.spark, at, schema, keys, self.buckets, GROWING.get(name)) if name in UPDATED_TABLES
                 else InsertTable(self.spark, at, schema, keys)
             )
+        # Streams of later layers may start before the layer below has written anything.
+        for name in BRONZE:
+            SharedFs(self.spark, self.root).mkdirs(f"{self.root}/{name}")
         self.dates = SnapshotTable(self.spark, f"{self.root}/date_lookup", DATE_LOOKUP)
 
     def job(self, name: str, pool: str) -> Job:
@@ -111,8 +117,7 @@ class Gym:
         return self.spark.readStream.schema(f"{schema}, {LINEAGE}").parquet(f"{self.root}/{name}")
 
     def _messages(self) -> DataFrame:
-        schema = f"{MESSAGE}, {LINEAGE}, date date, week_part string"
-        return self.spark.readStream.schema(schema).parquet(f"{self.root}/kafka_multiplex_bz")
+        return self.spark.readStream.schema(STORED_MESSAGE).parquet(f"{self.root}/kafka_multiplex_bz")
 
     def _distinct(self, rows: DataFrame, table: str, event_time: str, keys: list[str] | None = None) -> DataFrame:
         if self.lateness is None:

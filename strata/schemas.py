@@ -70,5 +70,12 @@ TABLES = {
     """,
 }
 
+# Messages as stored: partition columns last, where a scan puts them. A stream over a folder that is
+# still empty does not know them as such yet, and pairs columns by position.
+STORED_MESSAGE = """
+    key string, value string, partition bigint, offset bigint, timestamp bigint,
+    load_time timestamp, source_file string, date date, topic string, week_part string
+"""
+
 # Columns that a bronze file ingest appends to its input schema.
 LINEAGE = "load_time timestamp, source_file string"

@@ -61,21 +61,27 @@ def for_each_batch(
     return job.writer(df, mode).foreachBatch(adaptive).start()
 
 
+def _settle(written: bool, rows: DataFrame) -> None:
+    """A batch that the table already holds still has to run, or the query's state misses it."""
+    if not written:
+        rows.count()
+
+
 def replace_snapshot(df: DataFrame, table: SnapshotTable, job: Job) -> StreamingQuery:
     """Complete output: every batch replaces the table."""
     def replace(rows: DataFrame, batch_id: int) -> None:
-        table.replace(rows, writer_id(rows.sparkSession), batch_id)
+        _settle(table.replace(rows, writer_id(rows.sparkSession), batch_id), rows)
     return for_each_batch(df, replace, job, "complete")
 
 
 def insert_new(
-    df: DataFrame, table: InsertTable, job: Job, order: Sequence, range_column: str | None = None,
+    df: DataFrame, table: InsertTable, job: Job, order: Sequence = (), range_column: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows, mode: str = "append",
 ) -> StreamingQuery:
     """Insert each batch's rows whose key is new. ``prepare`` shapes the batch first; static
     tables it joins are read as they stand at that moment."""
     def insert(rows: DataFrame, batch_id: int) -> None:
-        table.insert_new(prepare(rows), writer_id(rows.sparkSession), batch_id, order, range_column)
+        _settle(table.insert_new(prepare(rows), writer_id(rows.sparkSession), batch_id, order, range_column), rows)
     return for_each_batch(df, insert, job, mode)
 
 
@@ -85,7 +91,7 @@ def upsert(
 ) -> StreamingQuery:
     """Merge each batch into the table. ``prepare`` shapes the batch first, such as to one row per key."""
     def merge(rows: DataFrame, batch_id: int) -> None:
-        table.merge(prepare(rows), writer_id(rows.sparkSession), batch_id, matched)
+        _settle(table.merge(prepare(rows), writer_id(rows.sparkSession), batch_id, matched), rows)
     return for_each_batch(df, merge, job, mode)
 
 

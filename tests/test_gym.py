@@ -162,3 +162,30 @@ def test_another_run_changes_nothing(gym):
     before = {name: rows(t.read()) for name, t in gym.tables.items()}
     gym.run()
     assert {name: rows(t.read()) for name, t in gym.tables.items()} == before
+
+
+def test_continuous_mode_over_both_sets(spark, tmp_path):
+    """All layers at once, started on empty tables; the outcome is that of running them in turn."""
+    landing = str(tmp_path / "landing")
+    for name in ("registered_users_bz", "gym_logins_bz", "kafka_multiplex_bz"):
+        Path(landing, name).mkdir(parents=True)
+    gym = Gym(spark, landing, str(tmp_path / "tables"), every="1 second", buckets=1,
+              as_of=F.to_date(F.lit("2023-11-14")))
+    queries = gym.run()
+    try:
+        for produce in (first_set, second_set):
+            produce(landing)
+            # A batch goes down the layers one trigger at a time.
+            for _ in range(2):
+                for query in queries:
+                    query.processAllAvailable()
+        assert all(q.isActive for q in queries)
+    finally:
+        for query in queries:
+            query.stop()
+    assert table(gym, "users", "user_id", "device_id") == [(1, 101), (2, 102), (3, 103)]
+    assert table(gym, "user_bins", "user_id", "age", "city") == [(1, "18-25", "Moved"), (2, "65-75", "City")]
+    assert table(gym, "completed_workouts", "user_id", "session_id") == [(1, 1), (2, 1)]
+    assert len(table(gym, "workout_bpm", "time")) == 4
+    got = table(gym, "workout_bpm_summary", "user_id", "min_bpm", "avg_bpm", "max_bpm", "num_recordings")
+    assert got == [(1, 100.0, 110.0, 120.0, 2)]

@@ -20,7 +20,7 @@ from strata.sinks.log import log_sink_options, log_writer
 from strata.sinks.staged import InsertTable, SnapshotTable, UpsertTable
 from strata.sources.files import read_text, stream_csv, stream_files, stream_json, stream_parquet
 from strata.sources.log import LogConnection, log_source_options, read_log, stream_log
-from strata.streaming.jobs import Job, append_to_path, await_all, for_each_batch, insert_new, run_stages, upsert
+from strata.streaming.jobs import Job, append_to_path, await_all, for_each_batch, insert_new, run_stages, writer_id
 from strata.streaming.state import watermarked, without_duplicates
 
 from .conftest import rows
@@ -81,8 +81,8 @@ def test_word_count(spark, folder, files):
     job = Job("words", f"{folder}/checkpoint")
     await_all([stream_word_count(spark, f"{folder}/text", table, job)])
     assert rows(table.read()) == rows(batch_word_count(spark, f"{folder}/text"))
-    assert rows(table.read()) == [("cat", files), ("dog", files), ("the", 2 * files)] + [
-        (f"{i}\nsat", 1) for i in range(files)] or files > 0
+    assert rows(table.read().where("word IN ('cat', 'dog', 'the')")) == [
+        ("cat", files), ("dog", files), ("the", 2 * files)]
 
 
 @pytest.mark.parametrize("files", CUTS)
@@ -95,17 +95,20 @@ def test_duplicates(spark, folder, files, spread):
 
 
 def test_late_copies_are_dropped_and_kept_without_bound(spark, folder):
-    df = spark.createDataFrame([(1, at(0)), (2, at(1000)), (3, at(10)), (4, at(990))], "i int, ts timestamp")
-    got = drained(without_duplicates(cut(df, f"{folder}/a", 4), ["ts"], "ts"), f"{folder}/1")
-    assert [r[0] for r in got] == [1, 2, 4]
-    got = drained(without_duplicates(cut(df, f"{folder}/b", 4), ["ts"], "ts", lateness=None), f"{folder}/2")
-    assert [r[0] for r in got] == [1, 2, 3, 4]
+    # Rows count as late by the watermark of the batch before, so one batch lies in between.
+    df = spark.createDataFrame([(1, at(0)), (2, at(1000)), (3, at(1001)), (4, at(10)), (5, at(990))],
+                               "i int, ts timestamp")
+    got = drained(without_duplicates(cut(df, f"{folder}/a", 5), ["ts"], "ts"), f"{folder}/1")
+    assert [r[0] for r in got] == [1, 2, 3, 5]
+    got = drained(without_duplicates(cut(df, f"{folder}/b", 5), ["ts"], "ts", lateness=None), f"{folder}/2")
+    assert [r[0] for r in got] == [1, 2, 3, 4, 5]
 
 
 def test_copies_within_the_lateness(spark, folder):
-    df = spark.createDataFrame([(1, 7, at(0)), (2, 7, at(20)), (3, 7, at(1000)), (4, 8, at(2000))], "i int, k int, ts timestamp")
-    stream = without_duplicates(cut(df, f"{folder}/in", 4), ["k"], "ts", within_lateness=True)
-    assert [r[0] for r in drained(stream, folder)] == [1, 3, 4]
+    df = spark.createDataFrame([(1, 7, at(0)), (2, 7, at(20)), (3, 9, at(1000)), (4, 9, at(1010)), (5, 7, at(1020))],
+                               "i int, k int, ts timestamp")
+    stream = without_duplicates(cut(df, f"{folder}/in", 5), ["k"], "ts", within_lateness=True)
+    assert [r[0] for r in drained(stream, folder)] == [1, 3, 5]
 
 
 @pytest.mark.parametrize("files", CUTS)
@@ -159,7 +162,7 @@ def test_restart_reads_only_what_is_new(spark, folder):
         await_all([query])
         seen.append(sum(p["numInputRows"] for p in query.recentProgress))
     assert seen == [10, 20]
-    assert rows(table.read()) == [(k, 1) for k in range(10)] + [(k, 2) for k in range(10, 20)]
+    assert sorted(map(tuple, table.read().collect())) == [(k, 1 + k // 10) for k in range(20)]
 
 
 def test_a_fresh_checkpoint_is_another_writer(spark, folder):
@@ -177,7 +180,6 @@ def test_a_batch_that_fails_after_its_merge_is_not_merged_again(spark, folder):
     spark.createDataFrame([(1, 5)], "k long, n long").write.parquet(f"{folder}/in")
     add = [(None, {"n": "t.n + s.n"})]
     table.merge(spark.createDataFrame([(1, 100)], "k long, n long"), "before", 0, add)
-    from strata.streaming.jobs import writer_id
     crashes = [True]
 
     def merge(batch, batch_id):
@@ -191,12 +193,34 @@ def test_a_batch_that_fails_after_its_merge_is_not_merged_again(spark, folder):
     assert rows(table.read()) == [(1, 105)]
 
 
+def test_a_stateful_query_gets_over_a_batch_its_table_already_holds(spark, folder):
+    table = InsertTable(spark, f"{folder}/t", "k int, ts timestamp", ["k", "ts"])
+    spark.createDataFrame([(1, at(0)), (1, at(0))], "k int, ts timestamp").write.parquet(f"{folder}/in")
+    job = Job("q", f"{folder}/checkpoint")
+
+    def stream():
+        return without_duplicates(stream_parquet(spark, f"{folder}/in"), ["k", "ts"], "ts")
+
+    def insert_and_die(batch, batch_id):
+        table.insert_new(batch, writer_id(batch.sparkSession), batch_id)
+        raise RuntimeError("lost after the insert")
+
+    with pytest.raises(StreamingQueryException):
+        await_all([for_each_batch(stream(), insert_and_die, job)])
+    assert len(rows(table.read())) == 1
+    spark.createDataFrame([(1, at(0)), (2, at(1))], "k int, ts timestamp").write.mode("append").parquet(f"{folder}/in")
+    await_all([insert_new(stream(), table, job)])
+    await_all([insert_new(stream(), table, job)])
+    assert rows(table.read()) == [(1, at(0)), (2, at(1))]
+
+
 def test_micro_batch_work_is_adaptive_and_the_query_is_not(spark, folder):
     seen = []
     spark.createDataFrame([(1, at(0))], "k int, ts timestamp").write.parquet(f"{folder}/in")
     stream = without_duplicates(stream_parquet(spark, f"{folder}/in"), ["k", "ts"], "ts")
 
     def look(batch, batch_id):
+        batch.count()
         seen.append((batch.sparkSession, batch.sparkSession.conf.get("spark.sql.adaptive.enabled")))
 
     await_all([for_each_batch(stream, look, Job("q", f"{folder}/checkpoint"))])
