@@ -22,6 +22,9 @@ from strata.operators.latest import first_per_key
 from strata.sources.fs import SharedFs
 
 
+_NOTE = "_made_by"  # file in a published folder that names what it was made from
+
+
 class _Staged:
     def __init__(self, spark: SparkSession, root: str, schema: str):
         self.spark = spark
@@ -32,12 +35,14 @@ class _Staged:
         self.fs = SharedFs(spark, self.root)
         self.fs.mkdirs(self.data)
 
-    def _publish(self, df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
+    def _publish(self, df: DataFrame, target: str, partition_by: Sequence[str] = (), note: str = "") -> None:
         staging = f"{self.root}/_staging/{target.rsplit('/data/', 1)[-1]}"
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(staging)
+        if note:
+            self.fs.write_text(f"{staging}/{_NOTE}", note)
         self.fs.move(staging, target)
 
     def _conform(self, df: DataFrame) -> DataFrame:
@@ -157,9 +162,7 @@ class InsertTable(_Staged):
             if self.fs.names(self.data):
                 stored = self.read()
                 if range_column and facts.lo is not None:
-                    kind = self.schema[range_column].dataType
-                    low, high = F.lit(facts.lo).cast(kind), F.lit(facts.hi).cast(kind)
-                    stored = stored.where(F.col(range_column).between(low, high))
+                    stored = self._within(stored, range_column, facts.lo, facts.hi)
                 # Reduce the table to the batch's keys first: with a small batch this is a
                 # broadcast of the batch, and the table is scanned but never shuffled.
                 known = stored.select(*self.keys).join(keyed.select(*self.keys), self.keys, "left_semi")
@@ -167,6 +170,10 @@ class InsertTable(_Staged):
             self._publish(new.unionByName(unkeyed), target)
         return True
 
+    def _within(self, stored: DataFrame, column: str, low: str, high: str) -> DataFrame:
+        kind = self.schema[column].dataType
+        return stored.where(F.col(column).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+
 
 SET_ALL = "*"
 Clause = tuple[str | None, Mapping[str, str] | str]
@@ -179,6 +186,9 @@ class UpsertTable(_Staged):
     It is replaced by one rename, which is what commits a merge. Files also hold the commit
     that last changed a row; sorted on it, they double as the table's change feed.
 
+    Choose ``buckets`` so that one stays within about a gigabyte, and ``rebucket`` as needed: a
+    touched bucket is read and written whole.
+
     ``day_of`` names a key column of event time for tables that grow with time: every day then
     has its own set of buckets, so a batch rewrites the days it holds and leaves the rest alone.
     """
@@ -231,7 +241,7 @@ class UpsertTable(_Staged):
             bucket = bucket + day * self.buckets
         return bucket.cast("long")
 
-    def _read_buckets(self, manifest: dict, wanted: Sequence[int] | None = None) -> DataFrame:
+    def _read_buckets(self, manifest: dict, wanted: set[int] | None = None) -> DataFrame:
         paths = [
             f"{self.data}/commit={commit}/bucket={bucket}"
             for bucket, commit in manifest["buckets"].items()
@@ -275,33 +285,58 @@ class UpsertTable(_Staged):
         sets the row's columns, and a row that meets none stays as it is. Conditions and
         assignments are SQL over ``t`` (stored row) and ``s`` (source row); a None condition
         always holds and ``SET_ALL`` takes every column from ``s``. A key that the source holds
-        twice fails the merge; null keys match nothing. A batch the manifest already records
-        for this writer is skipped and returns False, as does an empty one.
+        twice fails the merge; null keys match nothing. A batch that is empty, or that the table
+        already holds for this writer, changes nothing. Returns whether the source was used.
         """
         manifest = self._manifest()
         if manifest["applied"].get(writer, -1) >= batch_id:
             return False
         commit = manifest["commit"] + 1
-        with _kept(self._conform(source).withColumn("_bucket", self._bucket())) as rows:
-            touched = sorted(r[0] for r in rows.select("_bucket").distinct().collect())
-            if not touched:
-                return False
-            stored = self._read_buckets(manifest, touched)
-            merged = self._merged(stored, rows, commit, matched)
-            target = f"{self.data}/commit={commit}"
-            if self.fs.exists(target):  # left by a run that died before its commit
-                self.fs.delete(target)
-            # One shuffle on the bucket makes few, well-sized files; AQE splits large buckets.
-            laid_out = merged.withColumn("bucket", self._bucket()).hint("rebalance", F.col("bucket"))
-            ordered = laid_out.sortWithinPartitions("bucket", F.col(self._CHANGED).desc())
-            self._publish(ordered, target, partition_by=["bucket"])
+        target, note = f"{self.data}/commit={commit}", f"{writer} {batch_id}"
+        ready = self._is_made_by(target, note)  # published by a run that died before its commit
+        if not ready:
+            with _kept(self._conform(source).withColumn("_bucket", self._bucket())) as rows:
+                touched = {r[0] for r in rows.select("_bucket").distinct().collect()}
+                if not touched:
+                    return False
+                stored = self._read_buckets(manifest, touched)
+                self._publish_buckets(self._merged(stored, rows, commit, matched), target, note)
         self._commit({
             "commit": commit,
             "width": self.buckets,
-            "buckets": {**manifest["buckets"], **{str(b): commit for b in touched}},
+            "buckets": {**manifest["buckets"], **dict.fromkeys(self._buckets_in(target), commit)},
             "applied": {**manifest["applied"], writer: batch_id},
         })
-        return True
+        return not ready
+
+    def _is_made_by(self, folder: str, note: str) -> bool:
+        path = f"{folder}/{_NOTE}"
+        return self.fs.exists(path) and self.fs.read_text(path) == note
+
+    def _buckets_in(self, folder: str) -> list[str]:
+        return [n.split("=")[1] for n in self.fs.names(folder) if n.startswith("bucket=")]
+
+    def _publish_buckets(self, df: DataFrame, target: str, note: str) -> None:
+        """Write rows by bucket: one shuffle makes few, well-sized files, and AQE splits large buckets."""
+        if self.fs.exists(target):  # something else's leftover, never committed
+            self.fs.delete(target)
+        laid_out = df.withColumn("bucket", self._bucket()).hint("rebalance", F.col("bucket"))
+        ordered = laid_out.sortWithinPartitions("bucket", F.col(self._CHANGED).desc())
+        self._publish(ordered, target, ["bucket"], note)
+
+    def rebucket(self, buckets: int) -> None:
+        """Lay the table out anew over another number of buckets, as it grows or shrinks.
+
+        Rows keep the commit that last changed them, so streams of changes see nothing new.
+        """
+        manifest = self._manifest()
+        self.buckets = buckets
+        commit = manifest["commit"] + 1
+        target = f"{self.data}/commit={commit}"
+        self._publish_buckets(self._read_buckets(manifest), target, f"rebucket {buckets}")
+        self._commit({
+            **manifest, "commit": commit, "width": buckets,
+            "buckets": dict.fromkeys(self._buckets_in(target), commit)})
 
     def _merged(self, stored: DataFrame, rows: DataFrame, commit: int, matched: Sequence[Clause]) -> DataFrame:
         keyed, unkeyed = _split_null_keys(rows.select(*self.columns), self.keys)

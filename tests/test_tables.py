@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -153,6 +154,21 @@ def test_a_run_that_died_before_its_commit_is_redone(spark, folder):
     assert rows(t.read()) == [(1, "a", 1), (2, "b", 1)]
 
 
+def test_a_published_batch_is_only_committed_on_replay(spark, folder, monkeypatch):
+    t = UpsertTable(spark, folder, ROW, ["k"], buckets=2)
+    add = [(None, {"n": "t.n + s.n"})]
+    t.merge(frame(spark, (1, "a", 1)), "w", 0, add)
+    with monkeypatch.context() as m:
+        m.setattr(t, "_commit", lambda manifest: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            t.merge(frame(spark, (1, "a", 10), (2, "b", 1)), "w", 1, add)
+    assert rows(t.read()) == [(1, "a", 1)]
+    files = sorted(str(p) for p in Path(folder, "data").rglob("*.parquet"))
+    assert not t.merge(frame(spark, (1, "a", 10), (2, "b", 1)), "w", 1, add)
+    assert sorted(str(p) for p in Path(folder, "data").rglob("*.parquet")) == files
+    assert rows(t.read()) == [(1, "a", 11), (2, "b", 1)]
+
+
 def test_stream_of_changes_and_vacuum(spark, folder):
     t = UpsertTable(spark, f"{folder}/t", ROW, ["k"], buckets=2)
     job = Job("feed", f"{folder}/checkpoint")
@@ -172,6 +188,28 @@ def test_stream_of_changes_and_vacuum(spark, folder):
     assert len(drain()) == 6
 
 
+def test_rebucket_keeps_rows_and_shows_no_changes(spark, folder):
+    t = UpsertTable(spark, f"{folder}/t", ROW, ["k"], buckets=1)
+    t.merge(frame(spark, *[(k, "a", 1) for k in range(20)]), "w", 0, [])
+    before = rows(t.read())
+    t.rebucket(4)
+    assert rows(t.read()) == before and len(t._manifest()["buckets"]) == 4
+    reopened = UpsertTable(spark, f"{folder}/t", ROW, ["k"], buckets=1)
+    reopened.merge(frame(spark, (3, "b", 1)), "w", 1, [(None, SET_ALL)])
+    await_all([append_to_path(t.stream(), f"{folder}/feed", Job("feed", f"{folder}/checkpoint"))])
+    assert spark.read.parquet(f"{folder}/feed").count() == 21
+    assert rows(reopened.read().where("v = 'b'")) == [(3, "b", 1)]
+
+
+def test_the_scan_for_known_keys_is_cut_to_the_batch(spark, folder):
+    """The bounds reach the file scan as literals, where they skip row groups."""
+    t = InsertTable(spark, folder, "k long, t timestamp", ["k", "t"])
+    t.insert_new(frame(spark, (1, dt.datetime(2024, 1, 1)), schema="k long, t timestamp"), "w", 0)
+    scan = t._within(t.read(), "t", "2024-01-05 00:00:00", "2024-01-06 00:00:00")
+    text = scan._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(t,2024-01-05" in text and "LessThanOrEqual(t,2024-01-06" in text
+
+
 def test_random_merges_against_a_dictionary(spark, folder):
     rng = random.Random(1)
     t, model = UpsertTable(spark, folder, ROW, ["k"], buckets=4), {}
