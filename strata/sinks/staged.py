@@ -51,8 +51,11 @@ class _Staged:
 
 
 @contextmanager
-def _kept(df: DataFrame):
-    """Keeps a micro-batch for the few passes of one merge; lost blocks are recomputed."""
+def _kept(df: DataFrame, keep: bool):
+    """Keeps a batch for the few passes of one merge; lost blocks are recomputed."""
+    if not keep:
+        yield df
+        return
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
@@ -135,20 +138,21 @@ class InsertTable(_Staged):
 
     def insert_new(
         self, source: DataFrame, writer: str, batch_id: int,
-        order: Sequence[Column | str] = (), range_column: str | None = None,
+        order: Sequence[Column | str] = (), range_column: str | None = None, keep: bool = True,
     ) -> bool:
         """Insert rows whose key is not in the table; of equal new keys the first in order.
 
         Columns the order leaves out break its ties.
 
         ``range_column`` names a key column along which the table's files are clustered, such
-        as event time: the table scan then skips files outside the batch's range.
-        Returns False if there was nothing to do.
+        as event time: the table scan then skips files outside the batch's range. ``keep`` caches
+        the source for its three passes; for a large load straight from files, reading it again
+        costs less. Returns False if there was nothing to do.
         """
         target = f"{self.data}/writer={writer}/batch={batch_id}"
         if self.fs.exists(target):
             return False
-        with _kept(self._conform(source)) as rows:
+        with _kept(self._conform(source), keep) as rows:
             bounds = [F.count("*").alias("n")]
             if range_column:
                 bounds += [
@@ -278,7 +282,9 @@ class UpsertTable(_Staged):
 
     # -- merge ------------------------------------------------------------------------
 
-    def merge(self, source: DataFrame, writer: str, batch_id: int, matched: Sequence[Clause]) -> bool:
+    def merge(
+        self, source: DataFrame, writer: str, batch_id: int, matched: Sequence[Clause], keep: bool = True,
+    ) -> bool:
         """Update matched rows and insert the others.
 
         ``matched`` lists ``(condition, assignments)``: the first clause whose condition holds
@@ -286,7 +292,8 @@ class UpsertTable(_Staged):
         assignments are SQL over ``t`` (stored row) and ``s`` (source row); a None condition
         always holds and ``SET_ALL`` takes every column from ``s``. A key that the source holds
         twice fails the merge; null keys match nothing. A batch that is empty, or that the table
-        already holds for this writer, changes nothing. Returns whether the source was used.
+        already holds for this writer, changes nothing. ``keep`` caches the source for its passes.
+        Returns whether the source was used.
         """
         manifest = self._manifest()
         if manifest["applied"].get(writer, -1) >= batch_id:
@@ -295,11 +302,12 @@ class UpsertTable(_Staged):
         target, note = f"{self.data}/commit={commit}", f"{writer} {batch_id}"
         ready = self._is_made_by(target, note)  # published by a run that died before its commit
         if not ready:
-            with _kept(self._conform(source).withColumn("_bucket", self._bucket())) as rows:
+            with _kept(self._conform(source).withColumn("_bucket", self._bucket()), keep) as rows:
                 touched = {r[0] for r in rows.select("_bucket").distinct().collect()}
                 if not touched:
                     return False
-                stored = self._read_buckets(manifest, touched)
+                known = {b for b in touched if str(b) in manifest["buckets"]}
+                stored = self._read_buckets(manifest, known) if known else None
                 self._publish_buckets(self._merged(stored, rows, commit, matched), target, note)
         self._commit({
             "commit": commit,
@@ -338,7 +346,7 @@ class UpsertTable(_Staged):
             **manifest, "commit": commit, "width": buckets,
             "buckets": dict.fromkeys(self._buckets_in(target), commit)})
 
-    def _merged(self, stored: DataFrame, rows: DataFrame, commit: int, matched: Sequence[Clause]) -> DataFrame:
+    def _merged(self, stored: DataFrame | None, rows: DataFrame, commit: int, matched: Sequence[Clause]) -> DataFrame:
         keyed, unkeyed = _split_null_keys(rows.select(*self.columns), self.keys)
         once = keyed.groupBy(*self.keys).agg(
             F.count("*").alias("_copies"), F.first(F.struct(*self.columns)).alias("s"))
@@ -346,14 +354,17 @@ class UpsertTable(_Staged):
         row_type = once.schema["s"].dataType
         s = once.select(F.when(F.col("_copies") > 1, F.raise_error(complaint).cast(row_type))
                         .otherwise(F.col("s")).alias("s"))
-        t = stored.select(F.struct(*stored.columns).alias("t"))
+        no_row = F.lit(None).cast(StructType([*self._stored_schema()])).alias("t")
         on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in self.keys]
-        if _fits_broadcast(rows):
+        t = stored.select(F.struct(*stored.columns).alias("t")) if stored is not None else None
+        if t is None:
+            pairs = s.select(no_row, "s")
+        elif _fits_broadcast(rows):
             # The stored side stays where it is: the batch is broadcast to it, and what it
             # matched, no more than the batch itself, tells the new rows apart.
             asked = keyed.select(F.struct(*self.keys).alias("s"))
             known = t.join(asked, on, "left_semi").select(F.struct(*[f"t.{k}" for k in self.keys]).alias("t"))
-            new = s.join(known, on, "left_anti").select(F.lit(None).cast(t.schema["t"].dataType).alias("t"), "s")
+            new = s.join(known, on, "left_anti").select(no_row, "s")
             pairs = t.join(s, on, "left_outer").unionByName(new)
         else:
             pairs = t.join(s, on, "full_outer")
