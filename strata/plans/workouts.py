@@ -22,6 +22,7 @@ from strata.operators.joins import (
 from strata.operators.latest import latest_changes, latest_per_key
 from strata.operators.messages import actions, heart_rates, profile_changes, valid_only, workout_events
 from strata.schemas import DATE_LOOKUP, GYM_LOGIN, LINEAGE, MESSAGE, REGISTERED_USER, STORED_MESSAGE, TABLES
+from strata.sinks.catalog import create_view
 from strata.sinks.staged import SET_ALL, InsertTable, SnapshotTable, UpsertTable
 from strata.sources.files import read_json_file, stream_csv, stream_json
 from strata.sources.fs import SharedFs
@@ -58,6 +59,8 @@ class Gym:
 
     ``lateness`` None accepts rows however late, at the price of state that is never dropped;
     the tables' keys still keep rows unique. ``spread`` is passed on to duplicate removal.
+    ``loaded_since`` (a timestamp, for bronze) and ``starting_at`` (a batch or commit number, for
+    silver) make queries with fresh checkpoints begin there instead of at the beginning.
     """
 
     spark: SparkSession
@@ -70,6 +73,8 @@ class Gym:
     files_per_trigger: int | None = None
     as_of: Column | None = None
     bins_join: str = "inner"
+    loaded_since: str | None = None
+    starting_at: int = 0
     tables: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
@@ -114,10 +119,16 @@ class Gym:
     # -- silver ------------------------------------------------------------------------
 
     def _bronze(self, name: str, schema: str) -> DataFrame:
-        return self.spark.readStream.schema(f"{schema}, {LINEAGE}").parquet(f"{self.root}/{name}")
+        return self._recent(self.spark.readStream.schema(f"{schema}, {LINEAGE}").parquet(f"{self.root}/{name}"))
 
     def _messages(self) -> DataFrame:
-        return self.spark.readStream.schema(STORED_MESSAGE).parquet(f"{self.root}/kafka_multiplex_bz")
+        return self._recent(self.spark.readStream.schema(STORED_MESSAGE).parquet(f"{self.root}/kafka_multiplex_bz"))
+
+    def _recent(self, rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("load_time") >= F.lit(self.loaded_since).cast("timestamp")) if self.loaded_since else rows
+
+    def _stored(self, name: str) -> DataFrame:
+        return self.tables[name].stream(self.starting_at)
 
     def _distinct(self, rows: DataFrame, table: str, event_time: str, keys: list[str] | None = None) -> DataFrame:
         if self.lateness is None:
@@ -172,7 +183,7 @@ class Gym:
 
     def silver_bins(self) -> StreamingQuery:
         """Age band and place of every user, following profile changes."""
-        profiles = self.tables["user_profile"].stream()
+        profiles = self._stored("user_profile")
 
         def current(rows: DataFrame) -> DataFrame:
             newest = latest_per_key(rows, KEYS["user_profile"], "updated")
@@ -185,9 +196,9 @@ class Gym:
 
     def silver_completed(self) -> StreamingQuery:
         """Sessions with both a start and a stop."""
-        events = self.tables["workouts"].stream()
+        events = self._stored("workouts")
         starts = watermarked(actions(events, "start", "start_time"), "start_time", self._join_lateness)
-        stops = watermarked(actions(self.tables["workouts"].stream(), "stop", "end_time"), "end_time",
+        stops = watermarked(actions(self._stored("workouts"), "stop", "end_time"), "end_time",
                             self._join_lateness)
         return insert_new(
             interval_join(starts, stops, SESSION), self.tables["completed_workouts"],
@@ -202,15 +213,15 @@ class Gym:
             return with_device(rows, self.tables["users"].read())
 
         return insert_new(
-            self.tables["completed_workouts"].stream(), self.tables["session_devices"],
+            self._stored("completed_workouts"), self.tables["session_devices"],
             self.job("session_devices", "silver_p1"), order=["start_time", "end_time"],
             prepare=with_current_devices)
 
     def silver_bpm(self) -> StreamingQuery:
         """Valid readings taken during a finished session."""
-        sessions = watermarked(self.tables["session_devices"].stream(), "end_time", self._join_lateness)
+        sessions = watermarked(self._stored("session_devices"), "end_time", self._join_lateness)
         readings = watermarked(
-            valid_only(self.tables["heart_rate"].stream()).select("device_id", "time", "heartrate"),
+            valid_only(self._stored("heart_rate")).select("device_id", "time", "heartrate"),
             "time", self._join_lateness)
         return insert_new(
             containment_join(readings, sessions, ["device_id"]), self.tables["workout_bpm"],
@@ -221,7 +232,7 @@ class Gym:
 
     def gold_summary(self) -> StreamingQuery:
         """Statistics of every session that has ended by the watermark, with the user's bin."""
-        readings = watermarked(self.tables["workout_bpm"].stream(), "end_time", self._join_lateness)
+        readings = watermarked(self._stored("workout_bpm"), "end_time", self._join_lateness)
         stats = reading_stats(readings, [*SESSION, "end_time"])
 
         def binned(rows: DataFrame) -> DataFrame:
@@ -241,6 +252,14 @@ class Gym:
         return presence_report(
             self.tables["gym_logs"].read(), self.tables["completed_workouts"].read(), self.tables["users"].read())
 
+    def create_views(self, prefix: str = "") -> list[str]:
+        """Name every table, and the report, for SQL in this session; returns the names."""
+        frames = {name: table.read() for name, table in self.tables.items()}
+        frames |= {"date_lookup": self.dates.read(), "gym_summary": self.gym_summary()}
+        for name, frame in frames.items():
+            create_view(frame, prefix + name)
+        return [prefix + name for name in frames]
+
     # -- running -----------------------------------------------------------------------
 
     def stages(self) -> list[list[Callable[[], StreamingQuery]]]:
