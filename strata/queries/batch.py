@@ -352,7 +352,7 @@ def contained_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STATS_SQL = """
     SELECT user_id, 1 AS workout_id, CAST(day(ts) AS INTEGER) AS session_id, time_bucket(INTERVAL 1 DAY, ts) AS end_time,
-           min(heartrate) AS min_bpm, round(avg(heartrate), 4) AS avg_bpm, max(heartrate) AS max_bpm,
+           min(heartrate) AS min_bpm, round(avg(heartrate), 8) AS avg_bpm, max(heartrate) AS max_bpm,
            count(heartrate) AS num_recordings
     FROM (SELECT *, CASE WHEN event_type <> 'error' THEN round(value - 20, 4) END AS heartrate FROM events)
     WHERE heartrate IS NULL OR heartrate > 0
@@ -373,7 +373,7 @@ def session_readings(df: DataFrame) -> DataFrame:
 """)
 def session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = session_readings(events(table(spark, sf_dir, "events")))
-    stats = rounded(reading_stats(readings, ["user_id", "workout_id", "session_id", "end_time"]), "avg_bpm")
+    stats = rounded(reading_stats(readings, ["user_id", "workout_id", "session_id", "end_time"]), "avg_bpm", places=8)
     return with_bins(stats, bins_of(table(spark, sf_dir, "customer")))
 
 

@@ -48,9 +48,13 @@ def plain_times(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
 
 
-def rounded(df: DataFrame, *names: str) -> DataFrame:
-    """Sums and means to a precision that does not depend on the order of addition."""
-    return df.withColumns({n: F.round(n, 4) for n in names})
+def rounded(df: DataFrame, *names: str, places: int = 4) -> DataFrame:
+    """Sums and means to a precision that does not depend on the order of addition.
+
+    Four places are one more than sums of the tables' values have. Means need more, or some
+    would lie half way between two results, where engines differ.
+    """
+    return df.withColumns({n: F.round(n, places) for n in names})
 
 
 def text(column: str | Column) -> Column:

@@ -115,7 +115,7 @@ def session_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = watermarked(session_readings(events(table_stream(session, sf_dir, "events"))), "end_time")
     stats = reading_stats(readings, ["user_id", "workout_id", "session_id", "end_time"])
     await_all([append_to_path(stats, f"{folder}/rows", Job("stats", f"{folder}/checkpoint"))])
-    return plain_times(rounded(spark.read.parquet(f"{folder}/rows"), "avg_bpm"))
+    return plain_times(rounded(spark.read.parquet(f"{folder}/rows"), "avg_bpm", places=8))
 
 
 @query("""

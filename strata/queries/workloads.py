@@ -139,7 +139,7 @@ def _land_gym(session: SparkSession, sf_dir: str, landing: str) -> None:
         FROM bpm GROUP BY user_id, session_id, end_time
         HAVING end_time <= (SELECT max(end_time) FROM bpm) - INTERVAL 30 SECOND)
     SELECT CAST(1 AS BIGINT) AS workout_id, s.session_id, s.user_id, b.age, b.gender, b.city, b.state,
-           s.min_bpm, round(s.avg_bpm, 4) AS avg_bpm, s.max_bpm, s.num_recordings
+           s.min_bpm, round(s.avg_bpm, 8) AS avg_bpm, s.max_bpm, s.num_recordings
     FROM stats s JOIN ({BINS_SQL}) b ON s.user_id = b.user_id
 """)
 def gym_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,4 +151,4 @@ def gym_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = table(session, sf_dir, "events").select(F.to_date("ts").alias("date")).distinct()
     gym.dates.overwrite(date_lookup_of(days))
     gym.run()
-    return plain_times(rounded(gym.tables["workout_bpm_summary"].read(), "avg_bpm"))
+    return plain_times(rounded(gym.tables["workout_bpm_summary"].read(), "avg_bpm", places=8))
