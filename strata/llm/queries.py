@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import url_filters
+from strata.llm import secret_scan, url_filters
 from strata.llm.common import table
 from strata.llm.registry import ORACLES, QUERIES, query
 
@@ -40,3 +41,51 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filters.judge_urls(pages, url_filters.rule_table(spark, URL_RULES))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(r"""
+    WITH patterns(place, kind, pattern, part, least) AS (VALUES
+        (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 8),
+        (1, 'access', 'AKIA[A-Z0-9]+', 0, 16),
+        (2, 'hex', '[0-9a-f]+', 0, 32),
+        (3, 'pem', '-----BEGIN [A-Z ]*PRIVATE KEY-----', 0, 1),
+        (4, 'chat', 'xox[abprs]-[A-Za-z0-9-]{10,}', 0, 1)),
+    ASSIGN AS (SELECT doc_id, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), (SELECT pattern FROM patterns WHERE place = 0), 0) AS hits,
+        regexp_extract_all(coalesce(text, ''), (SELECT pattern FROM patterns WHERE place = 0), 2) AS parts,
+        string_split_regex(coalesce(text, ''), (SELECT pattern FROM patterns WHERE place = 0)) AS gaps FROM documents),
+    walks AS (
+        SELECT doc_id, place, kind, least, hits, parts, gaps FROM ASSIGN, patterns WHERE place = 0
+        UNION ALL
+        SELECT doc_id, place, kind, least, regexp_extract_all(coalesce(text, ''), pattern, 0) AS hits,
+            regexp_extract_all(coalesce(text, ''), pattern, 0) AS parts,
+            string_split_regex(coalesce(text, ''), pattern) AS gaps
+        FROM documents, patterns WHERE place > 0),
+    steps AS (SELECT doc_id, place, kind, least, generate_subscripts(hits, 1) AS n, unnest(hits) AS hit,
+        unnest(parts) AS part, unnest(gaps[1:len(hits)]) AS gap FROM walks),
+    placed AS (SELECT doc_id, place, kind, part, least,
+        sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, place ORDER BY n) AS stop, length(hit) AS size
+        FROM steps),
+    found AS (SELECT doc_id, place, kind, (stop - size)::BIGINT AS start, stop::BIGINT AS stop
+        FROM placed WHERE length(part) >= least),
+    told AS (SELECT doc_id,
+        count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
+        count(*) FILTER (place = 2) AS n_hex,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (place < 3) AS base,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans FROM found GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+        coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents d LEFT JOIN told USING (doc_id)
+""")
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many secrets of each base kind every document has, and where all of them are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = [rule.kind for rule in secret_scan.BASE_RULES]
+    found = secret_scan.scan(docs)
+    kinds = F.transform("findings", lambda f: f["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in base]
+    first = F.filter("findings", lambda f: f["kind"].isin(base))
+    return found.select(
+        "doc_id", *counts, F.sha2(secret_scan.spelled(first), 256).alias("base_sha256"),
+        secret_scan.spelled(F.col("findings")).alias("spans"),
+    )
