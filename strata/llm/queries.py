@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import secret_scan, url_filters
+from strata.llm import language_id, secret_scan, url_filters
 from strata.llm.common import table
 from strata.llm.registry import ORACLES, QUERIES, query
 
@@ -89,3 +89,12 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *counts, F.sha2(secret_scan.spelled(first), 256).alias("base_sha256"),
         secret_scan.spelled(F.col("findings")).alias("spans"),
     )
+
+
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three of four labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(~language_id.held_out()))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
