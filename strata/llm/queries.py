@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import language_id, secret_scan, url_filters
+from strata.llm import html_text, language_id, secret_scan, url_filters
 from strata.llm.common import table
 from strata.llm.registry import ORACLES, QUERIES, query
 
@@ -98,3 +98,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train(docs.where(~language_id.held_out()))
     found = language_id.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
