@@ -1,0 +1,94 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from strata.llm import packing
+
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    out = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    out.encode_special_tokens = True
+    return out
+
+
+def check(rows, docs, tokenizer, window):
+    """Every id lies in one piece, checksums agree with ``tokenizers``, sequences have neither gaps nor overlaps."""
+    ids = {k: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for k, t in docs}
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    assert by_doc.keys() == ids.keys()
+    for k, own in by_doc.items():
+        at = 0
+        for r in sorted(own, key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids[k])
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[k][at:at + r.length], dtype="<u4").tobytes())
+            at += r.length
+        assert at == len(ids[k])
+    for own in by_sequence.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= window
+    return sum(len(x) for x in ids.values()) / (window * len(by_sequence))
+
+
+def test_documents_round_trip(spark, tokenizer):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = packing.pack(docs.repartition(5), RANKS, PATTERN).collect()
+    assert check(rows, [tuple(r) for r in docs.collect()], tokenizer, 2048) > 0.97
+
+
+def test_odd_texts(spark, tokenizer):
+    texts = [None, "", "<|endoftext|> x", "  \n\n\t ", "é🙂​", "a" * 70_000, "word " * 9000, "'s 'S 12٣ ½"]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame([(k, t, "x", 1) for k, t in docs], "doc_id long, text string, part string, length int")
+    rows = packing.pack(df, RANKS, PATTERN, window=64, keep_ids=True).collect()
+    check(rows, docs, tokenizer, 64)
+    assert all(len(r.ids) == r.length for r in rows)
+    assert packing.pack(df.limit(0), RANKS, PATTERN).collect() == []
+    twice = packing.pack(df.where("doc_id = 2").union(df.where("doc_id = 2")), RANKS, PATTERN).collect()
+    assert len(twice) == 2 and {r.offset for r in twice} == {0, twice[0].length}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_plan_uses_each_piece_once(seed):
+    r = np.random.default_rng(seed)
+    counts = np.zeros(257, dtype=np.int64)
+    counts[1:] = r.poisson([3, 100, 1000, 40][seed], 256) * (r.random(256) < [1, 0.5, 1, 0.1][seed])
+    space, seen = defaultdict(int), defaultdict(list)
+    for length, first, beyond, sequence, uses, _ in packing.plan(counts, 256):
+        seen[length].append((first, beyond))
+        assert (beyond - first) % uses == 0
+        for s in range((beyond - first) // uses):
+            space[sequence + s] += length * uses
+    for length, n in enumerate(counts):
+        at = 0
+        for first, beyond in sorted(seen[length]):
+            assert first == at
+            at = beyond
+        assert at == n
+    assert max(space.values()) <= 256
+    assert sum(space.values()) == (counts * np.arange(257)).sum()
+
+
+def test_solver_reaches_the_optimum():
+    counts = np.zeros(65, dtype=np.int64)
+    counts[[10, 54, 30, 34, 20]] = [100, 100, 50, 50, 7]
+    lengths = packing.combinations(counts, 64)
+    x = packing.solve(lengths, counts)
+    a = np.zeros((65, len(lengths)))
+    for i, row in enumerate(lengths):
+        for length in row[row > 0]:
+            a[length, i] += 1
+    slope = a.T @ (a @ x - counts)
+    assert (x >= 0).all() and (slope > -1e-3).all() and (np.abs(slope[x > 1e-6]) < 1e-3).all()
