@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import html_text, language_id, packing, secret_scan, url_filters
+from strata.llm import html_text, language_id, packing, secret_scan, url_filters, warc
 from strata.llm.common import table
 from strata.llm.registry import ORACLES, QUERIES, query
+from strata.session import run_folder
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -113,3 +114,19 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, in pieces packed into sequences of 2048 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("""
+    WITH hashed AS (SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest,
+        strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM hashed)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+    FROM firsts
+""")
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, archived and read back from the archives."""
+    root = run_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), root)
+    return warc.read(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

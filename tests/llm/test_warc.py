@@ -1,0 +1,52 @@
+import hashlib
+import os
+from pathlib import Path
+
+import pytest
+
+from strata.llm import warc
+
+SCHEMA = "page_id long, url string, html string, file string"
+ROWS = [
+    (1, "http://a/ü b%41\r\n", "x" * 200, "clash"), (2, None, "x" * 200, None), (3, "http://c", "short", None),
+    (4, "http://d", "short", None), (5, "", None, None), (6, "u", "", None), (7, "http://e", "é\r\n\r\n" * 90, None),
+    (9, "http://e", "é\r\n\r\n" * 90, None), (9, "http://e", "other" * 40, None), (None, "n", "x" * 200, None),
+]
+
+
+def test_round_trip(spark, folder):
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    warc.write(pages, folder, shard_bytes=300, roll_bytes=250)
+    got = {(r.page_id, r.payload_digest): r for r in warc.read(spark, folder).collect()}
+    assert len(got) == len(ROWS)
+    for page_id, url, html, _ in ROWS:
+        payload = (html or "").encode()
+        r = got[page_id, hashlib.sha256(payload).hexdigest()]
+        assert (r.url, r.payload_bytes) == (url, len(payload))
+        refers = {2: 1, 9: 7, None: 1}.get(page_id) if html != "other" * 40 else None
+        assert (r.record_type, r.refers_to) == (("revisit", refers) if refers else ("response", None))
+        assert r.payload == (None if refers else payload)
+
+
+def test_same_rows_give_the_same_files(spark, tmp_path):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    for name, parts in (("a", 1), ("b", 7)):
+        warc.write(pages.repartition(parts), str(tmp_path / name), shard_bytes=100_000, roll_bytes=10_000)
+    a, b = ({p.name: p.read_bytes() for p in (tmp_path / n).glob("*.gz")} for n in "ab")
+    assert a == b and len(a) > 5
+    assert not list((tmp_path / "a" / "_temporary").iterdir())
+
+
+def test_only_what_the_manifest_names_is_read(spark, folder):
+    warc.write(spark.createDataFrame(ROWS, SCHEMA), folder)
+    Path(folder, "part-000099-00000.warc.gz").write_bytes(b"left by a lost job")
+    assert warc.read(spark, folder).count() == len(ROWS)
+    name = sorted(n for n in os.listdir(folder) if n.endswith(".gz"))[0]
+    Path(folder, name).write_bytes(b"damaged")
+    with pytest.raises(Exception, match="manifest"):
+        warc.read(spark, folder).count()
+
+
+def test_no_pages(spark, folder):
+    warc.write(spark.createDataFrame([], SCHEMA), folder)
+    assert warc.read(spark, folder).collect() == []
