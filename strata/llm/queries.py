@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import html_text, language_id, packing, secret_scan, url_filters, warc
+from strata.llm import html_text, language_id, minhash, packing, secret_scan, url_filters, warc
 from strata.llm.common import table
 from strata.llm.registry import ORACLES, QUERIES, query
 from strata.session import run_folder
@@ -130,3 +130,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_folder(spark, "warc")
     warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), root)
     return warc.read(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near-duplicates (three words, 85 of 100)."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, percent=85)

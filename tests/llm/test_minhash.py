@@ -1,0 +1,79 @@
+import random
+import re
+
+import pytest
+
+from strata.llm import minhash
+from strata.llm.shingles import shingle_set
+
+SCHEMA = "doc_id long, text string, component string, id string"
+
+
+def shingles(text, words):
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    n = min(words, len(found))
+    return {tuple(found[i:i + n]) for i in range(len(found) - n + 1)} if found else set()
+
+
+def brute(docs, words, percent):
+    """Components by comparing every pair."""
+    sets = {k: shingles(t, words) for k, t in docs}
+    parent = {k: k for k in sets}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    keys = sorted(sets)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            x, y = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                p, q = root(a), root(b)
+                parent[max(p, q)] = min(p, q)
+    return {k: (len(sets[k]), root(k), root(k) == k) for k in keys}
+
+
+def result(df):
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}
+
+
+@pytest.mark.parametrize("words,percent", [(3, 85), (5, 80)])
+def test_edited_copies_against_brute_force(spark, words, percent):
+    rng = random.Random(words)
+    vocabulary = [f"W{i}" for i in range(300)]
+    docs = []
+    for _ in range(12):
+        base = rng.choices(vocabulary, k=rng.choice([2, 9, 30, 120, 400]))
+        for copy in range(rng.choice([1, 3, 15])):
+            text = list(base)
+            for _ in range(copy % 6):
+                text[rng.randrange(len(text))] = rng.choice(vocabulary)
+            docs.append((len(docs), rng.choice([" ", "\n", "\t "]).join(text)))
+    docs += [(len(docs), None), (len(docs) + 1, ""), (len(docs) + 2, " \n "), (len(docs) + 3, "ÄB c"), (len(docs) + 4, "äB c")]
+    rng.shuffle(docs)
+    df = spark.createDataFrame([(k, t, "x", "y") for k, t in docs], SCHEMA)
+    assert result(minhash.near_duplicates(df, words, percent)) == brute(docs, words, percent)
+
+
+def test_whole_table_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    assert result(minhash.near_duplicates(docs, 3, 85)) == brute([tuple(r) for r in docs.collect()], 3, 85)
+
+
+def test_repeated_rows_null_keys_and_no_rows(spark):
+    text = "one two three four five six seven"
+    df = spark.createDataFrame([(3, text), (3, text), (5, text.upper()), (None, text), (None, None)], "doc_id long, text string")
+    rows = sorted(map(tuple, minhash.near_duplicates(df, 3, 85).collect()), key=str)
+    assert rows == sorted(
+        [(3, 5, 3, True), (3, 5, 3, True), (5, 5, 3, False), (None, 5, None, True), (None, 0, None, True)], key=str)
+    assert minhash.near_duplicates(df.limit(0), 3, 85).collect() == []
+
+
+def test_sets_of_long_texts_and_threshold():
+    text = " ".join(f"w{i % 70_000} É" for i in range(150_000)) + " " + "x" * 1_200_000 + " y"
+    assert len(shingle_set(text, 3)) == len(shingles(text, 3))
+    for percent in (80, 85):
+        m = minhash.least_matches(percent)
+        assert 0 < m < minhash.COORDINATES * percent / 100
