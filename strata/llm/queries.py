@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import html_text, language_id, minhash, packing, secret_scan, url_filters, warc
+from strata.llm import decontamination, html_text, language_id, minhash, packing, secret_scan, url_filters, warc
 from strata.llm.common import table
 from strata.llm.registry import ORACLES, QUERIES, query
 from strata.session import run_folder
@@ -136,3 +136,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near-duplicates (three words, 85 of 100)."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, percent=85)
+
+
+@query()
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item in every document that holds it, up to one edit for ten characters."""
+    found = decontamination.leaks(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", F.col("item").alias("item_id"), "edits", "start", "end")
