@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, html_text, language_id, minhash, packing, secret_scan, url_filters, warc
+from strata.llm import decontamination, embedding_join, html_text, language_id, minhash, packing, secret_scan, url_filters, warc
 from strata.llm.common import table
 from strata.llm.registry import ORACLES, QUERIES, query
 from strata.session import run_folder
@@ -145,3 +145,18 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
     )
     return found.select("doc_id", F.col("item").alias("item_id"), "edits", "start", "end")
+
+
+@query("""
+    WITH good AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id
+        AND list_cosine_similarity(a.v, b.v) >= 0.9),
+    reach AS (WITH RECURSIVE r(a, b) AS (SELECT vec_id, vec_id FROM good UNION
+        SELECT r.a, l.b FROM r JOIN links l ON r.b = l.a) SELECT a, min(b) AS component_id FROM r GROUP BY a)
+    SELECT g.vec_id, count(l.b) AS n_links, any_value(r.component_id) AS component_id,
+        g.vec_id = any_value(r.component_id) AS kept
+    FROM good g JOIN reach r ON r.a = g.vec_id LEFT JOIN links l ON l.a = g.vec_id GROUP BY g.vec_id
+""")
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links at a cosine of 0.9 and its component."""
+    return embedding_join.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
