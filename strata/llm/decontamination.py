@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.rolling import grams as grams_of
+
 #: Characters of a q-gram, and edits that are allowed for each character of an item.
 Q = 8
 EDIT_RATE = 0.1
@@ -52,26 +54,6 @@ def item_codes(text: str | None) -> np.ndarray:
     return codes[:-1] if len(codes) and codes[-1] == 32 else codes
 
 
-def _grams(codes: np.ndarray, q: int) -> np.ndarray:
-    """Hashes of all q-grams, by doubling."""
-    if len(codes) < q:
-        return np.zeros(0, dtype=np.uint64)
-    power, have = np.full(1, 0x9E3779B97F4A7C15, dtype=np.uint64), 1  # an array, whose products wrap silently
-    held = codes.astype(np.uint64) + np.uint64(1)
-    held = held * np.uint64(0xD6E8FEB86659FD93)
-    out, size = None, 0
-    left, n = q, len(codes) - q + 1
-    while left:
-        if left & 1:
-            out = held[:n].copy() if out is None else out * power + held[size:size + n]
-            size += have
-        left >>= 1
-        if left:
-            held = held[:-have] * power + held[have:]
-            power, have = power * power, have * 2
-    return (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-
-
 @dataclass(frozen=True)
 class Index:
     """Items of one block: their codes, edit budgets and least counts, and their q-grams in order with item and offset."""
@@ -97,7 +79,7 @@ def index_of(items: list[tuple[int, str]], q: int = Q, rate: float = EDIT_RATE)
     sizes = np.array([len(c) for c in codes], dtype=np.int64)
     budget = np.maximum(np.minimum((sizes * rate + 1e-9).astype(np.int64), (sizes - q) // q), 0)
     least = sizes - q + 1 - budget * q
-    hashed = [_grams(c, q) for c in codes]
+    hashed = [grams_of(c, q) for c in codes]
     grams = np.concatenate(hashed) if hashed else np.zeros(0, dtype=np.uint64)
     owner = np.repeat(np.arange(len(items)), [len(h) for h in hashed])
     offset = np.concatenate([np.arange(len(h)) for h in hashed]) if hashed else np.zeros(0, dtype=np.int64)
@@ -140,7 +122,7 @@ def align(item: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int,
 
 def _candidates(index: Index, codes: np.ndarray, docs: np.ndarray, q: int):
     """(document, item, lowest diagonal) of bands that hold enough q-grams."""
-    grams = _grams(codes, q)
+    grams = grams_of(codes, q)
     at = np.flatnonzero(index.slots[grams >> np.uint64(64 - _SLOTS)])
     if not len(at):
         return

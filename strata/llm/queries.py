@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, embedding_join, html_text, language_id, minhash, packing, secret_scan, url_filters, warc
+from strata.llm import decontamination, embedding_join, html_text, language_id, minhash, packing, secret_scan, suffix_dedup, url_filters, warc
 from strata.llm.common import table
 from strata.llm.registry import ORACLES, QUERIES, query
 from strata.session import run_folder
@@ -160,3 +160,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its links at a cosine of 0.9 and its component."""
     return embedding_join.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query()
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 50-byte strings that earlier documents have."""
+    left = suffix_dedup.repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
