@@ -67,6 +67,7 @@ class Index:
     owner: np.ndarray
     offset: np.ndarray
     slots: np.ndarray
+    crowd: int
     short: list[int]
 
 
@@ -85,20 +86,33 @@ def index_of(items: list[tuple[int, str]], q: int = Q, rate: float = EDIT_RATE)
     offset = np.concatenate([np.arange(len(h)) for h in hashed]) if hashed else np.zeros(0, dtype=np.int64)
     order = np.argsort(grams, kind="stable")
     values, first = np.unique(grams[order], return_index=True)
-    slots = np.zeros(1 << _SLOTS, dtype=bool)
-    slots[values >> np.uint64(64 - _SLOTS)] = True
+    # Slots are the leading bits, so the q-grams of one are neighbours in the sorted array.
+    places = (values >> np.uint64(64 - _SLOTS)).astype(np.int64)
+    slots = np.full(1 << _SLOTS, -1, dtype=np.int32)
+    slots[places[::-1]] = np.arange(len(values), dtype=np.int32)[::-1]
+    crowd = int(np.bincount(places).max()) if len(values) else 0
     return Index(
         np.array([i for i, _ in items], dtype=np.int64), codes, budget, least, values, np.append(first, len(grams)),
-        owner[order], offset[order], slots, [i for i, n in enumerate(sizes) if 0 < n < q],
+        owner[order], offset[order], slots, crowd, [i for i, n in enumerate(sizes) if 0 < n < q],
     )
 
 
+def _found(item: np.ndarray, region: np.ndarray) -> int:
+    """Where the item first stands in the region as it is, or -1."""
+    wanted, data, at = item.astype("<u4").tobytes(), region.astype("<u4").tobytes(), 0
+    while (at := data.find(wanted, at)) >= 0 and at % 4:
+        at += 1
+    return at // 4 if at >= 0 else -1
+
+
 def align(item: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int, int] | None:
     """(edits, start, end) of the best place for an item in a region, if within the budget.
 
     Only diagonals that the region leaves an alignment of that budget are computed; ties go to the earliest start.
     """
     n, m = len(item), len(region)
+    if n <= m and (at := _found(item, region)) >= 0:
+        return 0, at, at + n
     band = max(m - n + budget, 0) + budget + 1
     far = np.int64(1) << 40
     unit = np.int64(1) << 20
@@ -113,6 +127,8 @@ def align(item: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int,
         new = np.minimum.accumulate(new - steps) + steps
         new[(shift + i < 0) | (shift + i > m)] = far
         cost = new
+        if i % 8 == 0 and cost.min() >> 20 > budget:
+            return None
     best = int(np.argmin(cost))
     edits = int(cost[best] >> 20)
     if edits > budget:
@@ -123,31 +139,41 @@ def align(item: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int,
 def _candidates(index: Index, codes: np.ndarray, docs: np.ndarray, q: int):
     """(document, item, lowest diagonal) of bands that hold enough q-grams."""
     grams = grams_of(codes, q)
-    at = np.flatnonzero(index.slots[grams >> np.uint64(64 - _SLOTS)])
+    where = index.slots[grams >> np.uint64(64 - _SLOTS)]
+    at = np.flatnonzero(where >= 0)
     if not len(at):
         return
-    where = np.searchsorted(index.grams, grams[at])
-    where[where == len(index.grams)] = 0
-    good = index.grams[where] == grams[at]
+    where, wanted = where[at], grams[at]
+    for _ in range(index.crowd - 1):
+        where += (index.grams[where] < wanted) & (where + 1 < len(index.grams))
+    good = index.grams[where] == wanted
     at, where = at[good], where[good]
     counts = index.first[where + 1] - index.first[where]
     places = np.repeat(index.first[where] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
     position, item = np.repeat(at, counts), index.owner[places]
     step = index.budget[item] + 1
     # Bands of two steps begin at each step: any k + 1 neighbouring diagonals lie in one of them.
-    diagonal = position - index.offset[places] + (1 << 32)
-    band = diagonal // step
-    key = docs[position] * len(index.ids) + item
-    both = np.stack([np.concatenate([key, key]), np.concatenate([band, band - 1])])
-    order = np.lexsort(both[::-1])
-    both = both[:, order]
-    new = np.flatnonzero(np.concatenate(([True], (both[:, 1:] != both[:, :-1]).any(axis=0))))
-    sizes = np.diff(np.append(new, both.shape[1]))
-    item_of = both[0, new] % len(index.ids)
-    for i in np.flatnonzero(sizes >= index.least[item_of]):
+    offset = index.offset[places]
+    shift = int(index.offset.max()) + 2 * int(index.budget.max()) + 2
+    band = (position - offset + shift) // step
+    width = len(codes) + shift + 1
+    key = (docs[position] * len(index.ids) + item) * width
+    both = np.concatenate([key + band, key + band - 1])
+    # Most bands hold a few chance hits: those that share a slot with too few others are out before anything is sorted.
+    slot = (both.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)
+    enough = np.bincount(slot.astype(np.int64), minlength=1 << _SLOTS)[slot] >= np.tile(index.least[item], 2)
+    both, offset = both[enough], np.tile(offset, 2)[enough]
+    order = np.argsort(both)
+    both, offset = both[order], offset[order]
+    new = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1]))) if len(both) else np.zeros(0, dtype=np.int64)
+    ends = np.append(new[1:], len(both))
+    item_of = both[new] // width % len(index.ids)
+    for i in np.flatnonzero(ends - new >= index.least[item_of]):
         item = int(item_of[i])
-        low = int(both[1, new[i]]) * (int(index.budget[item]) + 1) - (1 << 32)
-        yield int(both[0, new[i]]) // len(index.ids), item, low
+        # A q-gram of the item counts once, however often the document has it there.
+        if len(np.unique(offset[new[i]:ends[i]])) >= index.least[item]:
+            low = int(both[new[i]] % width) * (int(index.budget[item]) + 1) - shift
+            yield int(both[new[i]] // width) // len(index.ids), item, low
 
 
 def search(index: Index, texts: list[str], q: int = Q) -> list[tuple[int, int, int, int, int]]:
