@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.operators.joins import REPORT_ORDER
 from strata.plans.invoices import (
     InvoiceFolders, flatten, ingest, rewards_additive, rewards_complete, rewards_replace, rewards_table, stream_bronze,
     stream_line_items,
@@ -70,7 +71,7 @@ def gym(spark: SparkSession, args) -> DataFrame:
     if args.dates:
         plan.load_dates(args.dates)
     await_all(plan.run())
-    return plan.gym_summary()
+    return plan.gym_summary().orderBy(*REPORT_ORDER)
 
 
 def _job(args, name: str) -> Job:

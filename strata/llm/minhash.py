@@ -65,10 +65,11 @@ def _signed(x: int) -> int:
 
 
 def _posted(reps: DataFrame, stages: Stages, least: int) -> DataFrame:
-    """(token, id, n) for the prefix of each signature: its K - T + 1 rarest coordinate values.
+    """(token, id, n, score) for the prefix of each signature: its K - T + 1 rarest coordinate values.
 
     Two signatures that match in T of K coordinates share a token in these prefixes, as both are in the same order.
-    Tokens that one document alone has come first in that order and post nothing.
+    Tokens that one document alone has come first in that order and post nothing. The score is how often others
+    have the document's tokens: the largest in a group of copies is nearest to what they are copies of.
     """
     tokens = reps.select("id", F.col("n_shingles").alias("n"), F.posexplode("signature").alias("at", "value")).select(
         "id", "n", (F.col("at").cast("bigint") * (1 << 32) + F.col("value")).alias("token")
@@ -77,8 +78,11 @@ def _posted(reps: DataFrame, stages: Stages, least: int) -> DataFrame:
     ranked = tokens.join(shared, "token").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("all"))
     prefix = F.lit(COORDINATES - least + 1)
     room = F.greatest(prefix - (F.lit(COORDINATES) - F.size("all")), F.lit(0))
-    return stages.keep(ranked.select("id", "n", F.explode(F.slice("all", F.lit(1), room)).alias("x"))
-                       .select("id", "n", F.col("x.token").alias("token")), "prefix")
+    score = F.aggregate("all", F.lit(0).cast("bigint"), lambda s, x: s + x["df"])
+    return stages.keep(
+        ranked.select("id", "n", score.alias("score"), F.explode(F.slice("all", F.lit(1), room)).alias("x"))
+        .select("id", "n", "score", F.col("x.token").alias("token")), "prefix"
+    )
 
 
 def _matching(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
@@ -88,26 +92,67 @@ def _matching(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(equal >= least).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union of their whole sets."""
+def _compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, na, nb, linked, delta) of each pair, from the whole texts.
+
+    Linked: 100 * intersection >= percent * union. The delta holds the shingles that a has and b lacks, and, inverted,
+    those that b has and a lacks.
+    """
     kind = texts.schema["id"].dataType.simpleString()
 
-    def kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
         for frame in frames:
-            good = []
-            for b, one, two in zip(frame["b"], frame["ta"], frame["tb"], strict=True):
+            rows = []
+            for a, b, one, two in zip(frame["a"], frame["b"], frame["ta"], frame["tb"], strict=True):
                 if b not in held:
                     if len(held) >= 16:
                         held.clear()
                     held[b] = shingle_set(two, words)
                 x, y = shingle_set(one, words), held[b]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield frame.loc[np.array(good, dtype=bool), ["a", "b"]]
+                more = np.setdiff1d(x, y, assume_unique=True)
+                both = len(x) - len(more)
+                less = ~np.setdiff1d(y, x, assume_unique=True)
+                delta = np.concatenate((more, less)).view(np.int64)
+                rows.append((a, b, len(x), len(y), 100 * both >= percent * (len(x) + len(y) - both), delta))
+            yield pd.DataFrame(rows, columns=["a", "b", "na", "nb", "linked", "delta"], dtype=object)
 
     a, b = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInPandas(kept, f"a {kind}, b {kind}")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInPandas(
+        compared, f"a {kind}, b {kind}, na bigint, nb bigint, linked boolean, delta array<bigint>")
+
+
+def _by_delta(compared: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of documents compared with the same third one, of which one at least is not linked to it.
+
+    The difference of two sets is that of their deltas. If a is not linked to the third and a and b are
+    to be similar, then more than half of b's delta (less a little where b is the longer) is in a's. So b's rarer half meets all
+    of a's: the edits of unrelated copies are rare, and a group of copies does not meet itself.
+    """
+    open_groups = compared.where("not linked").select("b").distinct()
+    deltas = (
+        compared.join(open_groups, "b", "left_semi")
+        .join(near.withColumnRenamed("id", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
+    )
+    entries = deltas.select("b", F.explode("delta").alias("e"))
+    df = entries.groupBy("b", "e").agg(F.count("*").alias("df")).where("df > 1")
+    probe = deltas.where("not linked").select(
+        "b", F.explode("delta").alias("e"), F.col("a").alias("one"), F.col("component").alias("ca"))
+    longer = F.greatest(F.col("nb") * -1 + F.col("na"), F.lit(0)) * F.lit((100 - percent) / (100 + percent)) + F.lit(1e-9)
+    half = F.size("delta") - F.floor((F.size("delta") - longer) / 2)
+    every = deltas.select("b", "a", "component", half.alias("half"), F.size("delta").alias("size"), F.explode("delta").alias("e"))
+    # Elements that no other document of the group has come first and meet nothing.
+    index = (
+        every.join(df, ["b", "e"]).groupBy("b", "a", "component", "half", "size")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("all"))
+        .withColumn("room", F.greatest(F.col("half") - (F.col("size") - F.size("all")), F.lit(0)).cast("int"))
+        .select("b", F.col("a").alias("two"), F.col("component").alias("cb"), F.explode(F.slice("all", F.lit(1), F.col("room"))).alias("x"))
+        .select("b", "two", "cb", F.col("x.e").alias("e"))
+    )
+    return (
+        probe.join(index, ["b", "e"]).where("ca <> cb")
+        .select(F.greatest("one", "two").alias("a"), F.least("one", "two").alias("b")).distinct()
+    )
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -119,10 +164,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     Rows that repeat a key and its text share the result; a null key is its own component and kept. Other columns are not used.
 
     Documents with equal sets are one class and meet as sums only. Of each class one signature is
-    posted under its rarest coordinate values (see ``_posted``). A first pass pairs each document with the smallest of every list
-    it is in, so that a large group costs its size and not its square; a second pairs what shares a list
-    across components that the first left apart. Both count matches, drop pairs below the match
-    threshold, and confirm the rest on the whole texts. Links within a component are not needed for the result.
+    posted under its rarest coordinate values (see ``_posted``). A first pass pairs each document with the most typical of every
+    list it is in, so that a large group costs its size and not its square. A second pass looks for what that leaves: across
+    components, documents that were compared with the same one meet by what sets them apart from it
+    (see ``_by_delta``), and documents that could not be compared with a list's first meet the list. Both passes
+    drop pairs whose signatures match in fewer coordinates than the threshold, and confirm the rest on
+    the whole texts. Links within a component are not needed for the result.
     """
     stages = Stages(docs.sparkSession, "minhash")
     least = least_matches(percent)
@@ -141,33 +188,40 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     )
     alike = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
 
-    first = stages.keep(prefix.groupBy("token").agg(F.min(F.struct("id", "n")).alias("first"))
-                        .select("token", F.col("first.id").alias("b"), F.col("first.n").alias("nb")), "first")
+    first = stages.keep(
+        prefix.groupBy("token").agg(F.min(F.struct((-F.col("score")).alias("rank"), "id", "n")).alias("first"))
+        .select("token", F.col("first.id").alias("b"), F.col("first.n").alias("nb")), "first"
+    )
     star = (
         prefix.select("token", F.col("id").alias("a"), F.col("n").alias("na")).join(first, "token")
         .where(alike & F.expr("a <> b")).groupBy("a", "b").agg(F.count("*").alias("shared")).select("a", "b")
     )
     star = stages.keep(_matching(star, reps, least), "star")
-    links = stages.keep(_confirmed(star, texts, words, percent), "star-links")
+    compared = stages.keep(_compared(star, texts, words, percent), "compared")
+    links = compared.where("linked").select("a", "b")
     near = stages.keep(components(links, stages, "near"), "near")
 
     placed = stages.keep(
-        prefix.join(near, "id", "left").select("token", "id", "n", F.coalesce("component", "id").alias("component")), "placed"
-    )
-    mixed_lists = stages.keep(
-        placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high").select("token"), "mixed"
+        prefix.join(first.select("token", "b"), "token").select("token", F.col("id").alias("a"), "n", "b")
+        .join(star.withColumn("met", F.lit(True)), ["a", "b"], "left")
+        .join(near.withColumnRenamed("id", "a"), "a", "left")
+        .select("token", "a", "n", (F.coalesce("met", F.lit(False)) | F.expr("a = b")).alias("met"),
+                F.coalesce("component", "a").alias("component")), "placed"
     )
-    open_lists = stages.keep(placed.join(mixed_lists, "token"), "open")
-    one = open_lists.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    two = open_lists.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = (
-        one.join(two, "token").where(alike & F.expr("ca <> cb and a > b"))
-        .groupBy("a", "b").agg(F.count("*").alias("shared")).select("a", "b").join(star, ["a", "b"], "left_anti")
+    # Lists in which a document could not be compared with the first one, and which hold more than one component.
+    open_lists = stages.keep(
+        placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("met").alias("met"))
+        .where("low < high and not met").select("token"), "open"
     )
+    listed = stages.keep(placed.join(open_lists, "token"), "listed")
+    one = listed.where("not met").select("token", F.col("a").alias("one"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    two = listed.select("token", F.col("a").alias("two"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    rest = one.join(two, "token").where(alike & F.expr("ca <> cb")).select(
+        F.greatest("one", "two").alias("a"), F.least("one", "two").alias("b"))
+    rest = rest.union(_by_delta(compared, near, percent)).distinct()
     rest = stages.keep(_matching(rest, reps, least), "rest")
-    more = stages.keep(_confirmed(rest, texts, words, percent), "rest-links")
-    found = stages.keep(components(links.union(more), stages, "all"), "found")
+    more = stages.keep(_compared(rest, texts, words, percent).where("linked").select("a", "b"), "rest-links")
+    found = near if more.isEmpty() else stages.keep(components(links.union(more), stages, "all"), "found")
 
     joined = members.select("id", "rep").join(
         found.select(F.col("id").alias("rep"), "component"), "rep", "left"

@@ -13,21 +13,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strata.functions.temporal import age_band, age_in_years, epoch_to_timestamp, minutes_between, next_slot, time_slot
 
-# A side is broadcast only if it has no more rows than this; beyond it the join shuffles.
-BROADCAST_ROWS = 500_000
-
 _SLOT = "_slot"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a static, narrow side for broadcast after counting no further than the bound."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def matching(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows of a large static table that a small batch asks for.
 
@@ -37,19 +29,24 @@ def matching(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFram
     return table.join(rows.select(*keys), list(keys), "left_semi")
 
 
-def with_week_part(messages: DataFrame, dates: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def with_week_part(messages: DataFrame, dates: DataFrame) -> DataFrame:
     """Adds ``date`` and ``week_part`` of the message time; messages without a match keep nulls."""
-    lookup = broadcast_if_small(dates.select("date", "week_part"), max_rows)
     day = F.to_date(epoch_to_timestamp(F.col("timestamp")))
-    return messages.join(lookup, day == F.col("date"), "left")
+    return messages.join(dates.select("date", "week_part"), day == F.col("date"), "left")
 
 
-def profile_bins(profiles: DataFrame, users: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Age band and place of every profile, with or without a registered user."""
-    return profiles.join(users.select("user_id"), ["user_id"], "left").select(
+def user_bins(profiles: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Age band and place of every profile."""
+    return profiles.select(
         "user_id", age_band(age_in_years(F.col("dob"), as_of)).alias("age"), "gender", "city", "state")
 
 
+def profile_bins(profiles: DataFrame, users: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The bin of every profile, and since when its user is registered: null for profiles without a user."""
+    since = users.select("user_id", "registered")
+    return user_bins(profiles, as_of).join(since, "user_id", "left")
+
+
 def with_device(workouts: DataFrame, users: DataFrame) -> DataFrame:
     """Finished workouts of registered users, with the user's device."""
     return workouts.join(users.select("user_id", "device_id"), "user_id").select(
@@ -168,3 +165,10 @@ def presence_report(gym_logs: DataFrame, workouts: DataFrame, users: DataFrame)
 
 
 REPORT_ORDER = ["date", "gym", "mac_address", "session_id"]
+
+
+def ranked_report(report: DataFrame) -> DataFrame:
+    """The report with its place in ``REPORT_ORDER`` on each date; ties have places too, by all other columns."""
+    others = [c for c in report.columns if c not in REPORT_ORDER]
+    by_date = Window.partitionBy("date").orderBy(*REPORT_ORDER[1:], *others)
+    return report.withColumn("place", F.row_number().over(by_date))

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.functions.temporal import epoch_to_timestamp
 from strata.operators.aggregates import reading_stats
 from strata.operators.joins import (
-    containment_join, interval_join, matching, presence_report, profile_bins, with_bins, with_device,
+    containment_join, interval_join, presence_report, user_bins, with_bins, with_device,
     with_week_part,
 )
 from strata.operators.latest import latest_changes, latest_per_key
@@ -100,7 +100,7 @@ class Gym:
 
     def _ingest_csv(self, name: str, schema: str) -> StreamingQuery:
         rows = stream_csv(self.spark, f"{self.landing}/{name}", schema, self.files_per_trigger)
-        return append_to_path(rows, f"{self.root}/{name}", self.job(name, "bronze_p2"))
+        return append_to_path(rows, f"{self.root}/{name}", self.job(name, "landing_2"))
 
     def ingest_users(self) -> StreamingQuery:
         return self._ingest_csv("registered_users_bz", REGISTERED_USER)
@@ -113,7 +113,7 @@ class Gym:
         messages = stream_json(self.spark, f"{self.landing}/kafka_multiplex_bz", MESSAGE, self.files_per_trigger)
         dated = with_week_part(messages, self.dates.read())
         return append_to_path(
-            dated, f"{self.root}/kafka_multiplex_bz", self.job("kafka_multiplex_bz", "bronze_p1"),
+            dated, f"{self.root}/kafka_multiplex_bz", self.job("kafka_multiplex_bz", "landing_1"),
             partition_by=["topic", "week_part"])
 
     # -- silver ------------------------------------------------------------------------
@@ -142,7 +142,7 @@ class Gym:
         # No duplicate state: its keys would have no event time and stay for good, and the
         # table's own key already decides.
         return insert_new(
-            registered, self.tables["users"], self.job("users", "silver_p2"),
+            registered, self.tables["users"], self.job("users", "tables_2"),
             order=["registration_timestamp", "device_id", "mac_address"])
 
     def silver_gym_logs(self) -> StreamingQuery:
@@ -155,7 +155,7 @@ class Gym:
             return rows.groupBy(*KEYS["gym_logs"]).agg(F.max("logout").alias("logout"))
 
         return upsert(
-            visits, self.tables["gym_logs"], self.job("gym_logs", "silver_p3"), LATER_LOGOUT,
+            visits, self.tables["gym_logs"], self.job("gym_logs", "tables_3"), LATER_LOGOUT,
             prepare=last_logout)
 
     def silver_profiles(self) -> StreamingQuery:
@@ -166,19 +166,19 @@ class Gym:
             return latest_changes(rows, KEYS["user_profile"], "updated")
 
         return upsert(
-            changes, self.tables["user_profile"], self.job("user_profile", "silver_p3"), NEWER_PROFILE,
+            changes, self.tables["user_profile"], self.job("user_profile", "tables_3"), NEWER_PROFILE,
             prepare=newest)
 
     def silver_workouts(self) -> StreamingQuery:
         events = self._distinct(workout_events(self._messages()), "workouts", "time")
         return insert_new(
-            events, self.tables["workouts"], self.job("workouts", "silver_p3"),
+            events, self.tables["workouts"], self.job("workouts", "tables_3"),
             order=["workout_id", "session_id", "action"], range_column="time")
 
     def silver_heart_rate(self) -> StreamingQuery:
         readings = self._distinct(heart_rates(self._messages()), "heart_rate", "time")
         return insert_new(
-            readings, self.tables["heart_rate"], self.job("heart_rate", "silver_p2"),
+            readings, self.tables["heart_rate"], self.job("heart_rate", "tables_2"),
             order=[F.col("valid").desc(), "heartrate"], range_column="time")
 
     def silver_bins(self) -> StreamingQuery:
@@ -186,12 +186,10 @@ class Gym:
         profiles = self._stored("user_profile")
 
         def current(rows: DataFrame) -> DataFrame:
-            newest = latest_per_key(rows, KEYS["user_profile"], "updated")
-            users = matching(self.tables["users"].read(), newest, ["user_id"])
-            return profile_bins(newest, users, self.as_of)
+            return user_bins(latest_per_key(rows, KEYS["user_profile"], "updated"), self.as_of)
 
         return upsert(
-            profiles, self.tables["user_bins"], self.job("user_bins", "silver_p3"), [(None, SET_ALL)],
+            profiles, self.tables["user_bins"], self.job("user_bins", "tables_3"), [(None, SET_ALL)],
             prepare=current)
 
     def silver_completed(self) -> StreamingQuery:
@@ -202,7 +200,7 @@ class Gym:
                             self._join_lateness)
         return insert_new(
             interval_join(starts, stops, SESSION), self.tables["completed_workouts"],
-            self.job("completed_workouts", "silver_p1"), order=["start_time", "end_time"])
+            self.job("completed_workouts", "tables_1"), order=["start_time", "end_time"])
 
     def silver_devices(self) -> StreamingQuery:
         """Finished sessions with the user's device, by the users registered at that moment.
@@ -214,7 +212,7 @@ class Gym:
 
         return insert_new(
             self._stored("completed_workouts"), self.tables["session_devices"],
-            self.job("session_devices", "silver_p1"), order=["start_time", "end_time"],
+            self.job("session_devices", "tables_1"), order=["start_time", "end_time"],
             prepare=with_current_devices)
 
     def silver_bpm(self) -> StreamingQuery:
@@ -225,7 +223,7 @@ class Gym:
             "time", self._join_lateness)
         return insert_new(
             containment_join(readings, sessions, ["device_id"]), self.tables["workout_bpm"],
-            self.job("workout_bpm", "silver_p2"), order=["start_time", "end_time", "heartrate"],
+            self.job("workout_bpm", "tables_2"), order=["start_time", "end_time", "heartrate"],
             range_column="time")
 
     # -- gold --------------------------------------------------------------------------
@@ -239,7 +237,7 @@ class Gym:
             return with_bins(rows, self.tables["user_bins"].read(), self.bins_join)
 
         return insert_new(
-            stats, self.tables["workout_bpm_summary"], self.job("workout_bpm_summary", "gold_p1"),
+            stats, self.tables["workout_bpm_summary"], self.job("workout_bpm_summary", "results_1"),
             order=[F.col("num_recordings").desc(), "min_bpm", "max_bpm", "avg_bpm"], prepare=binned)
 
     @property
@@ -253,13 +251,21 @@ class Gym:
             self.tables["gym_logs"].read(), self.tables["completed_workouts"].read(), self.tables["users"].read())
 
     def create_views(self, prefix: str = "") -> list[str]:
-        """Name every table, and the report, for SQL in this session; returns the names."""
+        """Name every table, and the report, for SQL in this session; returns the names.
+
+        A view shows the rows of this moment. ``sql`` names them anew for each statement.
+        """
         frames = {name: table.read() for name, table in self.tables.items()}
         frames |= {"date_lookup": self.dates.read(), "gym_summary": self.gym_summary()}
         for name, frame in frames.items():
             create_view(frame, prefix + name)
         return [prefix + name for name in frames]
 
+    def sql(self, statement: str, prefix: str = "") -> DataFrame:
+        """Run SQL over the tables and the report as they are now."""
+        self.create_views(prefix)
+        return self.spark.sql(statement)
+
     # -- running -----------------------------------------------------------------------
 
     def stages(self) -> list[list[Callable[[], StreamingQuery]]]:

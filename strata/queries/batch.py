@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.messages import decode_json
@@ -12,7 +12,7 @@ from strata.functions.temporal import (
 from strata.functions.text import split_records
 from strata.operators.aggregates import reading_stats, reward_points, split_by_type, trade_totals
 from strata.operators.joins import (
-    containment_join, interval_join, presence_report, profile_bins, with_bins, with_device, with_week_part,
+    containment_join, interval_join, presence_report, profile_bins, ranked_report, user_bins, with_bins, with_device, with_week_part,
 )
 from strata.operators.latest import latest_changes
 from strata.operators.messages import decode_log, encode_log, flag_valid, of_topic, valid_only, where
@@ -190,21 +190,22 @@ def date_lookup_of(days: DataFrame) -> DataFrame:
 
 
 @query("""
-    SELECT event_id, CASE WHEN day(ts) <= 20 THEN CAST(ts AS DATE) END AS date,
-           CASE WHEN day(ts) > 20 THEN NULL WHEN dayofweek(ts) IN (0, 6) THEN 'weekend' ELSE 'weekday' END AS week_part
+    SELECT event_id, CASE WHEN dayofweek(ts) <> 3 THEN CAST(ts AS DATE) END AS date,
+           CASE WHEN dayofweek(ts) = 3 THEN NULL WHEN dayofweek(ts) IN (0, 6) THEN 'weekend' ELSE 'weekday' END AS week_part
     FROM events WHERE event_type = 'view'
 """)
 def week_part_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with their part of the week, stored by topic and part, read back for one topic."""
     source = table(spark, sf_dir, "events")
-    days = source.select(F.to_date("ts").alias("date")).distinct().where(F.dayofmonth("date") <= 20)
+    days = source.select(F.to_date("ts").alias("date")).distinct().where(F.dayofweek("date") != 4)
     messages = source.select(
         "event_id", F.col("event_type").alias("topic"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"))
     folder = run_folder(spark, "week_part")
-    dated = with_week_part(messages, date_lookup_of(days))
-    dated.write.partitionBy("topic", "week_part").parquet(folder)
-    return of_topic(spark.read.parquet(folder), "view").select("event_id", "date", "week_part")
+    date_lookup_of(days).write.parquet(f"{folder}/dates")  # made once; its real size then decides about a broadcast
+    dated = with_week_part(messages, spark.read.parquet(f"{folder}/dates"))
+    dated.write.partitionBy("topic", "week_part").parquet(f"{folder}/messages")
+    return of_topic(spark.read.parquet(f"{folder}/messages"), "view").select("event_id", "date", "week_part")
 
 
 @query("""
@@ -239,12 +240,12 @@ def profiles_of(customer: DataFrame) -> DataFrame:
     dob = F.when(F.col("c_mktsegment") != "MACHINERY", F.date_add(F.lit("1905-05-20").cast("date"), days))
     return customer.select(
         F.col("c_custkey").alias("user_id"), dob.alias("dob"), F.col("c_mktsegment").alias("gender"),
-        text("c_nationkey").alias("city"), F.substring("c_name", 1, 8).alias("state"))
+        text("c_nationkey").alias("city"), F.right("c_name", F.lit(4)).alias("state"))
 
 
 PROFILES_SQL = """
     SELECT c_custkey AS user_id, c_mktsegment AS gender, CAST(c_nationkey AS VARCHAR) AS city,
-           substring(c_name, 1, 8) AS state,
+           right(c_name, 4) AS state,
            CASE WHEN c_mktsegment <> 'MACHINERY'
                 THEN DATE '1905-05-20' + CAST((c_custkey * 7919) % 43500 AS INTEGER) END AS dob
     FROM customer
@@ -263,13 +264,19 @@ def as_of():
 
 
 def bins_of(customer: DataFrame) -> DataFrame:
-    registered = where(customer, "c_acctbal > 0").select(F.col("c_custkey").alias("user_id"))
-    return profile_bins(profiles_of(customer), registered, as_of())
+    return user_bins(profiles_of(customer), as_of())
 
 
-@query(BINS_SQL)
+@query(f"""
+    SELECT b.*, r.c_acctbal AS registered
+    FROM ({BINS_SQL}) b LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) r ON b.user_id = r.c_custkey
+""")
 def age_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bins_of(table(spark, sf_dir, "customer"))
+    """The bins of all profiles, with or without a registration."""
+    customer = table(spark, sf_dir, "customer")
+    users = where(customer, "c_acctbal > 0").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("registered"))
+    return profile_bins(profiles_of(customer), users, as_of())
 
 
 @query(f"""
@@ -317,10 +324,10 @@ CONTAINMENT_SQL = """
 """
 
 
-def users_of(customer: DataFrame) -> DataFrame:
+def users_of(customer: DataFrame, *more: Column) -> DataFrame:
     return customer.select(
         F.col("c_custkey").alias("user_id"), (F.col("c_custkey") * 7).alias("device_id"),
-        F.concat(F.lit("mac"), text("c_custkey")).alias("mac_address"))
+        F.concat(F.lit("mac"), text("c_custkey")).alias("mac_address"), *more)
 
 
 def lasting(start, value, micros_per_cent: int):
@@ -377,7 +384,7 @@ def session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_bins(stats, bins_of(table(spark, sf_dir, "customer")))
 
 
-@query("""
+PRESENCE_SQL = """
     WITH visits AS (
         SELECT 'mac' || user_id AS mac_address, user_id % 7 AS gym, ts AS login,
                ts + to_microseconds(CAST(round(value * 100) AS BIGINT) * 6000000) AS logout
@@ -392,7 +399,10 @@ def session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
            round((CAST(floor(epoch(end_time)) AS BIGINT) - CAST(floor(epoch(start_time)) AS BIGINT)) / 60.0, 2)
                AS minutes_exercising
     FROM visits l JOIN sessions w ON l.mac_address = w.mac_address AND w.start_time BETWEEN l.login AND l.logout
-""")
+"""
+
+
+@query(PRESENCE_SQL)
 def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = events(table(spark, sf_dir, "events"))
     visits = where(source, "event_type = 'signup'").select(
@@ -404,6 +414,15 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presence_report(visits, sessions, users_of(table(spark, sf_dir, "customer")))
 
 
+@query(f"""
+    SELECT *, CAST(row_number() OVER (PARTITION BY date ORDER BY gym, mac_address, session_id, workout_id, minutes_in_gym,
+        minutes_exercising) AS INTEGER) AS place FROM ({PRESENCE_SQL})
+""")
+def presence_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report in its order, told by each row's place on its date."""
+    return ranked_report(presence(spark, sf_dir))
+
+
 REWARDS_SQL = """
     SELECT CAST(o_custkey AS VARCHAR) AS CustomerCardNo, round(sum(o_totalprice), 4) AS TotalAmount,
            round(sum(o_totalprice * 0.2), 4) AS TotalPoints

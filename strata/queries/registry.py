@@ -69,7 +69,24 @@ def in_batches(session: SparkSession, df: DataFrame, folder: str, loads: int = 4
     return stream_parquet(session, folder, files_per_trigger=-(-files // loads)).drop("landing_part")
 
 
+def in_event_order(session: SparkSession, df: DataFrame, folder: str, at: str, loads: int = 4) -> DataFrame:
+    """Land a table in loads that follow one another in event time, and stream it back load by load.
+
+    Each load is as many files as a trigger takes, so micro-batches and loads are the same unless a load has
+    fewer rows than files; batches then still follow one another.
+    """
+    files = max(1, session.sparkContext.defaultParallelism // 2)
+    cuts = df.select(F.unix_micros(F.col(at).cast("timestamp")).alias("t")).agg(
+        *[F.percentile_approx("t", i / loads) for i in range(1, loads)]).first()
+    edges = [None, *[c for c in cuts if c is not None], None]
+    time = F.unix_micros(F.col(at).cast("timestamp"))
+    for low, high in zip(edges[:-1], edges[1:]):
+        part = df.where((time > low if low is not None else F.lit(True)) & (time <= high if high is not None else F.lit(True)))
+        part.repartition(files).write.mode("append").parquet(folder)
+    return session.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
 __all__ = [
-    "ORACLES", "QUERIES", "events", "in_batches", "plain_times", "query", "rounded", "run_folder",
+    "ORACLES", "QUERIES", "events", "in_batches", "in_event_order", "plain_times", "query", "rounded", "run_folder",
     "streaming_session", "table", "table_stream", "text",
 ]

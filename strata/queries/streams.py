@@ -14,7 +14,7 @@ from strata.queries.batch import (
     other_points, purchase_ends, session_readings, signup_spans, users_of,
 )
 from strata.queries.registry import (
-    events, in_batches, plain_times, query, rounded, run_folder, streaming_session, table, table_stream,
+    events, in_batches, in_event_order, plain_times, query, rounded, run_folder, streaming_session, table, table_stream,
 )
 from strata.schemas import GYM_LOGIN, MESSAGE, REGISTERED_USER
 from strata.sinks.catalog import ensure_database
@@ -24,6 +24,12 @@ from strata.streaming.jobs import Job, append_to_path, await_all
 from strata.streaming.state import watermarked, without_duplicates
 
 
+def complete(queries) -> None:
+    """Wait for streams whose results are to hold every row: one that dropped late rows is an error."""
+    if late := {name: n for name, n in await_all(queries).items() if n}:
+        raise ValueError(f"rows dropped as late: {late}")
+
+
 def _land_text(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Documents as text files, each followed by the separator the readers cut at."""
     table(spark, sf_dir, "documents").select("text").write.option("lineSep", ".").text(folder)
@@ -69,10 +75,11 @@ def trade_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event three times over, reduced to one."""
     session, folder = streaming_session(spark), run_folder(spark, "dedup_stream")
-    tripled = events(table_stream(session, sf_dir, "events")).select(
+    loads = in_event_order(session, table(session, sf_dir, "events"), f"{folder}/landing", "ts")
+    tripled = events(loads).select(
         "user_id", "ts", F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("copy")).drop("copy")
     distinct = without_duplicates(tripled, ["user_id", "ts"], "ts", spread=8)
-    await_all([append_to_path(distinct, f"{folder}/rows", Job("dedup", f"{folder}/checkpoint"))])
+    complete([append_to_path(distinct, f"{folder}/rows", Job("dedup", f"{folder}/checkpoint"))])
     return plain_times(spark.read.parquet(f"{folder}/rows"))
 
 
@@ -80,13 +87,15 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interval_pairs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, folder = streaming_session(spark), run_folder(spark, "interval_pairs_stream")
 
+    landed = in_event_order(session, table(session, sf_dir, "events"), f"{folder}/landing", "ts")
+
     def side() -> DataFrame:
-        return events(table_stream(session, sf_dir, "events"))
+        return events(landed)
 
     starts = watermarked(click_starts(side()), "start_time")
     ends = watermarked(purchase_ends(side()), "end_time")
     pairs = interval_join(starts, ends, ["user_id"])
-    await_all([append_to_path(pairs, f"{folder}/rows", Job("interval", f"{folder}/checkpoint"))])
+    complete([append_to_path(pairs, f"{folder}/rows", Job("interval", f"{folder}/checkpoint"))])
     return plain_times(spark.read.parquet(f"{folder}/rows"))
 
 
@@ -95,13 +104,15 @@ def contained_points_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, folder = streaming_session(spark), run_folder(spark, "contained_points_stream")
     users = users_of(table(session, sf_dir, "customer"))
 
+    landed = in_event_order(session, table(session, sf_dir, "events"), f"{folder}/landing", "ts")
+
     def side() -> DataFrame:
-        return events(table_stream(session, sf_dir, "events"))
+        return events(landed)
 
     spans = watermarked(with_device(signup_spans(side()), users), "end_time")
     points = watermarked(other_points(side()), "time")
     matched = containment_join(points, spans, ["device_id"]).select(*CONTAINED)
-    await_all([append_to_path(matched, f"{folder}/rows", Job("contained", f"{folder}/checkpoint"))])
+    complete([append_to_path(matched, f"{folder}/rows", Job("contained", f"{folder}/checkpoint"))])
     return plain_times(spark.read.parquet(f"{folder}/rows"))
 
 
@@ -112,9 +123,10 @@ def contained_points_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def session_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups are emitted once the watermark has passed them; the newest are still open."""
     session, folder = streaming_session(spark), run_folder(spark, "session_stats_stream")
-    readings = watermarked(session_readings(events(table_stream(session, sf_dir, "events"))), "end_time")
+    landed = in_event_order(session, table(session, sf_dir, "events"), f"{folder}/landing", "ts")
+    readings = watermarked(session_readings(events(landed)), "end_time")
     stats = reading_stats(readings, ["user_id", "workout_id", "session_id", "end_time"])
-    await_all([append_to_path(stats, f"{folder}/rows", Job("stats", f"{folder}/checkpoint"))])
+    complete([append_to_path(stats, f"{folder}/rows", Job("stats", f"{folder}/checkpoint"))])
     return plain_times(rounded(spark.read.parquet(f"{folder}/rows"), "avg_bpm", places=8))
 
 
@@ -126,10 +138,8 @@ def session_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files with a header line, one file per trigger at least, with lineage."""
     session, folder = streaming_session(spark), run_folder(spark, "landed_registrations")
-    users = users_of(table(session, sf_dir, "customer").select("c_custkey", "c_acctbal"))
-    balance = table(session, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("registration_timestamp"))
-    users.join(balance, "user_id").write.option("header", True).csv(f"{folder}/landing")
+    users = users_of(table(session, sf_dir, "customer"), F.col("c_acctbal").alias("registration_timestamp"))
+    users.write.option("header", True).csv(f"{folder}/landing")
     return _ingested(spark, session, folder, stream_csv(session, f"{folder}/landing", REGISTERED_USER, 1000))
 
 

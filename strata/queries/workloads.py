@@ -58,9 +58,9 @@ def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     days = table(session, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date")).distinct()
     date_lookup_of(days).write.json(f"{folder}/dates")
-    columns = "cast(date AS date) AS date, week, year, month, dayofweek, dayofmonth, dayofyear, week_part"
     for _ in range(2):
-        overwrite_rows(query_file(session, f"{folder}/dates", columns), f"{database}.date_lookup")
+        dates = query_file(session, f"{folder}/dates", schema=DATE_LOOKUP)
+        overwrite_rows(dates, f"{database}.date_lookup")
 
     placed = table_stream(session, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("date"))

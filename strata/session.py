@@ -49,10 +49,12 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     width = spark.sparkContext.defaultParallelism
-    if "spark.sql.shuffle.partitions" not in settings:
+    submitted = spark.sparkContext.getConf()
+    # A width that was given, here or with spark-submit, is never overridden.
+    if "spark.sql.shuffle.partitions" not in settings and not submitted.contains("spark.sql.shuffle.partitions"):
         spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    if _INITIAL not in settings:
-        spark.conf.set(_INITIAL, str(_batch_width(spark)))
+        if _INITIAL not in settings and not submitted.contains(_INITIAL):
+            spark.conf.set(_INITIAL, str(_batch_width(spark)))
     return spark
 
 
@@ -70,11 +72,14 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
     follows the cluster width unless it is given.
     """
     session = spark.newSession()
-    width = state_partitions or spark.sparkContext.defaultParallelism
+    submitted = spark.sparkContext.getConf()
+    given = submitted.get("spark.sql.shuffle.partitions")
+    width = state_partitions or int(given or spark.sparkContext.defaultParallelism)
     for key, value in {**COMMON_CONF, **STATE_CONF}.items():
         session.conf.set(key, value)
     session.conf.set("spark.sql.shuffle.partitions", str(width))
-    session.conf.set(_INITIAL, str(max(width, _batch_width(spark))))
+    if not submitted.contains(_INITIAL):
+        session.conf.set(_INITIAL, str(max(width, _batch_width(spark))))
     return session
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,5 +94,5 @@ def merge_into_catalog(source: DataFrame, table: str, keys: Sequence[str], match
 
 
 def _qualify(sql: str, table: str) -> str:
-    import re
-    return re.sub(r"\bt\.", f"{table}.", sql)
+    """The stored row's columns by the table's name; text in quotes stays as it is."""
+    return re.sub(r"'(?:[^'\\]|\\.)*'|\bt\.", lambda m: m[0] if m[0][0] == "'" else f"{table}.", sql)

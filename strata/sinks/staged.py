@@ -35,14 +35,9 @@ class _Staged:
         self.fs = SharedFs(spark, self.root)
         self.fs.mkdirs(self.data)
 
-    def _publish(self, df: DataFrame, target: str, partition_by: Sequence[str] = (), note: str = "") -> None:
+    def _publish(self, df: DataFrame, target: str) -> None:
         staging = f"{self.root}/_staging/{target.rsplit('/data/', 1)[-1]}"
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(staging)
-        if note:
-            self.fs.write_text(f"{staging}/{_NOTE}", note)
+        df.write.mode("overwrite").parquet(staging)
         self.fs.move(staging, target)
 
     def _conform(self, df: DataFrame) -> DataFrame:
@@ -155,8 +150,8 @@ class InsertTable(_Staged):
         with _kept(self._conform(source), keep) as rows:
             bounds = [F.count("*").alias("n")]
             if range_column:
-                bounds += [
-                    F.min(range_column).cast("string").alias("lo"), F.max(range_column).cast("string").alias("hi")]
+                exact = self._exact(range_column)
+                bounds += [F.min(exact).alias("lo"), F.max(exact).alias("hi")]
             facts = rows.agg(*bounds).first()
             if facts.n == 0:
                 return False
@@ -174,9 +169,15 @@ class InsertTable(_Staged):
             self._publish(new.unionByName(unkeyed), target)
         return True
 
-    def _within(self, stored: DataFrame, column: str, low: str, high: str) -> DataFrame:
+    def _exact(self, column: str) -> Column:
+        """A value as it comes to the driver and back: instants as numbers, as their spelling can be ambiguous."""
+        instant = self.schema[column].dataType.typeName() == "timestamp"
+        return F.unix_micros(column) if instant else F.col(column).cast("string")
+
+    def _within(self, stored: DataFrame, column: str, low: int | str, high: int | str) -> DataFrame:
         kind = self.schema[column].dataType
-        return stored.where(F.col(column).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+        low, high = (F.timestamp_micros(F.lit(x)) if kind.typeName() == "timestamp" else F.lit(x).cast(kind) for x in (low, high))
+        return stored.where(F.col(column).between(low, high))
 
 
 SET_ALL = "*"
@@ -190,8 +191,11 @@ class UpsertTable(_Staged):
     It is replaced by one rename, which is what commits a merge. Files also hold the commit
     that last changed a row; sorted on it, they double as the table's change feed.
 
-    Choose ``buckets`` so that one stays within about a gigabyte, and ``rebucket`` as needed: a
-    touched bucket is read and written whole.
+    Choose ``buckets`` so that one stays within about a gigabyte: a touched bucket is read and written
+    whole. Their number is fixed by the table's first commit.
+
+    What a merge writes is staged, then committed by its manifest, and only then moved to where
+    streams see it; a run that dies in between leaves the move to whoever opens the table next.
 
     ``day_of`` names a key column of event time for tables that grow with time: every day then
     has its own set of buckets, so a batch rewrites the days it holds and leaves the rest alone.
@@ -208,8 +212,8 @@ class UpsertTable(_Staged):
             raise ValueError(f"day_of has to be one of the keys {list(keys)}, not {day_of}")
         self.keys = list(keys)
         self.day_of = day_of
-        manifest = self._manifest()
-        self.buckets = manifest["width"] or buckets
+        self._wanted = buckets
+        self._manifest()
 
     # -- state ------------------------------------------------------------------------
 
@@ -217,8 +221,23 @@ class UpsertTable(_Staged):
         folder = f"{self.root}/manifest"
         commits = [int(n.split(".")[0]) for n in self.fs.names(folder) if n.endswith(".json")]
         if not commits:
-            return {"commit": -1, "width": None, "buckets": {}, "applied": {}}
-        return json.loads(self.fs.read_text(f"{folder}/{max(commits)}.json"))
+            return {"commit": -1, "width": self._wanted, "buckets": {}, "applied": {}}
+        manifest = json.loads(self.fs.read_text(f"{folder}/{max(commits)}.json"))
+        self._uncover(manifest["commit"])
+        return manifest
+
+    def _staged_at(self, commit: int) -> str:
+        return f"{self.root}/_staging/commit={commit}"
+
+    def _uncover(self, commit: int) -> None:
+        """Move what a commit wrote to where it is read, if that has not happened yet."""
+        target = f"{self.data}/commit={commit}"
+        if self.fs.exists(self._staged_at(commit)) and not self.fs.exists(target):
+            try:
+                self.fs.move(self._staged_at(commit), target)
+            except OSError:
+                if not self.fs.exists(target):  # else another reader moved it
+                    raise
 
     def _commit(self, manifest: dict) -> None:
         folder = f"{self.root}/manifest"
@@ -232,17 +251,17 @@ class UpsertTable(_Staged):
     def _stored_schema(self):
         return StructType([*self.schema, StructField(self._CHANGED, LongType())])
 
-    def _bucket(self) -> Column:
+    def _bucket(self, width: int) -> Column:
         """Bucket of a row; rows with a null key match nothing and are spread by all columns."""
         of_keys = F.xxhash64(*self.keys)
         missing = F.lit(False)
         for key in self.keys:
             missing = missing | F.col(key).isNull()
         spread = F.when(missing, F.xxhash64(*self.columns)).otherwise(of_keys)
-        bucket = F.pmod(spread, F.lit(self.buckets))
+        bucket = F.pmod(spread, F.lit(width))
         if self.day_of:
             day = F.coalesce(F.unix_date(F.to_date(self.day_of)), F.lit(0))
-            bucket = bucket + day * self.buckets
+            bucket = bucket + day * width
         return bucket.cast("long")
 
     def _read_buckets(self, manifest: dict, wanted: set[int] | None = None) -> DataFrame:
@@ -299,22 +318,25 @@ class UpsertTable(_Staged):
         if manifest["applied"].get(writer, -1) >= batch_id:
             return False
         commit = manifest["commit"] + 1
-        target, note = f"{self.data}/commit={commit}", f"{writer} {batch_id}"
-        ready = self._is_made_by(target, note)  # published by a run that died before its commit
+        width = manifest["width"]
+        staged, note = self._staged_at(commit), f"{writer} {batch_id}"
+        ready = self._is_made_by(staged, note)  # written by a run that died before its commit
         if not ready:
-            with _kept(self._conform(source).withColumn("_bucket", self._bucket()), keep) as rows:
+            with _kept(self._conform(source).withColumn("_bucket", self._bucket(width)), keep) as rows:
                 touched = {r[0] for r in rows.select("_bucket").distinct().collect()}
                 if not touched:
                     return False
                 known = {b for b in touched if str(b) in manifest["buckets"]}
                 stored = self._read_buckets(manifest, known) if known else None
-                self._publish_buckets(self._merged(stored, rows, commit, matched), target, note)
+                self._stage_buckets(self._merged(stored, rows, commit, matched), staged, note, width)
+        self.fs.delete(f"{self.data}/commit={commit}")  # if there is one, no commit ever named it
         self._commit({
             "commit": commit,
-            "width": self.buckets,
-            "buckets": {**manifest["buckets"], **dict.fromkeys(self._buckets_in(target), commit)},
+            "width": width,
+            "buckets": {**manifest["buckets"], **dict.fromkeys(self._buckets_in(staged), commit)},
             "applied": {**manifest["applied"], writer: batch_id},
         })
+        self._uncover(commit)
         return not ready
 
     def _is_made_by(self, folder: str, note: str) -> bool:
@@ -324,27 +346,13 @@ class UpsertTable(_Staged):
     def _buckets_in(self, folder: str) -> list[str]:
         return [n.split("=")[1] for n in self.fs.names(folder) if n.startswith("bucket=")]
 
-    def _publish_buckets(self, df: DataFrame, target: str, note: str) -> None:
+    def _stage_buckets(self, df: DataFrame, staged: str, note: str, width: int) -> None:
         """Write rows by bucket: one shuffle makes few, well-sized files, and AQE splits large buckets."""
-        if self.fs.exists(target):  # something else's leftover, never committed
-            self.fs.delete(target)
-        laid_out = df.withColumn("bucket", self._bucket()).hint("rebalance", F.col("bucket"))
+        laid_out = df.withColumn("bucket", self._bucket(width)).hint("rebalance", F.col("bucket"))
         ordered = laid_out.sortWithinPartitions("bucket", F.col(self._CHANGED).desc())
-        self._publish(ordered, target, ["bucket"], note)
-
-    def rebucket(self, buckets: int) -> None:
-        """Lay the table out anew over another number of buckets, as it grows or shrinks.
-
-        Rows keep the commit that last changed them, so streams of changes see nothing new.
-        """
-        manifest = self._manifest()
-        self.buckets = buckets
-        commit = manifest["commit"] + 1
-        target = f"{self.data}/commit={commit}"
-        self._publish_buckets(self._read_buckets(manifest), target, f"rebucket {buckets}")
-        self._commit({
-            **manifest, "commit": commit, "width": buckets,
-            "buckets": dict.fromkeys(self._buckets_in(target), commit)})
+        self.fs.delete(f"{staged}/{_NOTE}")
+        ordered.write.mode("overwrite").partitionBy("bucket").parquet(staged)
+        self.fs.write_text(f"{staged}/{_NOTE}", note)
 
     def _merged(self, stored: DataFrame | None, rows: DataFrame, commit: int, matched: Sequence[Clause]) -> DataFrame:
         keyed, unkeyed = _split_null_keys(rows.select(*self.columns), self.keys)

@@ -21,9 +21,13 @@ def read_json_file(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def query_file(spark: SparkSession, path: str, columns: str = "*", kind: str = "json") -> DataFrame:
-    """SQL straight on a file."""
-    return spark.sql(f"SELECT {columns} FROM {kind}.`{path}`")
+def query_file(
+    spark: SparkSession, path: str, columns: str = "*", kind: str = "json", schema: str | None = None,
+) -> DataFrame:
+    """SQL straight on a file. With a schema the file is not read a first time to infer one."""
+    if schema is None:
+        return spark.sql(f"SELECT {columns} FROM {kind}.`{path}`")
+    return spark.sql(f"SELECT {columns} FROM {{rows}}", rows=spark.read.schema(schema).format(kind).load(path))
 
 
 def stream_files(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
@@ -21,8 +22,8 @@ class Job:
     pool: str | None = None   # scheduler pool to run in
 
     def writer(self, df: DataFrame, mode: str) -> DataStreamWriter:
-        if self.pool:
-            df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", self.pool)
+        # Set for each job, to None too: else a job would run in the pool of the one started before it.
+        df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", self.pool)
         writer = df.writeStream.queryName(self.name).outputMode(mode)
         writer = writer.option("checkpointLocation", self.checkpoint)
         return writer.trigger(processingTime=self.every) if self.every else writer.trigger(availableNow=True)
@@ -76,27 +77,40 @@ def replace_snapshot(df: DataFrame, table: SnapshotTable, job: Job) -> Streaming
 
 def insert_new(
     df: DataFrame, table: InsertTable, job: Job, order: Sequence = (), range_column: str | None = None,
-    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows, mode: str = "append",
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows, mode: str = "append", keep: bool = True,
 ) -> StreamingQuery:
     """Insert each batch's rows whose key is new. ``prepare`` shapes the batch first; static
     tables it joins are read as they stand at that moment."""
     def insert(rows: DataFrame, batch_id: int) -> None:
-        _settle(table.insert_new(prepare(rows), writer_id(rows.sparkSession), batch_id, order, range_column), rows)
+        _settle(table.insert_new(prepare(rows), writer_id(rows.sparkSession), batch_id, order, range_column, keep), rows)
     return for_each_batch(df, insert, job, mode)
 
 
 def upsert(
     df: DataFrame, table: UpsertTable, job: Job, matched: Sequence[Clause],
-    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows, mode: str = "update",
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows, mode: str = "update", keep: bool = True,
 ) -> StreamingQuery:
-    """Merge each batch into the table. ``prepare`` shapes the batch first, such as to one row per key."""
+    """Merge each batch into the table. ``prepare`` shapes the batch first, such as to one row per key.
+
+    ``keep`` caches a batch for its passes, here and in ``insert_new``; for a large first load leave it out."""
     def merge(rows: DataFrame, batch_id: int) -> None:
-        _settle(table.merge(prepare(rows), writer_id(rows.sparkSession), batch_id, matched), rows)
+        _settle(table.merge(prepare(rows), writer_id(rows.sparkSession), batch_id, matched, keep), rows)
     return for_each_batch(df, merge, job, mode)
 
 
-def await_all(queries: Iterable[StreamingQuery]) -> None:
-    """Wait for the given queries; the first failure stops the others and is raised."""
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query dropped as late, over the progress reports that Spark still holds."""
+    return sum(
+        int(state["numRowsDroppedByWatermark"]) for report in query.recentProgress
+        for state in json.loads(report.json)["stateOperators"]
+    )
+
+
+def await_all(queries: Iterable[StreamingQuery]) -> dict[str, int]:
+    """Wait for the given queries; the first failure stops the others and is raised.
+
+    Returns the rows that each query dropped as late, which are not in its result.
+    """
     queries = list(queries)
     try:
         for query in queries:
@@ -106,6 +120,7 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
             if query.isActive:
                 query.stop()
         raise
+    return {query.name: late_rows(query) for query in queries}
 
 
 Stage = Sequence[Callable[[], StreamingQuery]]

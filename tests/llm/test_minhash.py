@@ -57,6 +57,27 @@ def test_edited_copies_against_brute_force(spark, words, percent):
     assert result(minhash.near_duplicates(df, words, percent)) == brute(docs, words, percent)
 
 
+def test_group_around_one_text(spark):
+    """A base and copies with one to many words changed: some are linked to it, some to one another only."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+    docs = []
+    for i in range(70):
+        text = list(base)
+        for _ in range(i % 12):
+            text[rng.randrange(len(text))] = f"n{rng.randrange(4000)}"
+        docs.append(text)
+        if i % 7 == 0:  # shares the edits of the one before
+            text = list(text)
+            text[rng.randrange(len(text))] = "other"
+            docs.append(text)
+        if i % 9 == 0:
+            docs.append(text[: 150 - i])
+    rng.shuffle(docs)
+    rows = [(i, " ".join(t)) for i, t in enumerate(docs)]
+    assert result(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)) == brute(rows, 3, 85)
+
+
 def test_whole_table_against_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     assert result(minhash.near_duplicates(docs, 3, 85)) == brute([tuple(r) for r in docs.collect()], 3, 85)

@@ -16,6 +16,7 @@ from strata.plans.invoices import (
 )
 from strata.plans.words import COUNTS, batch_word_count, stream_word_count
 from strata.schemas import INVOICE, MESSAGE, REGISTERED_USER, TABLES
+from strata.queries.registry import in_event_order
 from strata.sinks.log import log_sink_options, log_writer
 from strata.sinks.staged import InsertTable, SnapshotTable, UpsertTable
 from strata.sources.files import read_text, stream_csv, stream_files, stream_json, stream_parquet
@@ -345,3 +346,27 @@ def test_log_connector_comes_with_the_cluster(spark, folder):
     writer = log_writer(stream_parquet(spark, folder), "id", CONNECTION, "t", f"{folder}-checkpoint")
     with pytest.raises(Exception, match="kafka"):
         writer.start()
+
+
+def test_late_rows_are_counted_and_pools_do_not_leak(spark, folder):
+    for n, second in enumerate((100, 1000, 10)):
+        spark.createDataFrame([(n, second)], "k int, s long").write.mode("append").parquet(f"{folder}/in")
+    source = spark.readStream.schema("k int, s long").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    timed = source.withColumn("t", F.timestamp_seconds("s"))
+    distinct = without_duplicates(timed, ["k", "t"], "t")
+    query = append_to_path(distinct, f"{folder}/out", Job("late", f"{folder}/checkpoint", pool="a"))
+    assert await_all([query]) == {"late": 1}
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 3
+    Job("next", f"{folder}/other").writer(distinct, "append")
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_loads_follow_event_time(spark, folder):
+    events = spark.range(1000).select("id", F.timestamp_seconds(F.col("id") * 7919 % 1000).alias("ts"))
+    loads = in_event_order(spark, events, f"{folder}/in", "ts")
+    seen = []
+    query = for_each_batch(loads, lambda rows, _: seen.append(rows.agg(F.min("ts"), F.max("ts"), F.count("*")).first()),
+                           Job("loads", f"{folder}/checkpoint"))
+    await_all([query])
+    assert len(seen) == 4 and sum(r[2] for r in seen) == 1000
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
