@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.aggregates import reward_points
 from strata.operators.latest import first_per_key
-from strata.operators.messages import text_log, where
+from strata.operators.messages import decode_log, text_log, where
 from strata.operators.nested import line_items
 from strata.schemas import INVOICE, TABLES
 from strata.sinks.staged import SET_ALL, InsertTable, SnapshotTable, UpsertTable
@@ -79,6 +79,11 @@ def message_table(
     return UpsertTable(spark, root, schema, key, buckets, "timestamp" if "timestamp" in key else None)
 
 
+def store_decoded(log: DataFrame, path: str, job: Job, schema: str = INVOICE) -> StreamingQuery:
+    """Log records with their decoded payload, appended as they come, each as often as it is delivered."""
+    return append_to_path(decode_log(log, schema), path, job)
+
+
 def ingest_messages(log: DataFrame, table: InsertTable | UpsertTable, job: Job) -> StreamingQuery:
     """Log records into a message table, however often they are delivered."""
     others = [c for c in table.columns if c not in table.keys]

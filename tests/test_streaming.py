@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from strata.operators.aggregates import reading_stats, reward_points
 from strata.operators.joins import containment_join, interval_join
+from strata.operators.messages import encode_log
 from strata.operators.text import word_count
 from strata.plans.invoices import (
-    InvoiceFolders, flatten, ingest, rewards_additive, rewards_complete, rewards_replace, rewards_table,
+    store_decoded, InvoiceFolders, flatten, ingest, rewards_additive, rewards_complete, rewards_replace, rewards_table,
 )
 from strata.plans.words import COUNTS, batch_word_count, stream_word_count
 from strata.schemas import INVOICE, MESSAGE, REGISTERED_USER, TABLES
@@ -370,3 +371,17 @@ def test_loads_follow_event_time(spark, folder):
     await_all([query])
     assert len(seen) == 4 and sum(r[2] for r in seen) == 1000
     assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
+
+
+def test_decoded_log_is_stored_and_sent_on(spark, folder):
+    """Records as a log gives them, binary and with positions, by way of files."""
+    sent = spark.createDataFrame([("S1", 5.0, 0), ("S2", None, 1)], "StoreID string, TotalAmount double, n long")
+    log = encode_log(sent.drop("n"), "StoreID").select(
+        F.col("key").cast("binary"), F.col("value").cast("binary"), F.lit("invoices").alias("topic"), F.lit(0).alias("partition"),
+        F.lit(7).cast("long").alias("offset"), F.lit("2024-01-01").cast("timestamp").alias("timestamp"))
+    log.write.parquet(f"{folder}/log")
+    source = stream_parquet(spark, f"{folder}/log")
+    await_all([store_decoded(source, f"{folder}/out", Job("decoded", f"{folder}/checkpoint"))])
+    got = spark.read.parquet(f"{folder}/out")
+    assert rows(got.select("key", "value.StoreID", "value.TotalAmount", "topic", "offset")) == [
+        ("S1", "S1", 5.0, "invoices", 7), ("S2", "S2", None, "invoices", 7)]
