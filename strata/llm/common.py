@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.session import run_folder
 from strata.sources.fs import SharedFs
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Ids that a task joins before it passes them on.
 HELD_IDS = 1_000_000
 
@@ -31,8 +32,14 @@ class Stages:
         self._fs = SharedFs(spark, self.root)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        """Write and read again; the shuffle files behind the table go at once, as nothing needs them any more."""
+        path, conf = f"{self.root}/{name}", self.spark.conf
+        before = conf.get(_CLEANUP, "false")
+        conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

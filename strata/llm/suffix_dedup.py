@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -221,18 +220,18 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
         order = np.lexsort((ids, labels))
         first = order[np.concatenate(([True], labels[order][1:] != labels[order][:-1]))] if len(order) else order
         middle = grams(rows[first, reach:reach + NAME].ravel(), NAME)[::NAME] if len(first) else np.zeros(0, np.uint64)
-        out = _packed("range", ranges(middle), rows=rows[first], ids=ids[first], labels=labels[first])
+        out = _packed("range", ranges(middle), rows=rows[first], ids=ids[first])
         out["unit"] = np.int64(docs_of["unit"].iloc[0]) if len(docs_of) else -1
         return out
 
     def judged(frame: pd.DataFrame) -> pd.DataFrame:
         """For each group of documents the samples with strings that an earlier document has."""
         rows = _unpacked(frame["rows"], np.uint8).reshape(-1, size)
-        ids, labels = _unpacked(frame["ids"], np.int64), _unpacked(frame["labels"], np.uint64)
+        ids = _unpacked(frame["ids"], np.int64)
         where = np.repeat(frame["unit"].to_numpy(), [len(x) // 8 for x in frame["ids"]])
         bits = induced(rows, ids, match)
         at = np.flatnonzero(bits)
-        return _packed("unit", where[at], labels=labels[at], bits=bits[at])
+        return _packed("unit", where[at], labels=_labels(rows[at]), bits=bits[at])
 
     def removed(docs_of: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         """Spans and what is left of each document of a group."""
@@ -286,11 +285,11 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
         })
 
     by_range = grouped.mapInPandas(named, "range bigint, names binary, units binary, many binary")
-    names = _kept(stages, by_range.groupBy("range").applyInPandas(shared, "unit bigint, names binary"), "names")
+    names = stages.keep(by_range.groupBy("range").applyInPandas(shared, "unit bigint, names binary"), "names")
     texts = grouped.groupBy("unit")
     around = texts.cogroup(names.groupBy("unit")).applyInPandas(
-        sampled, "range bigint, rows binary, ids binary, labels binary, unit bigint")
-    found = _kept(stages, around.groupBy("range").applyInPandas(judged, "unit bigint, labels binary, bits binary"), "found")
+        sampled, "range bigint, rows binary, ids binary, unit bigint")
+    found = stages.keep(around.groupBy("range").applyInPandas(judged, "unit bigint, labels binary, bits binary"), "found")
     return grouped.groupBy("unit").cogroup(found.groupBy("unit")).applyInPandas(
         removed, "id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     ).withColumnRenamed("id", key)
@@ -299,12 +298,3 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
 def _ids(docs_of: pd.DataFrame) -> np.ndarray:
     ids = docs_of["id"]
     return np.array([_LAST if pd.isna(i) else int(i) for i in ids], dtype=np.int64)
-
-
-def _kept(stages: Stages, df: DataFrame, name: str) -> DataFrame:
-    """Write a stage table and let Spark's cleaner drop the shuffle files that led to it, which nothing needs any more."""
-    out = stages.keep(df, name)
-    del df
-    gc.collect()
-    stages.spark.sparkContext._jvm.System.gc()
-    return out
