@@ -125,33 +125,39 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 def _by_delta(compared: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of documents compared with the same third one, of which one at least is not linked to it.
 
-    The difference of two sets is that of their deltas. If a is not linked to the third and a and b are
-    to be similar, then more than half of b's delta (less a little where b is the longer) is in a's. So b's rarer half meets all
-    of a's: the edits of unrelated copies are rare, and a group of copies does not meet itself.
+    The difference of two sets is that of their deltas. So deltas of x and y elements of similar documents have at least
+    m = (x + y - r * (na + nb)) / 2 elements in common, where r = (100 - percent) / (100 + percent), and m is
+    over 0 if a document of the two is not linked. With all deltas in one order, rarest first, the first
+    common element is then among the first x - m + 1 and y - m + 1. The edits of unrelated copies are
+    rare, so a group of copies does not meet itself.
     """
     open_groups = compared.where("not linked").select("b").distinct()
     deltas = (
         compared.join(open_groups, "b", "left_semi")
         .join(near.withColumnRenamed("id", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
     )
-    entries = deltas.select("b", F.explode("delta").alias("e"))
+    entries = deltas.select("b", "a", "na", "linked", "component", F.size("delta").alias("size"), F.explode("delta").alias("e"))
     df = entries.groupBy("b", "e").agg(F.count("*").alias("df")).where("df > 1")
-    probe = deltas.where("not linked").select(
-        "b", F.explode("delta").alias("e"), F.col("a").alias("one"), F.col("component").alias("ca"))
-    longer = F.greatest(F.col("nb") * -1 + F.col("na"), F.lit(0)) * F.lit((100 - percent) / (100 + percent)) + F.lit(1e-9)
-    half = F.size("delta") - F.floor((F.size("delta") - longer) / 2)
-    every = deltas.select("b", "a", "component", half.alias("half"), F.size("delta").alias("size"), F.explode("delta").alias("e"))
     # Elements that no other document of the group has come first and meet nothing.
-    index = (
-        every.join(df, ["b", "e"]).groupBy("b", "a", "component", "half", "size")
+    ranked = (
+        entries.join(df, ["b", "e"]).groupBy("b", "a", "na", "linked", "component", "size")
         .agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("all"))
-        .withColumn("room", F.greatest(F.col("half") - (F.col("size") - F.size("all")), F.lit(0)).cast("int"))
-        .select("b", F.col("a").alias("two"), F.col("component").alias("cb"), F.explode(F.slice("all", F.lit(1), F.col("room"))).alias("x"))
-        .select("b", "two", "cb", F.col("x.e").alias("e"))
+        .select("b", "a", "na", "linked", "component", "size", F.size("all").alias("met"), F.posexplode("all").alias("at", "x"))
+        .select("b", F.col("x.e").alias("e"), "a", "na", "linked", "component", "size",
+                (F.col("at") + F.col("size") - F.col("met")).alias("rank"))
     )
+    one = ranked.where("not linked").select("b", "e", *[F.col(c).alias(f"{c}1") for c in ("a", "na", "component", "size", "rank")])
+    two = ranked.select("b", "e", *[F.col(c).alias(f"{c}2") for c in ("a", "na", "linked", "component", "size", "rank")])
+    ratio = F.lit((100 - percent) / (100 + percent))
+    least = F.ceil((F.col("size1") + F.col("size2") - ratio * (F.col("na1") + F.col("na2")) - F.lit(1e-9)) / 2)
+    near_enough = (
+        (least <= F.least("size1", "size2")) & (F.col("rank1") <= F.col("size1") - least) & (F.col("rank2") <= F.col("size2") - least)
+    )
+    # Two documents that are not linked to the third would meet from both sides.
+    once = F.col("linked2") | (F.col("a1") > F.col("a2"))
     return (
-        probe.join(index, ["b", "e"]).where("ca <> cb")
-        .select(F.greatest("one", "two").alias("a"), F.least("one", "two").alias("b")).distinct()
+        one.join(two, ["b", "e"]).where(near_enough & once & F.expr("component1 <> component2"))
+        .select(F.greatest("a1", "a2").alias("a"), F.least("a1", "a2").alias("b")).distinct()
     )
 
 
@@ -179,12 +185,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     members = stages.keep(
         real.join(classes, ["one", "two", "n_shingles"]).select("id", "rep", "n_shingles", "signature"), "members"
     )
-    reps = members.where("id = rep").select("id", "n_shingles", "signature").dropDuplicates(["id"])
-    reps = stages.keep(reps, "reps")
+    reps = stages.keep(members.where("id = rep").select("id", "n_shingles", "signature").dropDuplicates(["id"]), "reps")
     prefix = _posted(reps, stages, least)
     texts = stages.keep(
         docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-        .join(prefix.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "texts"
+        .join(prefix.select("id"), "id", "left_semi").dropDuplicates(["id"]), "texts"
     )
     alike = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
 
@@ -223,11 +228,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     more = stages.keep(_compared(rest, texts, words, percent).where("linked").select("a", "b"), "rest-links")
     found = near if more.isEmpty() else stages.keep(components(links.union(more), stages, "all"), "found")
 
-    joined = members.select("id", "rep").join(
-        found.select(F.col("id").alias("rep"), "component"), "rep", "left"
-    ).select(F.col("id").alias("member"), F.coalesce("component", "rep").alias("component")).dropDuplicates(["member"])
-    out = signed.select("id", "n_shingles").join(joined, F.expr("id = member"), "left")
-    whole = F.coalesce("component", "id")
-    return out.select(
-        F.col("id").alias(key), "n_shingles", whole.alias("component_id"), F.coalesce(whole == F.col("id"), F.lit(True)).alias("kept")
+    placed = members.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
+        "id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    alone = signed.where("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component_id"))
+    return placed.union(alone).select(
+        F.col("id").alias(key), "n_shingles", "component_id",
+        F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept"),
     )
