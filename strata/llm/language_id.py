@@ -81,6 +81,17 @@ def counts_of(text: str) -> np.ndarray:
     return total
 
 
+def counts_together(texts: list[str]) -> np.ndarray:
+    """The sum of the counts of some texts, none of whose n-grams reaches into another."""
+    codes = [_codes(t) for t in texts]
+    owner = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+    total = np.zeros(BUCKETS, dtype=np.int64)
+    for buckets in _hashed(np.concatenate(codes)):
+        order = len(owner) - len(buckets) + 1
+        total += np.bincount(buckets[owner[:len(buckets)] == owner[order - 1:]], minlength=BUCKETS)
+    return total
+
+
 def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Bucket counts and texts of each language in a task: rows that grow with languages, not with texts."""
     sums: dict[str, np.ndarray] = {}
@@ -89,16 +100,18 @@ def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lang, group in frame.groupby("lang", sort=False)["text"]:
             held = sums.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
             texts[lang] = texts.get(lang, 0) + len(group)
-            # Texts of one language are counted together; a line end, as any other space, parts them.
             waiting, size = [], 0
             for text in group:
+                if len(text) > CHUNK:
+                    held += counts_of(text)
+                    continue
                 waiting.append(text)
                 size += len(text)
                 if size >= CHUNK:
-                    held += counts_of("\n".join(waiting))
+                    held += counts_together(waiting)
                     waiting, size = [], 0
             if waiting:
-                held += counts_of("\n".join(waiting))
+                held += counts_together(waiting)
     for lang, held in sums.items():
         at = np.flatnonzero(held)
         yield pd.DataFrame({
