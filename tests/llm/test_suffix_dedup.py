@@ -44,6 +44,8 @@ def test_against_all_strings(spark, seed, monkeypatch):
     docs += [(docs[0][0], docs[1][1]), (1000, None), (1001, ""), (None, docs[2][1]), (None, docs[2][1]), (1002, pool[-1] * 60)]
     df = spark.createDataFrame([(k, t, "x", 1) for k, t in docs], "doc_id long, text string, unit string, id int").repartition(3)
     assert result(s.repeated(df, unit_bytes=3000)) == brute(docs)
+    # All names in at least three, or two, groups of documents as hot ones.
+    assert result(s.repeated(df, unit_bytes=3000, hot_groups=3 - seed)) == brute(docs)
 
 
 def test_whole_table(spark):
