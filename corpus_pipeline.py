@@ -22,9 +22,11 @@ LEAST_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is told with some certainty; null texts and those without letters go.
 
-    Learns from the labelled documents of its own input.
+    Learns from the labelled documents of its own input. Without any, only documents without letters go.
     """
     model = language_id.train(docs.where(~language_id.held_out()))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     judged = language_id.predict(docs, model)
     return judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
