@@ -22,7 +22,13 @@ UNIT_BYTES = 8 << 20
 CHUNK = 1 << 21
 HELD = 1 << 21
 
+#: Groups of documents from which on a name is hot: its strings are then compared one by one, and not by surroundings.
+#: Below that, a name in every third document of its groups has some 80 MB of surroundings.
+HOT_GROUPS = 1024
+
 _END = 0xFF  # occurs in no UTF-8 text
+#: Kinds of rows: names with the surroundings of their samples, hot names, and strings around those.
+NAMES, HOT, STRINGS = 0, 1, 2
 _LAST = np.iinfo(np.int64).max
 
 
@@ -120,6 +126,16 @@ def induced(rows: np.ndarray, docs: np.ndarray, match: int = MATCH, name: int =
     return bits
 
 
+def strings(codes: np.ndarray, at: np.ndarray, match: int = MATCH, name: int = NAME) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of all match-long strings that hold one of the given names at its place."""
+    starts = (at[:, None] - np.arange(match - name + 1)).ravel()
+    starts = np.unique(starts[(starts >= 0) & (starts <= len(codes) - match)])
+    if not len(starts):
+        return starts, np.zeros(0, dtype=np.uint64)
+    starts = starts[whole(codes, match)[starts]]
+    return starts, grams(codes, match)[starts]
+
+
 def _packed(name: str, groups: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
     """One row for each group, with its part of every column as bytes."""
     order = np.argsort(groups, kind="stable")
@@ -136,7 +152,8 @@ def _unpacked(column: pd.Series, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=kind)
 
 
-def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str = "doc_id", unit_bytes: int = UNIT_BYTES) -> DataFrame:
+def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str = "doc_id", unit_bytes: int = UNIT_BYTES,
+             hot_groups: int = HOT_GROUPS) -> DataFrame:
     """(key, n_bytes, spans, kept) for each row: without the bytes that an earlier document has.
 
     A byte goes if some ``match`` bytes around it, all within the document, also start in a
@@ -148,7 +165,9 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
     Suffixes are not sorted all over: a sample of them is, about one in seventeen, chosen by
     content, and only where its name occurs in two documents. Names travel once for each group of
     documents; samples whose surroundings are equal in a group of documents travel as one, so that a
-    text or passage that a third of all documents hold costs a row for each group. Spark's sorted and
+    text or passage that a third of all documents hold costs a row for each group. Around a hot name,
+    such as one in a short line of many documents, surroundings differ: there the strings themselves travel, by
+    hash, once for each group of documents, and are spread over all ranges. Spark's sorted and
     spilled shuffle files bring samples together by ranges of names; each range is sorted and induced on its own
     (see ``induced``), and the result goes back to the groups of documents it came from.
     """
@@ -163,6 +182,10 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
     def ranges(names: np.ndarray) -> np.ndarray:
         return (names >> np.uint64(32)) % np.uint64(units)
 
+    def coded(names: np.ndarray) -> np.ndarray:
+        """A name as its range has it."""
+        return (ranges(names) << np.uint64(32)) | (names & np.uint64(0xFFFFFFFF))
+
     def named(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Names of a task's samples, once for each group of documents, and whether two documents there have them."""
         held: list[tuple[np.ndarray, ...]] = []
@@ -202,16 +225,23 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
         good = np.repeat((counts > 1) | np.logical_or.reduceat(many, first), counts)
         names, where = names[good], where[good]
         codes = (np.uint64(frame["range"].iloc[0]) << np.uint64(32)) | names
-        return _packed("unit", where, names=codes)
+        hot = np.repeat(counts >= hot_groups, counts)[good]
+        return pd.concat([
+            _packed("unit", where[of], one=codes[of]).assign(kind=kind) for kind, of in ((NAMES, ~hot), (HOT, hot))
+        ]).assign(two=b"")
 
     def sampled(docs_of: pd.DataFrame, names_of: pd.DataFrame) -> pd.DataFrame:
         """Surroundings of the shared samples of a group of documents, once each, with the smallest document."""
-        shared_names = np.unique(_unpacked(names_of["names"], np.uint64))
+        shared_names, hot_names = (np.unique(_unpacked(names_of["one"][names_of["kind"] == k], np.uint64)) for k in (NAMES, HOT))
         rows, ids = [np.zeros((0, size), np.uint8)], [np.zeros(0, np.int64)]
+        singles, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for numbers, texts in _chunks(_ids(docs_of), list(docs_of["bytes"])):
             codes, starts = joined(texts)
             at, names = samples(codes, match)
-            names = (ranges(names) << np.uint64(32)) | (names & np.uint64(0xFFFFFFFF))
+            names = coded(names)
+            begins, hashes = strings(codes, at[np.isin(names, hot_names)], match)
+            singles.append(hashes)
+            owners.append(numbers[np.searchsorted(starts, begins, side="right") - 1])
             at = at[np.isin(names, shared_names)]
             rows.append(surroundings(codes, at, reach, size))
             ids.append(numbers[np.searchsorted(starts, at, side="right") - 1])
@@ -220,36 +250,65 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
         order = np.lexsort((ids, labels))
         first = order[np.concatenate(([True], labels[order][1:] != labels[order][:-1]))] if len(order) else order
         middle = grams(rows[first, reach:reach + NAME].ravel(), NAME)[::NAME] if len(first) else np.zeros(0, np.uint64)
-        out = _packed("range", ranges(middle), rows=rows[first], ids=ids[first])
-        out["unit"] = np.int64(docs_of["unit"].iloc[0]) if len(docs_of) else -1
-        return out
+        out = _packed("range", ranges(middle), rows=rows[first], ids=ids[first]).assign(kind=NAMES, many=b"")
+        if len(hot_names):
+            singles, owners = np.concatenate(singles), np.concatenate(owners)
+            values, place = np.unique(singles, return_inverse=True)
+            low, high = np.full(len(values), _LAST), np.full(len(values), np.iinfo(np.int64).min)
+            np.minimum.at(low, place, owners)
+            np.maximum.at(high, place, owners)
+            spread = _packed("range", ranges(values), rows=values, ids=low, many=low < high).assign(kind=HOT)
+            out = pd.concat([out, spread])
+        return out.assign(unit=np.int64(docs_of["unit"].iloc[0]) if len(docs_of) else -1)
 
     def judged(frame: pd.DataFrame) -> pd.DataFrame:
-        """For each group of documents the samples with strings that an earlier document has."""
+        """For each group of documents the samples with strings that an earlier document has, and such strings themselves."""
+        spread, frame = frame[frame["kind"] == HOT], frame[frame["kind"] == NAMES]
         rows = _unpacked(frame["rows"], np.uint8).reshape(-1, size)
         ids = _unpacked(frame["ids"], np.int64)
         where = np.repeat(frame["unit"].to_numpy(), [len(x) // 8 for x in frame["ids"]])
         bits = induced(rows, ids, match)
         at = np.flatnonzero(bits)
-        return _packed("unit", where[at], labels=_labels(rows[at]), bits=bits[at])
+        out = _packed("unit", where[at], one=_labels(rows[at]), two=bits[at]).assign(kind=NAMES)
+        hashes, ids = _unpacked(spread["rows"], np.uint64), _unpacked(spread["ids"], np.int64)
+        many = _unpacked(spread["many"], bool)
+        where = np.repeat(spread["unit"].to_numpy(), [len(x) // 8 for x in spread["ids"]])
+        values, place = np.unique(hashes, return_inverse=True)
+        least = np.full(len(values), _LAST)
+        np.minimum.at(least, place, ids)
+        told = (least[place] < ids) | many
+        strings_of = _packed("unit", where[told], one=hashes[told], two=least[place][told]).assign(kind=STRINGS)
+        return pd.concat([out, strings_of])
 
     def removed(docs_of: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         """Spans and what is left of each document of a group."""
-        known, order = np.unique(_unpacked(found["labels"], np.uint64), return_index=True)
-        bits_of = _unpacked(found["bits"], np.uint64)[order]
+        kinds = {k: found[found["kind"] == k] for k in (NAMES, HOT, STRINGS)}
+        known, order = np.unique(_unpacked(kinds[NAMES]["one"], np.uint64), return_index=True)
+        bits_of = _unpacked(kinds[NAMES]["two"], np.uint64)[order]
+        hot_names = np.unique(_unpacked(kinds[HOT]["one"], np.uint64))
+        known_strings, order = np.unique(_unpacked(kinds[STRINGS]["one"], np.uint64), return_index=True)
+        first_of = _unpacked(kinds[STRINGS]["two"], np.int64)[order]
         parts = list(_chunks(_ids(docs_of), list(docs_of["bytes"])))
         seen = []
         for numbers, texts in parts:
             codes, starts = joined(texts)
-            at, _ = samples(codes, match)
-            seen.append((at, numbers[np.searchsorted(starts, at, side="right") - 1], _labels(surroundings(codes, at, reach, size))))
+            at, names = samples(codes, match)
+            begins, hashes = strings(codes, at[np.isin(coded(names), hot_names)], match)
+            if len(known_strings):
+                where = np.minimum(np.searchsorted(known_strings, hashes), len(known_strings) - 1)
+                owner = numbers[np.searchsorted(starts, begins, side="right") - 1]
+                begins = begins[(known_strings[where] == hashes) & (first_of[where] < owner)]
+            else:
+                begins = begins[:0]
+            owner = numbers[np.searchsorted(starts, at, side="right") - 1]
+            seen.append((at, owner, _labels(surroundings(codes, at, reach, size)), begins))
         every = np.concatenate([x[2] for x in seen]) if seen else np.zeros(0, np.uint64)
         owner = np.concatenate([x[1] for x in seen]) if seen else np.zeros(0, np.int64)
         values, place = np.unique(every, return_inverse=True)
         least = np.full(len(values), _LAST)
         np.minimum.at(least, place, owner)
         spans_of, kept_of, start = [], [], 0
-        for (numbers, texts), (at, own_ids, labels) in zip(parts, seen, strict=True):
+        for (numbers, texts), (at, own_ids, labels, begins) in zip(parts, seen, strict=True):
             codes, starts = joined(texts)
             first = place[start:start + len(at)]
             start += len(at)
@@ -262,6 +321,7 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
             marks = np.zeros(len(codes) + 1, dtype=np.int8)
             for o in range(reach + 1):
                 marks[np.maximum(at[(bits >> np.uint64(o)) & np.uint64(1) == 1] - o, -1)] = 1
+            marks[begins] = 1
             marks[-1] = 0
             if len(codes) >= match:
                 marks[:len(codes) - match + 1] &= whole(codes, match)
@@ -285,11 +345,13 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
         })
 
     by_range = grouped.mapInPandas(named, "range bigint, names binary, units binary, many binary")
-    names = stages.keep(by_range.groupBy("range").applyInPandas(shared, "unit bigint, names binary"), "names")
+    told = "unit bigint, kind int, one binary, two binary"
+    names = stages.keep(by_range.groupBy("range").applyInPandas(shared, told), "names")
     texts = grouped.groupBy("unit")
     around = texts.cogroup(names.groupBy("unit")).applyInPandas(
-        sampled, "range bigint, rows binary, ids binary, unit bigint")
-    found = stages.keep(around.groupBy("range").applyInPandas(judged, "unit bigint, labels binary, bits binary"), "found")
+        sampled, "range bigint, rows binary, ids binary, kind int, many binary, unit bigint")
+    found = stages.keep(around.groupBy("range").applyInPandas(judged, told), "found")
+    found = found.unionByName(names.where(F.col("kind") == HOT))
     return grouped.groupBy("unit").cogroup(found.groupBy("unit")).applyInPandas(
         removed, "id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     ).withColumnRenamed("id", key)
