@@ -122,7 +122,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
         compared, f"a {kind}, b {kind}, na bigint, nb bigint, linked boolean, delta array<bigint>")
 
 
-def _by_delta(compared: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+def _by_delta(compared: DataFrame, near: DataFrame, percent: int, stages: Stages) -> DataFrame:
     """Pairs (a, b) of documents compared with the same third one, of which one at least is not linked to it.
 
     The difference of two sets is that of their deltas. So deltas of x and y elements of similar documents have at least
@@ -131,7 +131,8 @@ def _by_delta(compared: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     common element is then among the first x - m + 1 and y - m + 1. The edits of unrelated copies are
     rare, so a group of copies does not meet itself.
     """
-    open_groups = compared.where("not linked").select("b").distinct()
+    # As a table of its own, so that the join can split a third document that very many were compared with.
+    open_groups = stages.keep(compared.where("not linked").select("b").distinct(), "open-groups")
     deltas = (
         compared.join(open_groups, "b", "left_semi")
         .join(near.withColumnRenamed("id", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
@@ -201,7 +202,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
         prefix.select("token", F.col("id").alias("a"), F.col("n").alias("na")).join(first, "token")
         .where(alike & F.expr("a <> b")).groupBy("a", "b").agg(F.count("*").alias("shared")).select("a", "b")
     )
-    star = stages.keep(_matching(star, reps, least), "star")
+    # Deltas are exact at any distance, so more is compared here than can be linked: what is not has to meet the whole list.
+    star = stages.keep(_matching(star, reps, least * 2 // 3), "star")
     compared = stages.keep(_compared(star, texts, words, percent), "compared")
     links = compared.where("linked").select("a", "b")
     near = stages.keep(components(links, stages, "near"), "near")
@@ -223,7 +225,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     two = listed.select("token", F.col("a").alias("two"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     rest = one.join(two, "token").where(alike & F.expr("ca <> cb")).select(
         F.greatest("one", "two").alias("a"), F.least("one", "two").alias("b"))
-    rest = rest.union(_by_delta(compared, near, percent)).distinct()
+    rest = rest.union(_by_delta(compared, near, percent, stages)).distinct()
     rest = stages.keep(_matching(rest, reps, least), "rest")
     more = stages.keep(_compared(rest, texts, words, percent).where("linked").select("a", "b"), "rest-links")
     found = near if more.isEmpty() else stages.keep(components(links.union(more), stages, "all"), "found")
