@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -23,12 +24,14 @@ STEPS = 400
 
 PLAN = "length int, first bigint, beyond bigint, sequence bigint, uses int, offset int"
 _encoders: dict[tuple[str, str], object] = {}
+_whole: dict[str, object] = {}
 
 
 def encoder(ranks: str, pattern: str):
     """A byte-level BPE encoder from a file of ``base64-token rank`` lines, one for each process.
 
-    It gives the ids that the same vocabulary gives in ``tokenizers`` without special tokens.
+    It gives the ids that the same vocabulary gives in ``tokenizers`` with the strings of special tokens as
+    ordinary text, but it raises ValueError on white space of about 1,000,000 characters (see ``ids_of``).
     """
     import tiktoken
 
@@ -39,6 +42,33 @@ def encoder(ranks: str, pattern: str):
     return _encoders[ranks, pattern]
 
 
+def tokenizer(vocabulary: str):
+    """The ``tokenizers`` library's encoder from its JSON file, one for each process, without special tokens."""
+    from tokenizers import Tokenizer
+
+    if vocabulary not in _whole:
+        _whole[vocabulary] = Tokenizer.from_file(vocabulary)
+        _whole[vocabulary].encode_special_tokens = True
+    return _whole[vocabulary]
+
+
+def ids_of(ranks: str, pattern: str) -> Callable[[str], np.ndarray]:
+    """Ids of a text of any length.
+
+    What the encoder's pattern engine can't split goes to ``tokenizers``, whose JSON file stands beside the ranks.
+    """
+    encode = encoder(ranks, pattern).encode_to_numpy
+
+    def ids(text: str) -> np.ndarray:
+        try:
+            return encode(text, disallowed_special=())
+        except ValueError:
+            other = tokenizer(str(Path(ranks).with_suffix(".json")))
+            return np.array(other.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+
+    return ids
+
+
 def cut(docs: DataFrame, ranks: str, pattern: str, end_id: int = 1, window: int = WINDOW,
         text: str = "text", key: str = "doc_id", keep_ids: bool = False) -> DataFrame:
     """Pieces of all documents: whole windows and, at the end, what is left.
@@ -53,13 +83,13 @@ def cut(docs: DataFrame, ranks: str, pattern: str, end_id: int = 1, window: int
     schema = f"key {kind}, start bigint, length int, ids_crc32 bigint, doc_tokens bigint, part int, place bigint"
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(ranks, pattern).encode_to_numpy
+        encode = ids_of(ranks, pattern)
         part = TaskContext.get().partitionId()
         seen = np.zeros(window + 1, dtype=np.int64)
         for frame in frames:
             rows = []
             for name, words in zip(frame["key"], frame["text"], strict=True):
-                ids = np.append(encode(words or "", disallowed_special=()), end_id).astype("<u4")
+                ids = np.append(encode(words or ""), end_id).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start:start + window]
                     n = len(piece)

@@ -60,6 +60,17 @@ def test_odd_texts(spark, tokenizer):
     assert len(twice) == 2 and {r.offset for r in twice} == {0, twice[0].length}
 
 
+def test_long_white_space_and_special_strings(spark, tokenizer):
+    texts = ["a" + " " * 1_100_000 + "b", "\n" * 1_100_000, "x<|endoftext|>" + "\u3000" * 1_100_000 + "<|endoftext|>", "<|endoftext|>"]
+    docs = list(enumerate(texts))
+    for text in texts[:3]:
+        with pytest.raises(ValueError):
+            packing.encoder(RANKS, PATTERN).encode_to_numpy(text, disallowed_special=())
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), RANKS, PATTERN).collect()
+    check(rows, docs, tokenizer, 2048)
+    assert next(r.doc_tokens for r in rows if r.doc_id == 3) == 8
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_uses_each_piece_once(seed):
     r = np.random.default_rng(seed)
