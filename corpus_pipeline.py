@@ -31,22 +31,35 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 
+def with_row_keys(docs: DataFrame, stages: Stages) -> tuple[DataFrame, str]:
+    """The rows, each with a number of its own in a further column, and that column's name.
+
+    Written once to the shared folder, so that all later reads see the same numbers.
+    """
+    key = "row"
+    while key in docs.columns:
+        key += "_"
+    return stages.keep(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that of the smallest doc_id, of each group of near-duplicates: five words, 0.8.
+    """Keep one row, that of the smallest doc_id, of each group of near-duplicates: five words, 0.8.
 
-    Rows without a doc_id are in no group and stay. Of rows that repeat a doc_id one stays, the smallest of them.
+    Rows are compared by their texts alone: rows without a doc_id too, which are kept only if no row of their group has
+    one. Of rows that repeat a doc_id, those with unrelated texts all stay. Texts without words are in no group.
     """
-    groups = minhash.near_duplicates(docs.select("doc_id", "text"), words=5, percent=80)
-    kept = groups.where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("x"))
-    whole = named.join(kept, "doc_id", "left_semi").select("doc_id", "x.*")
-    return whole.union(docs.where("doc_id is null").select(*whole.columns)).select(*docs.columns)
+    rows, key = with_row_keys(docs, Stages(spark, "near-duplicates"))
+    groups = minhash.near_duplicates(rows.select(key, "text"), words=5, percent=80, key=key).select(key, "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.col(key).alias("key"))
+    kept = rows.select(key, "doc_id").join(groups, key).groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(kept.select(F.col("first.key").alias(key)), key, "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that hold no benchmark item, up to one edit for ten characters; rows without a doc_id are judged together."""
-    found = decontamination.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaking")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("leaking")), "left_anti").select(*docs.columns)
+    """Keep rows that hold no benchmark item, up to one edit for ten characters; each row is judged by its own text."""
+    rows, key = with_row_keys(docs, Stages(spark, "decontaminate"))
+    found = decontamination.leaks(rows, table(spark, sf_dir, "benchmark"), key=key).select(key).distinct()
+    return rows.join(found, key, "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,3 +44,19 @@ def test_odd_rows(spark, rows):
     left = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
     assert left == ([(1, "the words of a text"), (None, "the words of a text")] if rows else [])
     assert len(corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()) == len(left)
+
+
+def test_rows_are_judged_by_their_own_texts(spark):
+    item, other = (r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 80").take(2))
+    one, two, three = ("".join(f"{w}{i} " for i in range(60)) for w in ("north", "south", "west"))
+    rows = [(1, one, 10), (1, two, 11), (1, None, 12), (2, one, 13), (None, one, 14), (None, three, 15), (None, three, 16),
+            (3, f"some words {item} and more", 17), (3, "clean words of a repeated id", 18),
+            (None, f"other words {other} and so on", 19), (None, "clean words without an id", 20)]
+    docs = spark.createDataFrame([(k, t, "en", "a", 1, n) for k, t, n in rows], SCHEMA + ", row long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    left = {r.row for r in kept.collect()}
+    assert {10, 11, 12, 17, 18, 19, 20} <= left and not left & {13, 14} and len(left & {15, 16}) == 1 and len(left) == 8
+    clean = corpus_pipeline.decontaminate(spark, docs, FOLDER)
+    assert clean.columns == docs.columns
+    assert sorted(r.row for r in clean.collect()) == [10, 11, 12, 13, 14, 15, 16, 18, 20]
