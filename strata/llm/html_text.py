@@ -26,8 +26,19 @@ NOISE_WORDS = frozenset(
     "share sharing social related recommended newsletter subscribe signup login search pagination pager widget "
     "hidden".split()
 )
+# What long threads of readers are marked with: much text does not make them the article.
+TALK_WORDS = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+# Words that say, before one of those words, that the element is not such a part.
+NEGATING = frozenset("no not non with without has have overflow".split())
+CONTENT_WORDS = frozenset("article content entry main page post story text".split())
+#: Share of a page's text outside links from which on a class or id word alone does not drop an element.
+LEAST_SHARE = 0.5
+#: Text in articles and main parts, as a share of a marked element's outside them, from which on these are the page's text.
+LEAST_ROOTED = 0.1
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 ROOTS = frozenset(("article", "main"))
+# Elements that may stand in a head; any other start tag ends it.
+IN_HEAD = frozenset("head base basefont bgsound link meta title style script noscript noframes template".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 BLOCKS = HEADINGS | frozenset(
@@ -55,11 +66,19 @@ class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.dropped = ["#"], [-1], [False]
+        # Inside a part that is marked by a class or id word, whatever comes of it; roots that such parts don't take along.
+        self.doubtful, self.freed = [False], [False]
+        self.suspects: dict[int, set[str]] = {}
+        self.contents: set[int] = set()
         self.flow: list[tuple[int, str] | None] = []
         self.open: list[int] = [0]
         self.counts: dict[str, int] = {}
 
     def handle_starttag(self, tag, attrs):
+        if self.counts.get("head") and tag not in IN_HEAD and (
+            tag == "body" or not self.counts.get("template") and not self.counts.get("title")
+        ):
+            self._end_head()
         if tag in ENDED_BY:
             ended, until = ENDED_BY[tag]
             if any(self.counts.get(t) for t in ended):
@@ -71,8 +90,15 @@ class _Tree(HTMLParser):
                         self._close(at)
                         # A table cell may end with its row: go on outward.
         parent = self.open[-1]
-        dropped = self._is_noise(tag, dict(attrs), parent)
+        attrs = dict(attrs)
         node = len(self.tags)
+        marked, words = tag not in DROPPED and self._marked(tag, attrs), self._noise_words(tag, attrs)
+        freed = tag in ROOTS and not marked and not words  # an article is read even where an element before it was left open
+        dropped = tag in DROPPED or not freed and (self.dropped[parent] or marked)
+        if words:
+            self.suspects[node] = words
+        self.doubtful.append(dropped or bool(words) or not freed and self.doubtful[parent])
+        self.freed.append(freed)
         self.tags.append(tag)
         self.parents.append(parent)
         self.dropped.append(dropped)
@@ -87,7 +113,7 @@ class _Tree(HTMLParser):
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         # In HTML a slash does not close an element, except in drawings and formulas, which are dropped anyway.
-        if tag not in VOID and (tag in DROPPED or self.dropped[self.open[-1]]):
+        if tag not in VOID and (tag in DROPPED or self.doubtful[self.open[-1]]):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
@@ -105,12 +131,9 @@ class _Tree(HTMLParser):
                 self.flow.append(None)
         del self.open[at:]
 
-    def _is_noise(self, tag, attrs, parent):
-        if tag in DROPPED:
-            return True
-        if tag in ROOTS and not self._marked(tag, attrs):
-            return False  # an article is read even where an element before it was left open
-        return self.dropped[parent] or self._marked(tag, attrs)
+    def _end_head(self):
+        at = next(i for i in range(len(self.open) - 1, 0, -1) if self.tags[self.open[i]] == "head")
+        self._close(at)
 
     def _marked(self, tag, attrs):
         if tag in ("html", "body"):
@@ -121,17 +144,57 @@ class _Tree(HTMLParser):
             return False
         if attrs.get("role") in NOISE_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
             return True
-        if _HIDDEN.search(attrs.get("style") or ""):
-            return True
-        words = {w.lower() for w in _WORDS.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")}
-        if words & NOISE_WORDS:
-            return True
-        return "header" in words and not words & {"article", "entry", "post", "content"} and tag not in HEADINGS and not self._in_root()
+        return bool(_HIDDEN.search(attrs.get("style") or ""))
+
+    def _noise_words(self, tag, attrs):
+        """Words of class and id that mark the element, unless a word before them negates them."""
+        if tag in ("html", "body") or not attrs:
+            return set()
+        found, words, clean = set(), set(), False
+        for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
+            own = [w.lower() for w in _WORDS.findall(name)]
+            words |= set(own)
+            noise = {w for i, w in enumerate(own) if (w in NOISE_WORDS or w == "header") and (not i or own[i - 1] not in NEGATING)}
+            found |= noise
+            clean = clean or not noise and bool(CONTENT_WORDS & set(own))
+        if "header" in found and (words & {"article", "entry", "post", "content"} or tag in HEADINGS or self._in_root()):
+            found.discard("header")
+        if clean and found:
+            self.contents.add(len(self.tags))
+        return found
+
+    def settle(self):
+        """Drop the marked elements that hold little of the page's text outside links or stand beside an article, and readers' threads."""
+        if not self.suspects:
+            return
+        n = len(self.tags)
+        linked, held = [False] * n, [0] * n
+        for i in range(1, n):
+            linked[i] = self.tags[i] == "a" or linked[self.parents[i]]
+        for piece in self.flow:
+            if piece and not linked[piece[0]] and not self.dropped[piece[0]]:
+                held[piece[0]] += len(piece[1].strip())
+        least = sum(held) * LEAST_SHARE
+        for i in range(n - 1, 0, -1):
+            if not self.freed[i]:
+                held[self.parents[i]] += held[i]
+        rooted, in_root = sum(held[i] for i in range(n) if self.freed[i]), self.freed[:]
+        for i in range(1, n):
+            in_root[i] = in_root[i] or in_root[self.parents[i]]
+            if i in self.suspects and not self.dropped[i]:
+                talk = self.suspects[i] & TALK_WORDS and i not in self.contents
+                beside = not in_root[i] and rooted and rooted >= held[i] * LEAST_ROOTED
+                self.dropped[i] = bool(talk) or not held[i] or held[i] < least or bool(beside)
+            if not self.freed[i] and self.dropped[self.parents[i]]:
+                self.dropped[i] = True
+        self.flow = [piece for piece in self.flow if piece is None or not self.dropped[piece[0]]]
 
     def _in_root(self):
         return self.counts.get("article", 0) + self.counts.get("main", 0) > 0
 
     def handle_data(self, data):
+        if self.tags[self.open[-1]] == "head" and data.strip():
+            self._end_head()
         node = self.open[-1]
         if not self.dropped[node]:
             self.flow.append((node, data))
@@ -210,6 +273,7 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(_MARKED.sub("", html))
     tree.close()
+    tree.settle()
     chosen = _chosen(tree)
     inside = [i in chosen for i in range(len(tree.tags))]
     for i in range(1, len(inside)):

@@ -36,6 +36,28 @@ def test_edges(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<html><head><title>T</title><body><p>{}</body></html>", "<head><title>T</title><meta charset=utf-8><div><p>{}</div>",
+    "<html><head><title>T</title>{}</html>",
+])
+def test_a_head_without_end(page):
+    text = "some words of text, and so on. " * 8
+    assert main_text(page.format(text)) == text.strip()
+
+
+@pytest.mark.parametrize("mark", [
+    "class='content with-sidebar'", "class=no-sidebar", "class=has-banner", "id=search-results", "class=social-history",
+    "class='post comments-open'", "class=overflow-hidden", "class=header-fixed",
+])
+def test_a_class_word_does_not_drop_the_article(mark):
+    text = "some words of text, and so on. " * 8
+    page = (f"<html><head></head><body><div class=sidebar><p>Side words.</p></div><div {mark}><p>{text}1</p><p>{text}2</p>"
+            f"<div class=ad>Buy</div></div><div id=comments><p>{text * 9}</p></div></body></html>")
+    small = page.replace(text * 9, "I disagree")
+    for one in (page, small) if "no-" in mark or "with-" in mark or "has-" in mark else (small,):
+        assert main_text(one).split("\n\n") == [f"{text}1", f"{text}2"]
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 50_000 + "deep" + "</div>" * 50_000) == "deep"
     assert main_text("<article>" + "<p>x y" * 50_000) == "\n\n".join(["x y"] * 50_000)
