@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, embedding_join, html_text, language_id, minhash, packing, secret_scan, suffix_dedup, url_filters, warc
-from strata.llm.common import table
+from strata.llm import (
+    byte_bpe, decontamination, embedding_join, html_text, importance, language_id, minhash, packing, secret_scan, suffix_dedup,
+    url_filters, vector_codes, warc,
+)
+from strata.llm.common import Stages, table
 from strata.llm.registry import ORACLES, QUERIES, query
 from strata.session import run_folder
 
@@ -170,3 +173,90 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("bigint").alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The codebooks' rounds, one after the other, as common table expressions."""
+    def nearest(book: str) -> str:
+        gap = "list_sum(list_transform(range(1, len(w.x) + 1), lambda i: (w.x[i] - c.x[i]) * (w.x[i] - c.x[i])))"
+        return f"""(SELECT vec_id, label, p, any_value(x) AS x, arg_min(e, far * {entries} + e) AS e, min(far) AS far FROM (
+            SELECT w.vec_id, w.label, w.p, w.x, c.e, {gap} AS far FROM whole w JOIN {book} c ON w.p = c.p) GROUP BY vec_id, label, p)"""
+
+    steps = []
+    for r in range(rounds):
+        steps.append(f"""near{r} AS MATERIALIZED {nearest(f"book{r}")},
+        mean{r} AS (SELECT p, e, list(m ORDER BY i) AS x FROM (
+            SELECT p, e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS m
+            FROM near{r}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM near{r}) + 1)) AS i) GROUP BY p, e, i) GROUP BY p, e),
+        book{r + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM book{r} c LEFT JOIN mean{r} m ON m.p = c.p AND m.e = c.e)""")
+    return f"""
+    WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    whole AS MATERIALIZED (SELECT vec_id, label, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x
+        FROM kept, (SELECT unnest(range({parts})) AS p)),
+    book0 AS MATERIALIZED (SELECT p, e, x FROM (
+        SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM whole) WHERE e < {entries}),
+    {", ".join(steps)},
+    done AS MATERIALIZED {nearest(f"book{rounds}")},
+    coded AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error
+        FROM done GROUP BY vec_id, label)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+        (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+    FROM coded
+"""
+
+
+@query(_codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector's code, its error, and that of all vectors with its label."""
+    codes = vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), carry=["label"])
+    rows = Stages(spark, "vector-codes").keep(codes.rows, "coded")
+    return vector_codes.with_total(rows, "label", "error", "label_error").select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+@query(r"""
+    WITH codes AS (SELECT list(c ORDER BY n) AS crc FROM (SELECT n, list_reduce(list_prepend(n, range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS n))),
+    told AS (SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+    asked AS (SELECT unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+    counted AS (SELECT word, sum(s) AS s, sum(t) AS t FROM (
+        SELECT word, count(*) AS s, 0 AS t FROM (SELECT unnest(words) AS word FROM told) GROUP BY word
+        UNION ALL SELECT word, 0, count(*) FROM asked GROUP BY word) GROUP BY word),
+    hashed AS MATERIALIZED (SELECT word, s, t, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+            list_transform(range(strlen(word)), lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT))),
+            lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM counted, codes),
+    buckets AS (SELECT bucket, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM hashed GROUP BY bucket),
+    gains AS (SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM buckets) + 10000)
+        / ((s + 1) * ((SELECT sum(t) FROM buckets) + 10000)))) AS gain FROM buckets),
+    weighed AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM (SELECT doc_id, unnest(words) AS word FROM told)
+        JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+    drawn AS (SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+            (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+        FROM told LEFT JOIN weighed USING (doc_id)),
+    ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM drawn WHERE n_features >= 20)
+    SELECT d.doc_id, n_features, weight, score,
+        CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM ranks) THEN rank END AS rank
+    FROM drawn d LEFT JOIN ranks r USING (doc_id)
+""")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's likeness to the benchmark's texts, and a tenth of the documents drawn by it."""
+    docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text")
+    return importance.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query()
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and the bytes they stand for."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.decode(ids, ranks).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
