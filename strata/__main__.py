@@ -52,7 +52,7 @@ def rewards(spark: SparkSession, args) -> DataFrame:
         table = SnapshotTable(spark, root, TABLES["customer_rewards"])
         query = rewards_complete(bronze, table, job)
     else:
-        table = rewards_table(spark, root, args.buckets)
+        table = rewards_table(spark, root)
         query = (rewards_replace if args.mode == "replace" else rewards_additive)(bronze, table, job)
     await_all([query])
     return table.read()
@@ -66,8 +66,8 @@ def trades(spark: SparkSession, args) -> DataFrame:
 
 
 def gym(spark: SparkSession, args) -> DataFrame:
-    plan = Gym(spark, args.input, args.root, every=args.every, buckets=args.buckets,
-               files_per_trigger=args.files_per_trigger)
+    plan = Gym(spark, args.input, args.root, every=args.every, files_per_trigger=args.files_per_trigger,
+               database=args.database)
     if args.dates:
         plan.load_dates(args.dates)
     await_all(plan.run())
@@ -94,7 +94,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--table", help="managed table for the result (words in batch, line_items)")
     parser.add_argument("--every", help="keep running at this interval; default: all there is, once")
     parser.add_argument("--mode", choices=["complete", "replace", "additive"], default="replace", help="rewards")
-    parser.add_argument("--buckets", type=int, default=16, help="buckets of updated tables")
+    parser.add_argument("--database", help="names the tables and the report in the catalog (gym)")
     parser.add_argument("--files-per-trigger", type=int)
     parser.add_argument("--clean-source", choices=["off", "delete", "archive"], default="off", help="invoices")
     parser.add_argument("--archive-to", help="archive folder for --clean-source archive")

@@ -32,7 +32,7 @@ def split_by_type(
 
 
 def trade_totals(trades: DataFrame, ts: str = "CreatedTime", width: str = "15 minutes") -> DataFrame:
-    """Buy and sell totals per tumbling window."""
+    """Buy and sell totals per tumbling window. On a stream with a watermark, windows behind it leave the state."""
     totals = trades.groupBy(F.window(ts, width)).agg(
         F.sum("Buy").alias("TotalBuy"), F.sum("Sell").alias("TotalSell"))
     return totals.select("window.start", "window.end", "TotalBuy", "TotalSell")

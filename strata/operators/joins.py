@@ -164,6 +164,29 @@ def presence_report(gym_logs: DataFrame, workouts: DataFrame, users: DataFrame)
     )
 
 
+def presence_sql(gym_logs: str, workouts: str, users: str) -> str:
+    """``presence_report`` as SQL over three tables, for a view that the catalog keeps.
+
+    The widths in use are not known when a view is made, so sessions look into all ten.
+    """
+    length = "unix_micros(logout) - unix_micros(login)"
+    cases = " ".join(f"WHEN {length} < {w * 1_000_000} THEN {w}" for w in _WIDTHS[:-1])
+    slot = "unix_micros({0}) - pmod(unix_micros({0}), width * 1000000)".format
+    return f"""
+        SELECT to_date(l.login) AS date, l.gym, l.mac_address, s.workout_id, s.session_id,
+            round((unix_seconds(l.logout) - unix_seconds(l.login)) / 60, 2) AS minutes_in_gym,
+            round((unix_seconds(s.end_time) - unix_seconds(s.start_time)) / 60, 2) AS minutes_exercising
+        FROM (SELECT *, explode(array_distinct(array({slot("login")}, {slot("logout")}))) AS slot
+              FROM (SELECT mac_address, gym, login, logout, CAST(CASE {cases} ELSE {_WIDTHS[-1]} END AS BIGINT) AS width
+                    FROM {gym_logs} WHERE logout >= login)) l
+        JOIN (SELECT *, {slot("start_time")} AS slot
+              FROM (SELECT u.mac_address, w.workout_id, w.session_id, w.start_time, w.end_time,
+                        explode(array({", ".join(f"{w}L" for w in _WIDTHS)})) AS width
+                    FROM {workouts} w JOIN {users} u ON w.user_id = u.user_id)) s
+        ON l.mac_address = s.mac_address AND l.width = s.width AND l.slot = s.slot
+        WHERE s.start_time BETWEEN l.login AND l.logout"""
+
+
 REPORT_ORDER = ["date", "gym", "mac_address", "session_id"]
 
 

@@ -25,6 +25,30 @@ def payload(messages: DataFrame, schema: str, column: str = "value") -> DataFram
     return messages.select(decode_json(F.col(column), schema).alias("v")).select("v.*")
 
 
+_MALFORMED = "_malformed"
+
+
+def decoded_or_not(messages: DataFrame, schema: str, column: str = "value", reason: str = "malformed") -> DataFrame:
+    """The payload's fields in the place of the payload, and the payload itself as ``malformed`` where it is no record of the schema.
+
+    Good and bad rows stay one DataFrame, so that one scan can store both; see ``good_rows`` and ``bad_rows``. A null
+    payload is a bad row too, with an empty text.
+    """
+    parsed = F.from_json(F.col(column).cast("string"), f"{schema}, {_MALFORMED} string", {"columnNameOfCorruptRecord": _MALFORMED})
+    rows = messages.withColumn(column, parsed)
+    bad = F.when(F.col(column).isNull(), F.lit("")).otherwise(F.col(f"{column}.{_MALFORMED}"))
+    return rows.withColumn(reason, bad).withColumn(column, F.col(column).dropFields(_MALFORMED))
+
+
+def good_rows(decoded: DataFrame, reason: str = "malformed") -> DataFrame:
+    return decoded.where(F.col(reason).isNull()).drop(reason)
+
+
+def bad_rows(decoded: DataFrame, column: str = "value", reason: str = "malformed") -> DataFrame:
+    """What came with rows that could not be decoded, and their payload as it was."""
+    return decoded.where(F.col(reason).isNotNull()).drop(column)
+
+
 def decode_log(log: DataFrame, schema: str) -> DataFrame:
     """Log records with text key and decoded value, keeping what identifies a record."""
     return log.select(

@@ -13,7 +13,7 @@ from strata.operators.latest import first_per_key
 from strata.operators.messages import decode_log, text_log, where
 from strata.operators.nested import line_items
 from strata.schemas import INVOICE, TABLES
-from strata.sinks.staged import SET_ALL, InsertTable, SnapshotTable, UpsertTable
+from strata.sinks.staged import SET_ALL, InsertTable, SnapshotTable, StateTable
 from strata.sources.files import stream_files, with_source_file
 from strata.sources.log import LogConnection
 from strata.sinks.log import log_writer
@@ -64,19 +64,14 @@ def flatten(spark: SparkSession, folders: InvoiceFolders, every: str | None = No
 # -- raw message ingest ----------------------------------------------------------------
 
 
-def message_table(
-    spark: SparkSession, root: str, key: list[str] | None = None, buckets: int = 16,
-) -> InsertTable | UpsertTable:
+def message_table(spark: SparkSession, root: str, key: list[str] | None = None) -> InsertTable | StateTable:
     """A table that holds each message once.
 
-    Messages of one position are the same message, so by position nothing is ever updated: the
-    table only grows, and streams can read it. By content, a repeated message takes the place
-    of the stored one.
+    Messages of one position are the same message, so by position nothing is ever updated. By content, a repeated
+    message takes the place of the stored one.
     """
     key, schema = key or POSITION_KEY, TABLES["invoice_messages"]
-    if key == POSITION_KEY:
-        return InsertTable(spark, root, schema, key)
-    return UpsertTable(spark, root, schema, key, buckets, "timestamp" if "timestamp" in key else None)
+    return (InsertTable if key == POSITION_KEY else StateTable)(spark, root, schema, key)
 
 
 def store_decoded(log: DataFrame, path: str, job: Job, schema: str = INVOICE) -> StreamingQuery:
@@ -84,7 +79,7 @@ def store_decoded(log: DataFrame, path: str, job: Job, schema: str = INVOICE) ->
     return append_to_path(decode_log(log, schema), path, job)
 
 
-def ingest_messages(log: DataFrame, table: InsertTable | UpsertTable, job: Job) -> StreamingQuery:
+def ingest_messages(log: DataFrame, table: InsertTable | StateTable, job: Job) -> StreamingQuery:
     """Log records into a message table, however often they are delivered."""
     others = [c for c in table.columns if c not in table.keys]
     order = [F.col(c).asc_nulls_last() for c in others]
@@ -94,7 +89,8 @@ def ingest_messages(log: DataFrame, table: InsertTable | UpsertTable, job: Job)
     def once(rows: DataFrame) -> DataFrame:
         return first_per_key(rows, table.keys, order)
 
-    return upsert(text_log(log), table, job, [(None, SET_ALL)], prepare=once, mode="append")
+    time = "timestamp" if "timestamp" in table.keys else None
+    return upsert(text_log(log), table, job, [(None, SET_ALL)], prepare=once, mode="append", range_column=time)
 
 
 def send_invoices(spark: SparkSession, path: str, condition: str, connection: LogConnection,
@@ -107,8 +103,8 @@ def send_invoices(spark: SparkSession, path: str, condition: str, connection: Lo
 # -- customer rewards ------------------------------------------------------------------
 
 
-def rewards_table(spark: SparkSession, root: str, buckets: int = 16) -> UpsertTable:
-    return UpsertTable(spark, root, TABLES["customer_rewards"], REWARD_KEY, buckets)
+def rewards_table(spark: SparkSession, root: str) -> StateTable:
+    return StateTable(spark, root, TABLES["customer_rewards"], REWARD_KEY)
 
 
 def rewards_complete(invoices: DataFrame, table: SnapshotTable, job: Job) -> StreamingQuery:
@@ -116,13 +112,13 @@ def rewards_complete(invoices: DataFrame, table: SnapshotTable, job: Job) -> Str
     return replace_snapshot(reward_points(invoices), table, job)
 
 
-def rewards_replace(invoices: DataFrame, table: UpsertTable, job: Job) -> StreamingQuery:
+def rewards_replace(invoices: DataFrame, table: StateTable, job: Job) -> StreamingQuery:
     """Totals kept in query state; a batch writes the new totals of the customers it touched."""
     replace = [(None, {"TotalAmount": "s.TotalAmount", "TotalPoints": "s.TotalPoints"})]
     return upsert(reward_points(invoices), table, job, replace)
 
 
-def rewards_additive(invoices: DataFrame, table: UpsertTable, job: Job) -> StreamingQuery:
+def rewards_additive(invoices: DataFrame, table: StateTable, job: Job) -> StreamingQuery:
     """Totals kept in the table only: each batch's own sums are added to it, once per batch."""
     add = [(None, {
         "TotalAmount": "coalesce(t.TotalAmount + s.TotalAmount, t.TotalAmount, s.TotalAmount)",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,8 +10,9 @@ from strata.functions.temporal import parse_timestamp
 from strata.operators.aggregates import split_by_type, trade_totals
 from strata.operators.messages import payload
 from strata.schemas import TRADE
-from strata.sinks.staged import SnapshotTable
-from strata.streaming.jobs import Job, replace_snapshot
+from strata.sinks.staged import SET_ALL, SnapshotTable, StateTable
+from strata.streaming.jobs import Job, replace_snapshot, upsert
+from strata.streaming.state import LATENESS, watermarked
 
 TOTALS = "start timestamp, end timestamp, TotalBuy double, TotalSell double"
 
@@ -27,4 +28,18 @@ def trade_summary(messages: DataFrame) -> DataFrame:
 
 
 def stream_trade_summary(messages: DataFrame, table: SnapshotTable, job: Job) -> StreamingQuery:
+    """All windows, rewritten by every batch; the query's state holds each window for good."""
     return replace_snapshot(trade_summary(messages), table, job)
+
+
+def totals_table(spark: SparkSession, root: str) -> StateTable:
+    return StateTable(spark, root, TOTALS, ["start"])
+
+
+def stream_trade_updates(messages: DataFrame, table: StateTable, job: Job, lateness: str = LATENESS) -> StreamingQuery:
+    """Windows as they change: a batch writes those it touched, and the state lets go of windows behind the watermark.
+
+    A window's new total takes the place of the old one, so that a batch that is run again changes nothing.
+    """
+    trades = watermarked(trades_of(messages), "CreatedTime", lateness)
+    return upsert(trade_totals(trades), table, job, [(None, SET_ALL)], range_column="start")

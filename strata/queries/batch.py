@@ -17,7 +17,7 @@ from strata.operators.joins import (
 from strata.operators.latest import latest_changes
 from strata.operators.messages import decode_log, encode_log, flag_valid, of_topic, valid_only, where
 from strata.operators.nested import expand, line_items
-from strata.operators.text import word_count
+from strata.operators.text import clean_words, word_count, words_of
 from strata.queries.registry import events, plain_times, query, rounded, run_folder, table, text
 
 AS_OF = "2024-06-15"
@@ -52,11 +52,8 @@ def word_count_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY lang, word
 """)
 def clean_words_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    tagged = documents.select("lang", F.explode(F.split("text", " ")).alias("word"))
-    cleaned = tagged.select("lang", F.lower(F.trim("word")).alias("word"))
-    kept = where(cleaned, F.col("word").isNotNull() & F.col("word").rlike("[a-z]"))
-    return kept.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    words = words_of(table(spark, sf_dir, "documents"), "text", with_columns=["lang"])
+    return clean_words(words).groupBy("lang", "word").agg(F.count("*").alias("n"))
 
 
 TRADE_WINDOW_SQL = """
@@ -402,16 +399,22 @@ PRESENCE_SQL = """
 """
 
 
-@query(PRESENCE_SQL)
-def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = events(table(spark, sf_dir, "events"))
-    visits = where(source, "event_type = 'signup'").select(
+def presence_visits(source: DataFrame) -> DataFrame:
+    return where(source, "event_type = 'signup'").select(
         F.concat(F.lit("mac"), text("user_id")).alias("mac_address"), (F.col("user_id") % 7).alias("gym"),
         F.col("ts").alias("login"), lasting(F.col("ts"), F.col("value"), 6_000_000).alias("logout"))
-    sessions = where(source, "event_type = 'click'").select(
+
+
+def presence_sessions(source: DataFrame) -> DataFrame:
+    return where(source, "event_type = 'click'").select(
         "user_id", F.lit(1).alias("workout_id"), F.col("event_id").alias("session_id"),
         F.col("ts").alias("start_time"), lasting(F.col("ts"), F.col("value"), 600_000).alias("end_time"))
-    return presence_report(visits, sessions, users_of(table(spark, sf_dir, "customer")))
+
+
+@query(PRESENCE_SQL)
+def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = events(table(spark, sf_dir, "events"))
+    return presence_report(presence_visits(source), presence_sessions(source), users_of(table(spark, sf_dir, "customer")))
 
 
 @query(f"""

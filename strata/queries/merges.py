@@ -13,10 +13,10 @@ from strata.plans.invoices import (
 from strata.plans.workouts import LATER_LOGOUT, NEWER_PROFILE
 from strata.queries.batch import REWARDS_SQL, invoices_from_orders, log_of
 from strata.queries.registry import (
-    events, in_batches, plain_times, query, rounded, run_folder, streaming_session, table,
+    events, in_batches, plain_times, query, rounded, run_folder, streaming_session, table, text,
 )
 from strata.schemas import TABLES
-from strata.sinks.staged import SET_ALL, InsertTable, SnapshotTable, UpsertTable
+from strata.sinks.staged import SET_ALL, InsertTable, SnapshotTable, StateTable
 from strata.streaming.jobs import Job, append_to_path, await_all
 
 QUARTERS = [1, 2, 3, 4]
@@ -57,8 +57,8 @@ def merge_insert_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(seen.read())
 
 
-def _latest_order(spark: SparkSession, sf_dir: str, folder: str) -> UpsertTable:
-    newest = UpsertTable(spark, folder, ORDER_ROW, ["o_custkey"], buckets=8)
+def _latest_order(spark: SparkSession, sf_dir: str, folder: str) -> StateTable:
+    newest = StateTable(spark, folder, ORDER_ROW, ["o_custkey"])
     for quarter, load in _loads(spark, sf_dir):
         newest.merge(
             latest_per_key(load, ["o_custkey"], "o_orderdate", ["o_orderkey"]), "loader", quarter, [(None, SET_ALL)])
@@ -87,7 +87,7 @@ def changes_of_updated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, folder = streaming_session(spark), run_folder(spark, "changes_of_updated_table")
     table_ = _latest_order(session, sf_dir, f"{folder}/table")
     job = Job("changes", f"{folder}/checkpoint")
-    await_all([append_to_path(table_.stream(starting_commit=1), f"{folder}/rows", job)])
+    await_all([append_to_path(table_.stream(starting_batch=QUARTERS[1]), f"{folder}/rows", job)])
     return plain_times(spark.read.parquet(f"{folder}/rows"))
 
 
@@ -109,7 +109,10 @@ def changes_from_a_batch_on(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_custkey AS user_id, o_orderpriority AS last_name, o_orderdate AS updated FROM (
+    SELECT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS dob, left(o_orderpriority, 1) AS sex, o_orderstatus AS gender,
+           'F' || o_orderkey AS first_name, o_orderpriority AS last_name, o_orderkey || ' Street' AS street_address,
+           CASE WHEN o_orderkey % 3 > 0 THEN 'City' || (o_orderkey % 7) END AS city, 'State' || (o_orderkey % 5) AS state,
+           '0' || o_orderkey AS zip, o_orderdate AS updated FROM (
         SELECT *, row_number() OVER (
             PARTITION BY o_custkey
             ORDER BY o_orderdate DESC, quarter(o_orderdate) DESC, o_orderpriority, o_orderkey) AS n FROM orders)
@@ -117,16 +120,19 @@ def changes_from_a_batch_on(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def merge_if_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loads arrive last quarter first, so only newer rows may replace stored ones."""
-    profile = UpsertTable(
-        spark, run_folder(spark, "merge_if_newer"), TABLES["user_profile"], ["user_id"], buckets=8)
+    profile = StateTable(spark, run_folder(spark, "merge_if_newer"), TABLES["user_profile"], ["user_id"])
     for i, (_, load) in enumerate(reversed(_loads(spark, sf_dir))):
         newest = latest_per_key(load, ["o_custkey"], "o_orderdate", ["o_orderpriority", "o_orderkey"])
-        missing = {c: F.lit(None) for c in profile.columns}
-        rows = newest.select(*[c.alias(n) for n, c in {
-            **missing, "user_id": F.col("o_custkey"), "last_name": F.col("o_orderpriority"),
-            "updated": F.col("o_orderdate")}.items()])
+        key = F.col("o_orderkey")
+        rows = newest.select(
+            F.col("o_custkey").alias("user_id"), F.to_date("o_orderdate").alias("dob"), F.substring("o_orderpriority", 1, 1).alias("sex"),
+            F.col("o_orderstatus").alias("gender"), F.concat(F.lit("F"), text(key)).alias("first_name"),
+            F.col("o_orderpriority").alias("last_name"), F.concat(text(key), F.lit(" Street")).alias("street_address"),
+            F.when(key % 3 > 0, F.concat(F.lit("City"), text(key % 7))).alias("city"),
+            F.concat(F.lit("State"), text(key % 5)).alias("state"), F.concat(F.lit("0"), text(key)).alias("zip"),
+            F.col("o_orderdate").alias("updated"))
         profile.merge(rows, "loader", i, NEWER_PROFILE)
-    return plain_times(profile.read().select("user_id", "last_name", "updated"))
+    return plain_times(profile.read())
 
 
 @query("""
@@ -135,16 +141,15 @@ def merge_if_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders GROUP BY ALL
 """)
 def merge_later_logout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visits = UpsertTable(
-        spark, run_folder(spark, "merge_later_logout"), TABLES["gym_logs"],
-        ["mac_address", "gym", "login"], buckets=2, day_of="login")
+    visits = StateTable(
+        spark, run_folder(spark, "merge_later_logout"), TABLES["gym_logs"], ["mac_address", "gym", "login"])
     for i, (_, load) in enumerate(reversed(_loads(spark, sf_dir))):
         rows = load.groupBy(
             F.concat(F.lit("mac"), F.col("o_custkey").cast("string")).alias("mac_address"),
             F.length("o_orderpriority").cast("long").alias("gym"),
             F.date_trunc("year", "o_orderdate").alias("login"),
         ).agg(F.max(F.col("o_orderdate") + F.expr("interval 1 day")).alias("logout"))
-        visits.merge(rows, "loader", i, LATER_LOGOUT)
+        visits.merge(rows, "loader", i, LATER_LOGOUT, range_column="login")
     return plain_times(visits.read())
 
 
@@ -166,7 +171,7 @@ def rewards_complete_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(REWARDS_SQL)
 def rewards_replace_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     invoices, folder = _reward_stream(spark, sf_dir, "rewards_replace")
-    totals = rewards_table(spark, f"{folder}/table", buckets=8)
+    totals = rewards_table(spark, f"{folder}/table")
     await_all([rewards_replace(invoices, totals, Job("rewards", f"{folder}/checkpoint"))])
     return rounded(totals.read(), "TotalAmount", "TotalPoints")
 
@@ -174,14 +179,16 @@ def rewards_replace_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(REWARDS_SQL)
 def rewards_additive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     invoices, folder = _reward_stream(spark, sf_dir, "rewards_additive")
-    totals = rewards_table(spark, f"{folder}/table", buckets=8)
+    totals = rewards_table(spark, f"{folder}/table")
     await_all([rewards_additive(invoices, totals, Job("rewards", f"{folder}/checkpoint"))])
     return rounded(totals.read(), "TotalAmount", "TotalPoints")
 
 
 MESSAGES_SQL = """
     SELECT CAST(event_id AS VARCHAR) AS key, event_type AS topic, CAST(0 AS BIGINT) AS partition,
-           event_id AS "offset", CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k
+           event_id AS "offset", TIMESTAMP '2024-01-01' AS timestamp,
+           '{"event_id":' || event_id || ',"micros":' || epoch_us(ts) || ',"user_id":' || user_id || ',"value":' || value
+               || ',"props":' || to_json(props) || '}' AS value
     FROM events
 """
 
@@ -191,11 +198,10 @@ def _twice_delivered(spark: SparkSession, sf_dir: str, name: str, key: list[str]
     session, folder = streaming_session(spark), run_folder(spark, name)
     log = log_of(events(table(session, sf_dir, "events")))
     twice = log.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
-    stored = message_table(spark, f"{folder}/table", key, buckets=8)
+    stored = message_table(spark, f"{folder}/table", key)
     source = in_batches(session, twice, f"{folder}/landing", loads=2).drop("delivery")
     await_all([ingest_messages(source, stored, Job("ingest", f"{folder}/checkpoint"))])
-    k = F.get_json_object(F.get_json_object("value", "$.props"), "$.k").cast("long")
-    return stored.read().select("key", "topic", "partition", "offset", k.alias("k"))
+    return plain_times(stored.read())
 
 
 @query(MESSAGES_SQL)

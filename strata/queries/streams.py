@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.aggregates import reading_stats
 from strata.operators.joins import containment_join, interval_join, with_device
-from strata.plans.trades import TOTALS, stream_trade_summary
+from strata.operators.messages import bad_rows, decoded_or_not, good_rows
+from strata.plans.trades import TOTALS, stream_trade_summary, stream_trade_updates, totals_table
 from strata.plans.words import COUNTS, batch_word_count, stream_word_count
+from strata.plans.workouts import KEYS, LATER_LOGOUT, finished_session_stats
 from strata.queries.batch import (
-    CONTAINED, CONTAINMENT_SQL, INTERVAL_SQL, STATS_SQL, TRADE_WINDOW_SQL, WORD_COUNT_SQL, click_starts,
+    CONTAINED, CONTAINMENT_SQL, INTERVAL_SQL, STATS_SQL, TRADE_WINDOW_SQL, WORD_COUNT_SQL, click_starts, lasting,
     other_points, purchase_ends, session_readings, signup_spans, users_of,
 )
 from strata.queries.registry import (
     events, in_batches, in_event_order, plain_times, query, rounded, run_folder, streaming_session, table, table_stream,
 )
-from strata.schemas import GYM_LOGIN, MESSAGE, REGISTERED_USER
-from strata.sinks.catalog import ensure_database
-from strata.sinks.staged import SnapshotTable
-from strata.sources.files import stream_csv, stream_files, stream_json
-from strata.streaming.jobs import Job, append_to_path, await_all
+from strata.schemas import GYM_LOGIN, MESSAGE, REGISTERED_USER, STORED_MESSAGE, TABLES
+from strata.sinks.catalog import ensure_database, save_bucketed
+from strata.sinks.staged import SnapshotTable, StateTable
+from strata.sources.files import stream_csv, stream_files, stream_json, stream_loaded, with_load_day
+from strata.streaming.jobs import Job, append_to_path, await_all, upsert
 from strata.streaming.state import watermarked, without_duplicates
+from strata.streaming.stateful import first_of_key, greatest_of_key
 
 
 def complete(queries) -> None:
@@ -60,17 +65,135 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trade_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade messages in several loads; every load rewrites the totals."""
     session, folder = streaming_session(spark), run_folder(spark, "trade_window_stream")
-    source = in_batches(session, table(session, sf_dir, "events"), f"{folder}/landing")
+    messages = trade_messages(in_batches(session, table(session, sf_dir, "events"), f"{folder}/landing"))
+    totals = SnapshotTable(spark, f"{folder}/totals", TOTALS)
+    await_all([stream_trade_summary(messages, totals, Job("trades", f"{folder}/checkpoint"))])
+    return plain_times(rounded(totals.read(), "TotalBuy", "TotalSell"))
+
+
+def trade_messages(source: DataFrame) -> DataFrame:
     kind = F.when(F.col("event_type") == "purchase", "BUY").when(F.col("event_type") == "click", "SELL")
-    messages = source.select(F.to_json(F.struct(
+    return source.select(F.to_json(F.struct(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("CreatedTime"),
         kind.otherwise("QUOTE").alias("Type"), F.col("value").alias("Amount"),
         F.lit("B1").alias("BrokerCode"))).alias("value"))
-    totals = SnapshotTable(spark, f"{folder}/totals", TOTALS)
-    await_all([stream_trade_summary(messages, totals, Job("trades", f"{folder}/checkpoint"))])
+
+
+@query(TRADE_WINDOW_SQL)
+def trade_window_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trade messages in loads that follow event time; every load writes the windows it touched."""
+    session, folder = streaming_session(spark), run_folder(spark, "trade_window_updates")
+    source = in_event_order(session, table(session, sf_dir, "events"), f"{folder}/landing", "ts")
+    totals = totals_table(session, f"{folder}/totals")
+    complete([stream_trade_updates(trade_messages(source), totals, Job("trades", f"{folder}/checkpoint"))])
     return plain_times(rounded(totals.read(), "TotalBuy", "TotalSell"))
 
 
+@query("SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
+def first_of_user_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first event of each user, remembered in the query's state without an event time."""
+    session, folder = streaming_session(spark), run_folder(spark, "first_of_user_stream")
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # or it would wait for keys to be forgotten
+    # Events are numbered in the order of their times.
+    loads = in_event_order(session, table(session, sf_dir, "events"), f"{folder}/landing", "ts").select("user_id", "event_id")
+    first = first_of_key(loads, ["user_id"], ["event_id"], remembered=dt.timedelta(days=7))
+    complete([append_to_path(first, f"{folder}/rows", Job("first", f"{folder}/checkpoint"))])
+    return spark.read.parquet(f"{folder}/rows")
+
+
+@query("""
+    SELECT 'mac' || user_id AS mac_address, user_id % 7 AS gym, date_trunc('day', ts) AS login,
+           max(ts + to_microseconds(CAST(round(value * 100) AS BIGINT) * 1000000)) AS logout
+    FROM events GROUP BY ALL
+""")
+def greatest_logout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits whose greatest logout lives in the query's state until the watermark has passed them."""
+    session, folder = streaming_session(spark), run_folder(spark, "greatest_logout_stream")
+    source = events(in_event_order(session, table(session, sf_dir, "events"), f"{folder}/landing", "ts"))
+    visits = source.select(
+        F.concat(F.lit("mac"), F.col("user_id").cast("string")).alias("mac_address"), (F.col("user_id") % 7).alias("gym"),
+        F.date_trunc("day", "ts").alias("login"), lasting(F.col("ts"), F.col("value"), 1_000_000).alias("logout"))
+    grown = greatest_of_key(visits, KEYS["gym_logs"], "login", "logout", kept=dt.timedelta(days=1))
+    logs = StateTable(session, f"{folder}/logs", TABLES["gym_logs"], KEYS["gym_logs"])
+    complete([upsert(grown, logs, Job("logs", f"{folder}/checkpoint"), LATER_LOGOUT, range_column="login")])
+    return plain_times(logs.read())
+
+
+@query("""
+    WITH done AS (
+        SELECT user_id, event_id AS session_id, ts AS start_time,
+               ts + to_microseconds(CAST(round(value * 100) AS BIGINT) * 600000) AS end_time, value
+        FROM events WHERE event_type = 'click'),
+    readings AS (
+        SELECT user_id, start_time + to_seconds(m * 60) AS s, round(value + m, 4) AS heartrate
+        FROM done, (SELECT unnest([0, 7, 20]) AS m))
+    SELECT d.user_id, CAST(1 AS INTEGER) AS workout_id, d.session_id, d.end_time, min(r.heartrate) AS min_bpm,
+           round(avg(r.heartrate), 8) AS avg_bpm, max(r.heartrate) AS max_bpm, count(*) AS num_recordings
+    FROM done d JOIN readings r ON r.user_id = d.user_id AND r.s > d.start_time AND r.s <= d.end_time
+    WHERE d.user_id IN (SELECT c_custkey FROM customer)
+    GROUP BY d.user_id, d.session_id, d.end_time
+""")
+def finished_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts, stops and readings to statistics of finished sessions in one query, two joins and a group with state each."""
+    session, folder = streaming_session(spark), run_folder(spark, "finished_sessions_stream")
+    clicks = events(table(session, sf_dir, "events")).where("event_type = 'click'").select("user_id", "event_id", "ts", "value")
+    # A last click of nobody, days later, moves the watermark behind all that was before it.
+    beyond = clicks.agg(F.max("ts").alias("ts")).select(
+        F.lit(-1).cast("long").alias("user_id"), F.lit(-1).cast("long").alias("event_id"),
+        (F.col("ts") + F.expr("interval 30 days")).alias("ts"), F.lit(1.0).alias("value"))
+    landed = in_event_order(session, clicks.union(beyond), f"{folder}/landing", "ts")
+    key = [F.col("user_id"), F.lit(1).alias("workout_id"), F.col("event_id").alias("session_id")]
+    end = lasting(F.col("ts"), F.col("value"), 600_000)
+    starts = watermarked(landed.select(*key, F.col("ts").alias("start_time")), "start_time")
+    stops = watermarked(landed.select(*key, end.alias("end_time")), "end_time")
+    minute = F.explode(F.array(F.lit(0), F.lit(7), F.lit(20)))
+    readings = landed.withColumn("minute", minute).select(
+        (F.col("user_id") * 7).alias("device_id"), F.timestamp_micros(F.unix_micros("ts") + F.col("minute") * 60_000_000).alias("time"),
+        F.round(F.col("value") + F.col("minute"), 4).alias("heartrate"))
+    users = users_of(table(session, sf_dir, "customer"))
+    stats = finished_session_stats(starts, stops, users, watermarked(readings, "time"))
+    complete([append_to_path(stats, f"{folder}/rows", Job("sessions", f"{folder}/checkpoint"))])
+    return plain_times(rounded(spark.read.parquet(f"{folder}/rows"), "avg_bpm", places=8))
+
+
+@query("SELECT event_id, user_id, user_id * 7 AS device_id FROM events JOIN customer ON user_id = c_custkey")
+def bucketed_devices_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their user's device, from a dimension that lies in buckets of the join's key."""
+    session, folder = streaming_session(spark), run_folder(spark, "bucketed_devices_stream")
+    database = "dimensions_" + folder[-8:]
+    current = session.catalog.currentDatabase()
+    ensure_database(session, database, f"{folder}/database")
+    session.catalog.setCurrentDatabase(current)
+    width = int(session.conf.get("spark.sql.shuffle.partitions"))
+    save_bucketed(users_of(table(session, sf_dir, "customer")), f"{database}.users", ["user_id"], width)
+    rows = in_batches(session, table(session, sf_dir, "events").select("event_id", "user_id"), f"{folder}/landing")
+    joined = rows.join(session.table(f"{database}.users"), "user_id").select("event_id", "user_id", "device_id")
+    complete([append_to_path(joined, f"{folder}/rows", Job("devices", f"{folder}/checkpoint"))])
+    return spark.read.parquet(f"{folder}/rows")
+
+
+@query("""
+    SELECT event_type AS topic, count(*) FILTER (event_type <> 'error') AS good, count(*) FILTER (event_type = 'error') AS bad,
+           sum(CASE WHEN event_type <> 'error' THEN CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) END)::BIGINT AS total_k,
+           max(CASE WHEN event_type = 'error' THEN left(props, 5) END) AS last_bad
+    FROM events GROUP BY event_type
+""")
+def dead_letters_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which one topic's payloads are cut short: one scan stores good and bad rows beside each other."""
+    session, folder = streaming_session(spark), run_folder(spark, "dead_letters_stream")
+    cut = F.when(F.col("event_type") == "error", F.substring("props", 1, 5)).otherwise(F.col("props"))
+    source = in_batches(session, table(session, sf_dir, "events"), f"{folder}/landing")
+    decoded = decoded_or_not(source.select(F.col("event_type").alias("topic"), cut.alias("value")), "k bigint")
+    split = decoded.withColumn("is_bad", F.col("malformed").isNotNull())
+    complete([append_to_path(split, f"{folder}/rows", Job("letters", f"{folder}/checkpoint"), partition_by=["is_bad"])])
+    stored = spark.read.parquet(f"{folder}/rows").drop("is_bad")
+    good = good_rows(stored).groupBy("topic").agg(F.count("*").alias("good"), F.sum("value.k").alias("total_k"))
+    bad = bad_rows(stored).groupBy("topic").agg(F.count("*").alias("bad"), F.max("malformed").alias("last_bad"))
+    none = F.lit(0).cast("long")
+    return good.join(bad, "topic", "full").select(
+        "topic", F.coalesce("good", none).alias("good"), F.coalesce("bad", none).alias("bad"), "total_k", "last_bad")
+
+
 @query("SELECT DISTINCT user_id, ts FROM events")
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event three times over, reduced to one."""
@@ -180,6 +303,26 @@ def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(spark, session, folder, stream_json(session, f"{folder}/landing", MESSAGE, 1000))
 
 
+@query("""
+    SELECT CAST(event_id AS VARCHAR) AS key, event_type AS topic, event_id AS "offset", ts AS load_time
+    FROM events WHERE ts >= (SELECT date_trunc('day', min(ts)) + INTERVAL 36 HOUR FROM events)
+""")
+def loaded_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table of many load days as a stream that starts at noon of the second, without opening the first."""
+    session, folder = streaming_session(spark), run_folder(spark, "loaded_since")
+    source = events(table(session, sf_dir, "events"))
+    stored = source.select(
+        F.col("event_id").cast("string").alias("key"), F.col("props").alias("value"), F.col("user_id").alias("partition"),
+        F.col("event_id").alias("offset"), F.unix_seconds("ts").alias("timestamp"), F.col("ts").alias("load_time"),
+        F.lit("file").alias("source_file"), F.to_date("ts").alias("date"), F.col("event_type").alias("topic"),
+        F.lit("weekday").alias("week_part"))
+    with_load_day(stored).write.partitionBy("load_day", "topic", "week_part").parquet(f"{folder}/bronze")
+    start = source.agg((F.date_trunc("day", F.min("ts")) + F.expr("interval 36 hours")).cast("string")).first()[0]
+    rows = stream_loaded(session, f"{folder}/bronze", STORED_MESSAGE, start).select("key", "topic", "offset", "load_time")
+    complete([append_to_path(rows, f"{folder}/rows", Job("since", f"{folder}/checkpoint"))])
+    return plain_times(spark.read.parquet(f"{folder}/rows"))
+
+
 def _ingested(spark: SparkSession, session: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
     """Run a landing stream to its end; lineage differs per run, so only its presence is told."""
     await_all([append_to_path(rows, f"{folder}/bronze", Job("landing", f"{folder}/checkpoint"))])

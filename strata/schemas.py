@@ -74,8 +74,10 @@ TABLES = {
 # still empty does not know them as such yet, and pairs columns by position.
 STORED_MESSAGE = """
     key string, value string, partition bigint, offset bigint, timestamp bigint,
-    load_time timestamp, source_file string, date date, topic string, week_part string
+    load_time timestamp, source_file string, date date, load_day date, topic string, week_part string
 """
 
-# Columns that a bronze file ingest appends to its input schema.
-LINEAGE = "load_time timestamp, source_file string"
+# Columns that a bronze file ingest appends to its input schema; the day is a partition column.
+LINEAGE = "load_time timestamp, source_file string, load_day date"
+
+STORED_USER, STORED_LOGIN = f"{REGISTERED_USER}, {LINEAGE}", f"{GYM_LOGIN}, {LINEAGE}"

@@ -17,6 +17,10 @@ COMMON_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Queries that share an application share its cores by pool (``Job.pool``) instead of first come, first served.
+# Read when the context starts, so a session that is only picked up keeps what it was started with.
+CONTEXT_CONF = {"spark.scheduler.mode": "FAIR"}
+
 # Keyed state lives in RocksDB (off heap, spills to disk) and uploads change logs
 # instead of whole snapshots per batch, so state may outgrow executor memory.
 STATE_CONF = {
@@ -41,6 +45,7 @@ def build_session(
         builder = builder.master(master)
     settings = {
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+        **CONTEXT_CONF,
         **COMMON_CONF,
         **STATE_CONF,
         **(conf or {}),

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from strata.sinks.staged import SET_ALL, Clause
+from strata.operators.merge import SET_ALL, Clause
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> bool:
@@ -61,12 +62,57 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", provider: str
     df.write.format(provider).mode(mode).saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
+    """Write a large dimension as a managed table whose files are laid out and sorted by its join keys.
+
+    A join on these keys reads the table as it lies and shuffles the other side only, which for a stream is each micro-batch.
+    Choose ``buckets`` as the shuffle width of the queries that join it.
+    """
+    laid_out = df.repartition(buckets, *keys)  # one file for each bucket
+    laid_out.write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
 def overwrite_rows(df: DataFrame, table: str) -> None:
     """Replace the rows of an existing table, matching columns by name."""
     target = df.sparkSession.table(table)
     df.select(*target.columns).write.insertInto(table, overwrite=True)
 
 
+def external_table(spark: SparkSession, name: str, schema: StructType, location: str, partitions: Sequence[str]) -> None:
+    """A table of that name over Parquet folders that others write, with the partitions that are there by now.
+
+    Dropping the table leaves the folders alone.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
+              f" PARTITIONED BY ({', '.join(partitions)}) LOCATION '{location}'")
+    recover_partitions(spark, name)
+
+
+def recover_partitions(spark: SparkSession, name: str) -> None:
+    """Tell the catalog of all folders below an external table."""
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def _spec(values: Mapping[str, str | int]) -> str:
+    return ", ".join(f"{k} = '{v}'" if isinstance(v, str) else f"{k} = {v}" for k, v in values.items())
+
+
+def add_partition(spark: SparkSession, name: str, values: Mapping[str, str | int], location: str | None = None) -> None:
+    """Tell the catalog of a folder that was added to an external table; a known one changes nothing."""
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({_spec(values)}){at}")
+
+
+def drop_partition(spark: SparkSession, name: str, values: Mapping[str, str | int]) -> None:
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_spec(values)})")
+
+
+def lasting_view(spark: SparkSession, name: str, statement: str) -> None:
+    """A view that the catalog keeps: every session sees it, and it reads its tables anew each time."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {statement}")
+
+
 def create_view(df: DataFrame, name: str) -> DataFrame:
     """Name a result for SQL in this session, replacing an earlier one of that name."""
     df.createOrReplaceTempView(name)

@@ -1,28 +1,36 @@
-"""Tables in plain Parquet folders that change by whole, renamed-in folders.
+"""Tables in plain Parquet folders that grow by whole, renamed-in folders.
 
 A batch is written next to the table and renamed into place, so a reader sees all of it or
 none, and a batch that is replayed after a failure finds its folder in place and does nothing.
+Nothing that is stored is ever rewritten: a batch of n keys writes n rows at most.
 Renames are atomic on HDFS-like and local file systems. Where they are not, use a table
 format and ``strata.sinks.catalog.merge_into_catalog``. Every table has one writer at a time.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from strata.operators.latest import first_per_key
+from strata.operators.latest import first_per_key, latest_per_key
+from strata.operators.merge import SET_ALL, Clause, changed_rows, split_null_keys
+from strata.sinks.catalog import add_partition, drop_partition, external_table, lasting_view
 from strata.sources.fs import SharedFs
 
+__all__ = ["SET_ALL", "Clause", "InsertTable", "SnapshotTable", "StateTable"]
 
-_NOTE = "_made_by"  # file in a published folder that names what it was made from
+#: A batch with up to this many values of a key column asks the stored files for these values, beyond it for their range.
+#: A bound on what passes through the driver; the result is the same.
+ASKED_VALUES = 1000
+_VERSION = "version"
+_PUSHED = 10  # values of one IN that a file scan takes as such; longer lists it takes as their range only
 
 
 class _Staged:
@@ -35,9 +43,9 @@ class _Staged:
         self.fs = SharedFs(spark, self.root)
         self.fs.mkdirs(self.data)
 
-    def _publish(self, df: DataFrame, target: str) -> None:
+    def _publish(self, df: DataFrame, target: str, **options: str) -> None:
         staging = f"{self.root}/_staging/{target.rsplit('/data/', 1)[-1]}"
-        df.write.mode("overwrite").parquet(staging)
+        df.write.mode("overwrite").options(**options).parquet(staging)
         self.fs.move(staging, target)
 
     def _conform(self, df: DataFrame) -> DataFrame:
@@ -45,6 +53,14 @@ class _Staged:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
 
 
+def _any_of(column: str, values: Sequence) -> Column:
+    """Whether the column has one of the values, as a shallow tree of lists that are each short enough to reach the files."""
+    tests = [F.col(column).isin(values[i:i + _PUSHED]) for i in range(0, len(values), _PUSHED)] or [F.lit(False)]
+    while len(tests) > 1:
+        tests = [reduce(Column.__or__, tests[i:i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0]
+
+
 @contextmanager
 def _kept(df: DataFrame, keep: bool):
     """Keeps a batch for the few passes of one merge; lost blocks are recomputed."""
@@ -58,24 +74,11 @@ def _kept(df: DataFrame, keep: bool):
         kept.unpersist()
 
 
-def _split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with all keys, and rows with a null key, which match nothing."""
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
-    return df.where(~missing), df.where(missing)
-
-
-def _fits_broadcast(kept: DataFrame) -> bool:
-    """Whether Catalyst would broadcast a kept batch, going by its actual size in memory."""
-    size = kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    limit = kept.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return size <= limit
-
-
 class SnapshotTable(_Staged):
     """A table whose whole content is replaced by every batch (complete output mode)."""
 
+    registered: str | None = None
+
     def _versions(self) -> list[tuple[int, str, int]]:
         """Number, writer and batch of every version, oldest first."""
         parts = [name.split("-") for name in self.fs.names(self.data) if name.startswith("v")]
@@ -88,11 +91,26 @@ class SnapshotTable(_Staged):
         writer = writer.replace("-", "")
         if (by, batch) == (writer, batch_id):
             return False
-        self._publish(self._conform(df), f"{self.data}/v{number + 1}-{writer}-{batch_id}")
+        target = f"{self.data}/v{number + 1}-{writer}-{batch_id}"
+        self._publish(self._conform(df), target)
+        if self.registered:
+            add_partition(self.spark, self.registered, {_VERSION: number + 1}, target)
         for old in versions[:-1]:  # the one before stays for readers that have just listed it
+            if self.registered:
+                drop_partition(self.spark, self.registered, {_VERSION: old[0]})
             self.fs.delete(f"{self.data}/v{old[0]}-{old[1]}-{old[2]}")
         return True
 
+    def register(self, name: str) -> None:
+        """A lasting view of that name (``database.table``) of the newest version, whichever that is when it is read."""
+        table = f"{name}_versions"
+        external_table(self.spark, table, StructType([*self.schema, StructField(_VERSION, LongType())]), self.data, [_VERSION])
+        for number, writer, batch in self._versions()[-1:]:
+            add_partition(self.spark, table, {_VERSION: number}, f"{self.data}/v{number}-{writer}-{batch}")
+        self.registered = table
+        lasting_view(self.spark, name, f"SELECT {', '.join(self.columns)} FROM {table}"
+                                       f" WHERE {_VERSION} = (SELECT max({_VERSION}) FROM {table})")
+
     def overwrite(self, df: DataFrame) -> None:
         """Make ``df`` the content, as a write of its own outside any stream."""
         self.replace(df, uuid.uuid4().hex, 0)
@@ -105,24 +123,29 @@ class SnapshotTable(_Staged):
         return self.spark.read.schema(self.schema).parquet(f"{self.data}/v{number}-{writer}-{batch}")
 
 
-class InsertTable(_Staged):
-    """A keyed table that only ever gains rows: existing keys win over new ones.
+class _Batches(_Staged):
+    """What keyed tables share: a folder for each writer's batch, Bloom filters on keys, a place in the catalog."""
 
-    Its folders are append-only, so streams can read it directly.
-    """
+    _EXTRA: Sequence[StructField] = ()
 
     def __init__(self, spark: SparkSession, root: str, schema: str, keys: Sequence[str]):
         super().__init__(spark, root, schema)
         self.keys = list(keys)
+        self.registered: str | None = None
 
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(self._stored_schema()).parquet(self.data).select(*self.columns)
+    # -- reading -----------------------------------------------------------------------
+
+    def _file_schema(self) -> StructType:
+        return StructType([*self.schema, *self._EXTRA])
+
+    def _stored_schema(self) -> StructType:
+        return StructType([*self._file_schema(), StructField("writer", StringType()), StructField("batch", LongType())])
 
-    def _stored_schema(self):
-        return StructType([*self.schema, StructField("writer", StringType()), StructField("batch", LongType())])
+    def _stored(self) -> DataFrame:
+        return self.spark.read.schema(self._stored_schema()).parquet(self.data)
 
     def stream(self, starting_batch: int = 0, **options: str) -> DataFrame:
-        """The rows as a stream, from a given batch number of each writer on.
+        """The rows that batches added as a stream, from a given batch number of each writer on.
 
         ``starting_batch`` is meant for a fresh checkpoint; whole batch folders are skipped.
         """
@@ -131,43 +154,30 @@ class InsertTable(_Staged):
             rows = rows.where(F.col("batch") >= starting_batch)
         return rows.select(*self.columns)
 
-    def insert_new(
-        self, source: DataFrame, writer: str, batch_id: int,
-        order: Sequence[Column | str] = (), range_column: str | None = None, keep: bool = True,
-    ) -> bool:
-        """Insert rows whose key is not in the table; of equal new keys the first in order.
-
-        Columns the order leaves out break its ties.
+    def _asked(self, stored: DataFrame, rows: DataFrame, range_column: str | None, low, high) -> DataFrame:
+        """The stored rows with a batch's keys.
 
-        ``range_column`` names a key column along which the table's files are clustered, such
-        as event time: the table scan then skips files outside the batch's range. ``keep`` caches
-        the source for its three passes; for a large load straight from files, reading it again
-        costs less. Returns False if there was nothing to do.
+        What the batch is known to hold reaches the scan as literals: the range of ``range_column``, and the
+        values of the first other key, if they are few. Statistics and Bloom filters then leave out row groups
+        without them. The rest is a semi-join, for which a small batch is broadcast and the table never shuffled.
         """
-        target = f"{self.data}/writer={writer}/batch={batch_id}"
-        if self.fs.exists(target):
-            return False
-        with _kept(self._conform(source), keep) as rows:
-            bounds = [F.count("*").alias("n")]
-            if range_column:
-                exact = self._exact(range_column)
-                bounds += [F.min(exact).alias("lo"), F.max(exact).alias("hi")]
-            facts = rows.agg(*bounds).first()
-            if facts.n == 0:
-                return False
-            keyed, unkeyed = _split_null_keys(rows, self.keys)
-            ties = [F.col(c).asc_nulls_last() for c in self.columns if c not in self.keys]
-            new = first_per_key(keyed, self.keys, [*order, *(ties or self.keys)])
-            if self.fs.names(self.data):
-                stored = self.read()
-                if range_column and facts.lo is not None:
-                    stored = self._within(stored, range_column, facts.lo, facts.hi)
-                # Reduce the table to the batch's keys first: with a small batch this is a
-                # broadcast of the batch, and the table is scanned but never shuffled.
-                known = stored.select(*self.keys).join(keyed.select(*self.keys), self.keys, "left_semi")
-                new = new.join(known, self.keys, "left_anti")
-            self._publish(new.unionByName(unkeyed), target)
-        return True
+        if range_column and low is not None:
+            stored = self._within(stored, range_column, low, high)
+        lookup = next((k for k in self.keys if k != range_column), None)
+        if lookup:
+            values = [r[0] for r in rows.select(lookup).distinct().limit(ASKED_VALUES + 1).collect()]
+            if len(values) <= ASKED_VALUES:
+                stored = stored.where(_any_of(lookup, values))
+        return stored.join(rows.select(*self.keys), self.keys, "left_semi")
+
+    def _bounds(self, rows: DataFrame, range_column: str | None) -> tuple[int, object, object]:
+        """How many rows a batch has, and its range."""
+        bounds = [F.count("*").alias("n")]
+        if range_column:
+            exact = self._exact(range_column)
+            bounds += [F.min(exact).alias("low"), F.max(exact).alias("high")]
+        facts = rows.agg(*bounds).first()
+        return (facts.n, facts.low, facts.high) if range_column else (facts.n, None, None)
 
     def _exact(self, column: str) -> Column:
         """A value as it comes to the driver and back: instants as numbers, as their spelling can be ambiguous."""
@@ -179,222 +189,130 @@ class InsertTable(_Staged):
         low, high = (F.timestamp_micros(F.lit(x)) if kind.typeName() == "timestamp" else F.lit(x).cast(kind) for x in (low, high))
         return stored.where(F.col(column).between(low, high))
 
+    # -- writing -----------------------------------------------------------------------
 
-SET_ALL = "*"
-Clause = tuple[str | None, Mapping[str, str] | str]
+    def _target(self, writer: str, batch_id: int) -> str:
+        return f"{self.data}/writer={writer}/batch={batch_id}"
 
+    def _empty(self) -> bool:
+        return not self.fs.names(self.data)
 
-class UpsertTable(_Staged):
-    """A keyed table with updates, as hash buckets that are rewritten when touched.
+    def _add(self, rows: DataFrame, writer: str, batch_id: int) -> None:
+        blooms = {f"parquet.bloom.filter.enabled#{k}": "true" for k in self.keys}
+        self._publish(rows, self._target(writer, batch_id), **blooms, **{"parquet.bloom.filter.adaptive.enabled": "true"})
+        self._announce(writer, batch_id)
 
-    A manifest names the current folder of every bucket and the last batch of every writer.
-    It is replaced by one rename, which is what commits a merge. Files also hold the commit
-    that last changed a row; sorted on it, they double as the table's change feed.
+    # -- catalog -----------------------------------------------------------------------
 
-    Choose ``buckets`` so that one stays within about a gigabyte: a touched bucket is read and written
-    whole. Their number is fixed by the table's first commit.
+    def _announce(self, writer: str, batch_id: int) -> None:
+        """Tell the catalog of a batch. Done again when a batch is replayed, as a run may have died before it."""
+        if self.registered:
+            add_partition(self.spark, self.registered, {"writer": writer, "batch": batch_id})
 
-    What a merge writes is staged, then committed by its manifest, and only then moved to where
-    streams see it; a run that dies in between leaves the move to whoever opens the table next.
+    def register(self, name: str) -> None:
+        """A lasting view of that name (``database.table``) over an external table of all batches.
 
-    ``day_of`` names a key column of event time for tables that grow with time: every day then
-    has its own set of buckets, so a batch rewrites the days it holds and leaves the rest alone.
-    """
+        Batches are partitions of the external table, and each later batch adds its own, so every session that shares the
+        catalog reads through the view what is stored at that moment.
+        """
+        table = f"{name}_batches"
+        external_table(self.spark, table, self._stored_schema(), self.data, ["writer", "batch"])
+        self.registered = table
+        lasting_view(self.spark, name, self._view_sql(table))
 
-    _CHANGED = "_changed_in"
+    def _view_sql(self, table: str) -> str:
+        return f"SELECT {', '.join(self.columns)} FROM {table}"
 
-    def __init__(
-        self, spark: SparkSession, root: str, schema: str, keys: Sequence[str], buckets: int = 16,
-        day_of: str | None = None,
-    ):
-        super().__init__(spark, root, schema)
-        if day_of is not None and day_of not in keys:
-            raise ValueError(f"day_of has to be one of the keys {list(keys)}, not {day_of}")
-        self.keys = list(keys)
-        self.day_of = day_of
-        self._wanted = buckets
-        self._manifest()
-
-    # -- state ------------------------------------------------------------------------
-
-    def _manifest(self) -> dict:
-        folder = f"{self.root}/manifest"
-        commits = [int(n.split(".")[0]) for n in self.fs.names(folder) if n.endswith(".json")]
-        if not commits:
-            return {"commit": -1, "width": self._wanted, "buckets": {}, "applied": {}}
-        manifest = json.loads(self.fs.read_text(f"{folder}/{max(commits)}.json"))
-        self._uncover(manifest["commit"])
-        return manifest
-
-    def _staged_at(self, commit: int) -> str:
-        return f"{self.root}/_staging/commit={commit}"
-
-    def _uncover(self, commit: int) -> None:
-        """Move what a commit wrote to where it is read, if that has not happened yet."""
-        target = f"{self.data}/commit={commit}"
-        if self.fs.exists(self._staged_at(commit)) and not self.fs.exists(target):
-            try:
-                self.fs.move(self._staged_at(commit), target)
-            except OSError:
-                if not self.fs.exists(target):  # else another reader moved it
-                    raise
-
-    def _commit(self, manifest: dict) -> None:
-        folder = f"{self.root}/manifest"
-        draft = f"{self.root}/_staging/manifest-{manifest['commit']}.json"
-        self.fs.write_text(draft, json.dumps(manifest))
-        self.fs.move(draft, f"{folder}/{manifest['commit']}.json")
-        for name in self.fs.names(folder):
-            if name.endswith(".json") and int(name.split(".")[0]) < manifest["commit"] - 1:
-                self.fs.delete(f"{folder}/{name}")
-
-    def _stored_schema(self):
-        return StructType([*self.schema, StructField(self._CHANGED, LongType())])
-
-    def _bucket(self, width: int) -> Column:
-        """Bucket of a row; rows with a null key match nothing and are spread by all columns."""
-        of_keys = F.xxhash64(*self.keys)
-        missing = F.lit(False)
-        for key in self.keys:
-            missing = missing | F.col(key).isNull()
-        spread = F.when(missing, F.xxhash64(*self.columns)).otherwise(of_keys)
-        bucket = F.pmod(spread, F.lit(width))
-        if self.day_of:
-            day = F.coalesce(F.unix_date(F.to_date(self.day_of)), F.lit(0))
-            bucket = bucket + day * width
-        return bucket.cast("long")
-
-    def _read_buckets(self, manifest: dict, wanted: set[int] | None = None) -> DataFrame:
-        paths = [
-            f"{self.data}/commit={commit}/bucket={bucket}"
-            for bucket, commit in manifest["buckets"].items()
-            if wanted is None or int(bucket) in wanted
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], self._stored_schema())
-        return self.spark.read.schema(self._stored_schema()).parquet(*paths)
+
+class InsertTable(_Batches):
+    """A keyed table that only ever gains rows: existing keys win over new ones.
+
+    Its folders are append-only, so streams can read it directly.
+    """
 
     def read(self) -> DataFrame:
-        return self._read_buckets(self._manifest()).select(*self.columns)
-
-    def stream(self, starting_commit: int = 0, **options: str) -> DataFrame:
-        """Inserted and updated rows as a stream, each in the state its commit gave it."""
-        stored = StructType([
-            *self._stored_schema(), StructField("commit", LongType()), StructField("bucket", LongType())])
-        rows = self.spark.readStream.options(**options).schema(stored).parquet(self.data)
-        rows = rows.where(F.col(self._CHANGED) == F.col("commit"))
-        if starting_commit:
-            rows = rows.where(F.col("commit") >= starting_commit)
-        return rows.select(*self.columns)
+        return self._stored().select(*self.columns)
 
-    def vacuum(self) -> int:
-        """Delete bucket versions no longer current; run it when all streams have caught up."""
-        live = {(int(c), int(b)) for b, c in self._manifest()["buckets"].items()}
-        dropped = 0
-        for commit_dir in self.fs.names(self.data):
-            commit = int(commit_dir.split("=")[1])
-            for bucket_dir in self.fs.names(f"{self.data}/{commit_dir}"):
-                if bucket_dir.startswith("bucket=") and (commit, int(bucket_dir.split("=")[1])) not in live:
-                    self.fs.delete(f"{self.data}/{commit_dir}/{bucket_dir}")
-                    dropped += 1
-        return dropped
+    def insert_new(
+        self, source: DataFrame, writer: str, batch_id: int,
+        order: Sequence[Column | str] = (), range_column: str | None = None, keep: bool = True,
+    ) -> bool:
+        """Insert rows whose key is not in the table; of equal new keys the first in order.
 
-    # -- merge ------------------------------------------------------------------------
+        Columns the order leaves out break its ties.
+
+        ``range_column`` names a key column along which the table's files are clustered, such
+        as event time: the table scan then skips files outside the batch's range. ``keep`` caches
+        the source for its passes; for a large load straight from files, reading it again
+        costs less. Returns False if there was nothing to do.
+        """
+        if self.fs.exists(self._target(writer, batch_id)):
+            self._announce(writer, batch_id)
+            return False
+        with _kept(self._conform(source), keep) as rows:
+            n, low, high = self._bounds(rows, range_column)
+            if n == 0:
+                return False
+            keyed, unkeyed = split_null_keys(rows, self.keys)
+            ties = [F.col(c).asc_nulls_last() for c in self.columns if c not in self.keys]
+            new = first_per_key(keyed, self.keys, [*order, *(ties or self.keys)])
+            if not self._empty():
+                known = self._asked(self.read().select(*self.keys), keyed, range_column, low, high)
+                new = new.join(known, self.keys, "left_anti")
+            self._add(new.unionByName(unkeyed), writer, batch_id)
+        return True
+
+
+class StateTable(_Batches):
+    """A keyed table with updates, as the states that its rows took.
+
+    A merge appends the new state of each row it inserts or changes, numbered by a version; a reader takes the latest state of
+    each key. So a merge never rewrites what is stored, and the folders double as the table's change feed.
+    """
+
+    _EXTRA = (StructField(_VERSION, LongType()),)
+
+    def read(self) -> DataFrame:
+        return self._latest(self._stored()).select(*self.columns)
+
+    def _latest(self, states: DataFrame) -> DataFrame:
+        """One state of each key; rows with a null key match nothing and are all there."""
+        keyed, unkeyed = split_null_keys(states, self.keys)
+        return latest_per_key(keyed, self.keys, _VERSION, ties=[]).unionByName(unkeyed)
+
+    def _view_sql(self, table: str) -> str:
+        columns, keys = ", ".join(self.columns), ", ".join(self.keys)
+        missing = " OR ".join(f"{k} IS NULL" for k in self.keys)
+        return (
+            f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {_VERSION} DESC) AS place"
+            f" FROM {table} WHERE NOT ({missing})) WHERE place = 1"
+            f" UNION ALL SELECT {columns} FROM {table} WHERE {missing}"
+        )
 
     def merge(
-        self, source: DataFrame, writer: str, batch_id: int, matched: Sequence[Clause], keep: bool = True,
+        self, source: DataFrame, writer: str, batch_id: int, matched: Sequence[Clause],
+        range_column: str | None = None, keep: bool = True,
     ) -> bool:
-        """Update matched rows and insert the others.
-
-        ``matched`` lists ``(condition, assignments)``: the first clause whose condition holds
-        sets the row's columns, and a row that meets none stays as it is. Conditions and
-        assignments are SQL over ``t`` (stored row) and ``s`` (source row); a None condition
-        always holds and ``SET_ALL`` takes every column from ``s``. A key that the source holds
-        twice fails the merge; null keys match nothing. A batch that is empty, or that the table
-        already holds for this writer, changes nothing. ``keep`` caches the source for its passes.
-        Returns whether the source was used.
+        """Update matched rows and insert the others, as ``strata.operators.merge.changed_rows`` says.
+
+        A batch that is empty, or that the table already holds for this writer, changes nothing. ``range_column``
+        and ``keep`` are as in ``InsertTable.insert_new``. Returns whether the source was used.
         """
-        manifest = self._manifest()
-        if manifest["applied"].get(writer, -1) >= batch_id:
+        if self.fs.exists(self._target(writer, batch_id)):
+            self._announce(writer, batch_id)
             return False
-        commit = manifest["commit"] + 1
-        width = manifest["width"]
-        staged, note = self._staged_at(commit), f"{writer} {batch_id}"
-        ready = self._is_made_by(staged, note)  # written by a run that died before its commit
-        if not ready:
-            with _kept(self._conform(source).withColumn("_bucket", self._bucket(width)), keep) as rows:
-                touched = {r[0] for r in rows.select("_bucket").distinct().collect()}
-                if not touched:
-                    return False
-                known = {b for b in touched if str(b) in manifest["buckets"]}
-                stored = self._read_buckets(manifest, known) if known else None
-                self._stage_buckets(self._merged(stored, rows, commit, matched), staged, note, width)
-        self.fs.delete(f"{self.data}/commit={commit}")  # if there is one, no commit ever named it
-        self._commit({
-            "commit": commit,
-            "width": width,
-            "buckets": {**manifest["buckets"], **dict.fromkeys(self._buckets_in(staged), commit)},
-            "applied": {**manifest["applied"], writer: batch_id},
-        })
-        self._uncover(commit)
-        return not ready
-
-    def _is_made_by(self, folder: str, note: str) -> bool:
-        path = f"{folder}/{_NOTE}"
-        return self.fs.exists(path) and self.fs.read_text(path) == note
-
-    def _buckets_in(self, folder: str) -> list[str]:
-        return [n.split("=")[1] for n in self.fs.names(folder) if n.startswith("bucket=")]
-
-    def _stage_buckets(self, df: DataFrame, staged: str, note: str, width: int) -> None:
-        """Write rows by bucket: one shuffle makes few, well-sized files, and AQE splits large buckets."""
-        laid_out = df.withColumn("bucket", self._bucket(width)).hint("rebalance", F.col("bucket"))
-        ordered = laid_out.sortWithinPartitions("bucket", F.col(self._CHANGED).desc())
-        self.fs.delete(f"{staged}/{_NOTE}")
-        ordered.write.mode("overwrite").partitionBy("bucket").parquet(staged)
-        self.fs.write_text(f"{staged}/{_NOTE}", note)
-
-    def _merged(self, stored: DataFrame | None, rows: DataFrame, commit: int, matched: Sequence[Clause]) -> DataFrame:
-        keyed, unkeyed = _split_null_keys(rows.select(*self.columns), self.keys)
-        once = keyed.groupBy(*self.keys).agg(
-            F.count("*").alias("_copies"), F.first(F.struct(*self.columns)).alias("s"))
-        complaint = F.concat(F.lit("source holds a key more than once: "), F.to_json(F.struct(*self.keys)))
-        row_type = once.schema["s"].dataType
-        s = once.select(F.when(F.col("_copies") > 1, F.raise_error(complaint).cast(row_type))
-                        .otherwise(F.col("s")).alias("s"))
-        no_row = F.lit(None).cast(StructType([*self._stored_schema()])).alias("t")
-        on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in self.keys]
-        t = stored.select(F.struct(*stored.columns).alias("t")) if stored is not None else None
-        if t is None:
-            pairs = s.select(no_row, "s")
-        elif _fits_broadcast(rows):
-            # The stored side stays where it is: the batch is broadcast to it, and what it
-            # matched, no more than the batch itself, tells the new rows apart.
-            asked = keyed.select(F.struct(*self.keys).alias("s"))
-            known = t.join(asked, on, "left_semi").select(F.struct(*[f"t.{k}" for k in self.keys]).alias("t"))
-            new = s.join(known, on, "left_anti").select(no_row, "s")
-            pairs = t.join(s, on, "left_outer").unionByName(new)
-        else:
-            pairs = t.join(s, on, "full_outer")
-
-        both = F.col("t").isNotNull() & F.col("s").isNotNull()
-        tests = [both if cond is None else both & F.expr(cond) for cond, _ in matched]
-
-        def value(column: str) -> Column:
-            result = F.when(F.col("t").isNull(), F.col(f"s.{column}"))
-            for test, (_, assignments) in zip(tests, matched):
-                if assignments == SET_ALL:
-                    result = result.when(test, F.col(f"s.{column}"))
-                else:
-                    # A clause sets all of its row, so columns it does not name keep their value.
-                    expr = F.expr(assignments[column]) if column in assignments else F.col(f"t.{column}")
-                    result = result.when(test, expr)
-            return result.otherwise(F.col(f"t.{column}"))
-
-        changed = F.when(F.col("t").isNull(), F.lit(commit))
-        for test in tests:
-            changed = changed.when(test, F.lit(commit))
-        changed = changed.otherwise(F.col(f"t.{self._CHANGED}")).cast("long").alias(self._CHANGED)
-        merged = pairs.select(*[
-            value(f.name).cast(f.dataType).alias(f.name) for f in self.schema], changed)
-        return merged.unionByName(unkeyed.withColumn(self._CHANGED, F.lit(commit).cast("long")))
+        with _kept(self._conform(source), keep) as rows:
+            n, low, high = self._bounds(rows, range_column)
+            if n == 0:
+                return False
+            stored = None
+            if not self._empty():
+                keyed, _ = split_null_keys(rows, self.keys)
+                stored = self._latest(self._asked(self._stored(), keyed, range_column, low, high)).select(*self.columns)
+            states = changed_rows(stored, rows, self.keys, matched)
+            self._add(states.withColumn(_VERSION, F.lit(self._next_version()).cast("long")), writer, batch_id)
+        return True
+
+    def _next_version(self) -> int:
+        """Batches are never removed, so their number grows with each."""
+        return sum(len([b for b in self.fs.names(f"{self.data}/{w}") if b.startswith("batch=")]) for w in self.fs.names(self.data))

@@ -65,6 +65,23 @@ def with_lineage(df: DataFrame) -> DataFrame:
         "*", F.current_timestamp().alias("load_time"), F.col("_metadata.file_path").alias("source_file"))
 
 
+def with_load_day(df: DataFrame) -> DataFrame:
+    """Adds the day of the load time, by which raw tables are partitioned."""
+    return df.withColumn("load_day", F.to_date("load_time"))
+
+
+def stream_loaded(spark: SparkSession, path: str, schema: str, since: str | None = None) -> DataFrame:
+    """A raw table that is partitioned by load day as a stream, from a load time on.
+
+    The day is a partition filter, so that the history before it is not opened; the time then cuts its first day.
+    """
+    rows = spark.readStream.schema(schema).parquet(path)
+    if since is None:
+        return rows
+    start = F.lit(since).cast("timestamp")
+    return rows.where((F.col("load_day") >= F.to_date(start)) & (F.col("load_time") >= start))
+
+
 def stream_csv(
     spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None,
 ) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from strata.sinks.staged import Clause, InsertTable, SnapshotTable, UpsertTable
+from strata.sinks.staged import Clause, InsertTable, SnapshotTable, StateTable
+from strata.streaming.progress import totals, watch
 
 
 @dataclass(frozen=True)
@@ -24,6 +24,7 @@ class Job:
     def writer(self, df: DataFrame, mode: str) -> DataStreamWriter:
         # Set for each job, to None too: else a job would run in the pool of the one started before it.
         df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", self.pool)
+        watch(df.sparkSession)
         writer = df.writeStream.queryName(self.name).outputMode(mode)
         writer = writer.option("checkpointLocation", self.checkpoint)
         return writer.trigger(processingTime=self.every) if self.every else writer.trigger(availableNow=True)
@@ -87,23 +88,21 @@ def insert_new(
 
 
 def upsert(
-    df: DataFrame, table: UpsertTable, job: Job, matched: Sequence[Clause],
-    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows, mode: str = "update", keep: bool = True,
+    df: DataFrame, table: StateTable, job: Job, matched: Sequence[Clause],
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows, mode: str = "update", range_column: str | None = None,
+    keep: bool = True,
 ) -> StreamingQuery:
     """Merge each batch into the table. ``prepare`` shapes the batch first, such as to one row per key.
 
     ``keep`` caches a batch for its passes, here and in ``insert_new``; for a large first load leave it out."""
     def merge(rows: DataFrame, batch_id: int) -> None:
-        _settle(table.merge(prepare(rows), writer_id(rows.sparkSession), batch_id, matched, keep), rows)
+        _settle(table.merge(prepare(rows), writer_id(rows.sparkSession), batch_id, matched, range_column, keep), rows)
     return for_each_batch(df, merge, job, mode)
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that the query dropped as late, over the progress reports that Spark still holds."""
-    return sum(
-        int(state["numRowsDroppedByWatermark"]) for report in query.recentProgress
-        for state in json.loads(report.json)["stateOperators"]
-    )
+    """Rows that the query dropped as late, in all its micro-batches."""
+    return totals(query).late
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> dict[str, int]:

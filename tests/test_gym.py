@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from strata.operators.joins import REPORT_ORDER
 from strata.plans.workouts import Gym
+from strata.schemas import STORED_USER
+from strata.sources.files import stream_loaded, with_load_day
+from strata.streaming.jobs import Job, await_all, for_each_batch
 
 from .conftest import rows
 
@@ -98,9 +101,12 @@ def gym(spark, tmp_path_factory):
     dates.write_text("\n".join(json.dumps(
         {"date": d, "week": 46, "year": 2023, "month": 11, "dayofweek": 3, "dayofmonth": 14, "dayofyear": 318,
          "week_part": p}) for d, p in [("2023-11-14", "weekday"), ("2023-11-18", "weekend")]))
-    gym = Gym(spark, landing, str(base / "tables"), buckets=4, as_of=F.to_date(F.lit("2023-11-14")))
+    spark.sql("DROP DATABASE IF EXISTS gym_tests CASCADE")
+    gym = Gym(spark, landing, str(base / "tables"), as_of=F.to_date(F.lit("2023-11-14")), database="gym_tests")
     gym.load_dates(str(dates))
     gym.run()
+    gym.other = spark.newSession()
+    gym.report_first = rows(gym.other.table("gym_tests.gym_summary"))
     gym.after_first = {name: rows(table.read()) for name, table in gym.tables.items()}
     second_set(landing)
     gym.run()
@@ -151,6 +157,34 @@ def test_report(gym):
     assert [(r[1], r[2], r[4], r[5], r[6]) for r in got] == [(5, "aa", 1, 81.67, 60.0), (6, "bb", 1, 120.0, 30.0)]
 
 
+def test_catalog_views_follow_the_tables(gym):
+    """A session that read the views between the two sets reads what the second one added."""
+    assert [r[1:3] for r in gym.report_first] == [(5, "aa")]
+    assert rows(gym.other.table("gym_tests.gym_summary")) == rows(gym.gym_summary())
+    for name, table_ in gym.tables.items():
+        assert rows(gym.other.table(f"gym_tests.{name}")) == rows(table_.read()), name
+    assert gym.other.table("gym_tests.date_lookup").count() == 2
+    assert gym.other.table("gym_tests.kafka_multiplex_bz").count() == 19
+
+
+def test_a_later_start_opens_its_own_days_only(gym, tmp_path):
+    """The history before the start is left out by partition, not row by row."""
+    spark = gym.spark
+    days = spark.range(6).selectExpr(
+        "id AS user_id", "id AS device_id", "'m' AS mac_address", "0D AS registration_timestamp",
+        "timestamp'2024-03-01 10:00:00' + make_interval(0, 0, 0, int(id % 3), int(id)) AS load_time", "'f' AS source_file")
+    path = str(tmp_path / "bz")
+    with_load_day(days).write.partitionBy("load_day").parquet(path)
+    since = "2024-03-02 12:00:00"
+    seen, plans = [], []
+
+    def look(rows_, _):
+        seen.extend(r.user_id for r in rows_.collect())
+        plans.append(rows_._jdf.queryExecution().executedPlan().toString())
+    await_all([for_each_batch(stream_loaded(spark, path, STORED_USER, since), look, Job("since", str(tmp_path / "c")))])
+    assert sorted(seen) == [2, 4, 5] and "PartitionFilters: [isnotnull(load_day" in plans[0]
+
+
 def test_messages_are_partitioned_and_keep_dates_without_a_match(gym):
     stored = gym.spark.read.parquet(f"{gym.root}/kafka_multiplex_bz")
     assert rows(stored.groupBy("topic", "week_part").count()) == rows(gym.spark.createDataFrame([
@@ -169,8 +203,7 @@ def test_continuous_mode_over_both_sets(spark, tmp_path):
     landing = str(tmp_path / "landing")
     for name in ("registered_users_bz", "gym_logins_bz", "kafka_multiplex_bz"):
         Path(landing, name).mkdir(parents=True)
-    gym = Gym(spark, landing, str(tmp_path / "tables"), every="1 second", buckets=1,
-              as_of=F.to_date(F.lit("2023-11-14")))
+    gym = Gym(spark, landing, str(tmp_path / "tables"), every="1 second", as_of=F.to_date(F.lit("2023-11-14")))
     queries = gym.run()
     try:
         for produce in (first_set, second_set):

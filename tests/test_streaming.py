@@ -19,7 +19,7 @@ from strata.plans.words import COUNTS, batch_word_count, stream_word_count
 from strata.schemas import INVOICE, MESSAGE, REGISTERED_USER, TABLES
 from strata.queries.registry import in_event_order
 from strata.sinks.log import log_sink_options, log_writer
-from strata.sinks.staged import InsertTable, SnapshotTable, UpsertTable
+from strata.sinks.staged import InsertTable, SnapshotTable, StateTable
 from strata.sources.files import read_text, stream_csv, stream_files, stream_json, stream_parquet
 from strata.sources.log import LogConnection, log_source_options, read_log, stream_log
 from strata.streaming.jobs import Job, append_to_path, await_all, for_each_batch, insert_new, run_stages, writer_id
@@ -64,7 +64,7 @@ def test_rewards(spark, folder, invoices, kind, files):
         table = SnapshotTable(spark, f"{folder}/t", TABLES["customer_rewards"])
         query = rewards_complete(stream, table, job)
     else:
-        table = rewards_table(spark, f"{folder}/t", buckets=2)
+        table = rewards_table(spark, f"{folder}/t")
         query = (rewards_replace if kind == "replace" else rewards_additive)(stream, table, job)
     await_all([query])
 
@@ -169,7 +169,7 @@ def test_restart_reads_only_what_is_new(spark, folder):
 
 def test_a_fresh_checkpoint_is_another_writer(spark, folder):
     """Batch numbers start again with a new checkpoint; the table must not take them for replays."""
-    table = rewards_table(spark, f"{folder}/t", buckets=1)
+    table = rewards_table(spark, f"{folder}/t")
     data = spark.createDataFrame([("a", 1.0)], "CustomerCardNo string, TotalAmount double")
     data.write.parquet(f"{folder}/in")
     for i in range(2):
@@ -178,7 +178,7 @@ def test_a_fresh_checkpoint_is_another_writer(spark, folder):
 
 
 def test_a_batch_that_fails_after_its_merge_is_not_merged_again(spark, folder):
-    table = UpsertTable(spark, f"{folder}/t", "k long, n long", ["k"], buckets=1)
+    table = StateTable(spark, f"{folder}/t", "k long, n long", ["k"])
     spark.createDataFrame([(1, 5)], "k long, n long").write.parquet(f"{folder}/in")
     add = [(None, {"n": "t.n + s.n"})]
     table.merge(spark.createDataFrame([(1, 100)], "k long, n long"), "before", 0, add)

@@ -7,8 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from strata.queries import ORACLES, QUERIES
 from strata.__main__ import parse, run
-from strata.plans.workouts import Gym
 
 from .conftest import rows
 from .test_gym import first_set
@@ -32,7 +32,7 @@ def test_words_from_the_command_line(spark, folder):
 
 @pytest.mark.parametrize("mode", ["complete", "replace", "additive"])
 def test_rewards_from_the_command_line(spark, folder, mode):
-    args = ["rewards", "--input", invoices(f"{folder}/in"), "--root", f"{folder}/out", "--mode", mode, "--buckets", "1"]
+    args = ["rewards", "--input", invoices(f"{folder}/in"), "--root", f"{folder}/out", "--mode", mode]
     for _ in range(2):
         assert rows(run(spark, args)) == [("c", 15.0, 3.0)]
 
@@ -57,12 +57,13 @@ def test_trades_from_the_command_line(spark, folder):
 
 def test_gym_from_the_command_line_and_views(spark, folder):
     first_set(f"{folder}/in")
-    got = run(spark, ["gym", "--input", f"{folder}/in", "--root", f"{folder}/out", "--buckets", "1"])
+    database = "gym_" + folder[-8:]
+    got = run(spark, ["gym", "--input", f"{folder}/in", "--root", f"{folder}/out", "--database", database])
     assert got.count() == 1
-    gym = Gym(spark, f"{folder}/in", f"{folder}/out", buckets=1)
-    names = gym.create_views("v_")
-    assert spark.sql("SELECT * FROM v_gym_summary").count() == 1
-    assert {"v_users", "v_workout_bpm_summary", "v_date_lookup"} <= set(names)
+    assert spark.newSession().sql(f"SELECT * FROM {database}.gym_summary").count() == 1
+    names = {t.name for t in spark.catalog.listTables(database)}
+    assert {"users", "workout_bpm_summary", "date_lookup", "kafka_multiplex_bz"} <= names
+    spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def test_arguments():
@@ -75,8 +76,8 @@ def test_every_query_has_sql_that_runs():
     duck = duckdb.connect()
     for path in Path(SMALL).glob("*.parquet"):
         duck.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    for name, sql in entry.oracle_sql().items():
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(entry.queries())
+    for name, sql in ORACLES.items():
         assert duck.execute(sql).description, name
 
 
