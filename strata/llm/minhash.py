@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,23 +41,29 @@ def signature(shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarra
 
 
 def signatures(docs: DataFrame, words: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(id, n_shingles, two sums that tell the set, signature) of each row; the signature is null for an empty set."""
+    """(id, mark, n_shingles, two sums that tell the set, signature) of each row; the signature is null for an empty set.
+
+    The mark is a hash of the text: with the id, it finds the text again.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
-    def signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for name, words_of in zip(frame["id"], frame["text"], strict=True):
+            for words_of in batch.column("text").to_pylist():
                 found = shingle_set(words_of, words)
                 if len(found):
                     one, two = int(found.sum(dtype=np.uint64)), int(mixed(found).sum(dtype=np.uint64))
-                    rows.append((name, len(found), _signed(one), _signed(two), signature(found).view(np.int32)))
+                    rows.append((len(found), _signed(one), _signed(two), signature(found).view(np.int32)))
                 else:
-                    rows.append((name, 0, 0, 0, None))
-            yield pd.DataFrame(rows, columns=["id", "n_shingles", "one", "two", "signature"], dtype=object)
-
-    return docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInPandas(
-        signed, f"id {kind}, n_shingles bigint, one bigint, two bigint, signature array<int>"
+                    rows.append((0, 0, 0, None))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("mark"), *columns], ["id", "mark", "n_shingles", "one", "two", "signature"])
+
+    return docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).mapInArrow(
+        signed, f"id {kind}, mark bigint, n_shingles bigint, one bigint, two bigint, signature array<int>"
     )
 
 
@@ -85,11 +92,15 @@ def _posted(reps: DataFrame, stages: Stages, least: int) -> DataFrame:
     )
 
 
-def _matching(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
-    """Pairs whose signatures match in ``least`` coordinates: the rest of the count, by looking up the long lists."""
+def _with_signatures(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     a, b = (reps.select(F.col("id").alias(c), F.col("signature").alias(f"s{c}")) for c in "ab")
+    return pairs.join(a, "a").join(b, "b")
+
+
+def _matching(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """(a, b, matches) of the pairs whose signatures match in ``least`` coordinates: the rest of the count, from the signatures."""
     equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return pairs.join(a, "a").join(b, "b").where(equal >= least).select("a", "b")
+    return _with_signatures(pairs.select("a", "b"), reps).select("a", "b", equal.alias("matches")).where(F.col("matches") >= least)
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -162,78 +173,118 @@ def _by_delta(compared: DataFrame, near: DataFrame, percent: int, stages: Stages
     )
 
 
+def _by_tokens(star: DataFrame, near: DataFrame, reps: DataFrame, least: int, met: int, stages: Stages) -> DataFrame:
+    """Pairs (a, b) of documents that had the same first one in a list, of which one at least matches it in under ``met`` coordinates.
+
+    Where both have the first one's values, they have no more matches than either has with it: least(m, n). The rest of
+    what a link needs, t = ``least`` - least(m, n), which is over 0, has to come from values that the first one has not. With those
+    in one order, rarest of the group first, the first common value is then among the first 64 - m - t + 1 and 64 - n - t + 1. Values
+    that come from a copy's own edits are rare, so a group of copies does not meet itself.
+    """
+    apart = (
+        star.join(near.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
+        .join(near.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
+        .select("a", "b", "matches", F.coalesce("ca", "a").alias("component"), F.coalesce("cb", "b").alias("firsts"))
+    )
+    open_groups = stages.keep(
+        apart.groupBy("b").agg(F.min(F.least("component", "firsts")).alias("low"), F.max(F.greatest("component", "firsts")).alias("high"),
+                               F.min("matches").alias("fewest"))
+        .where((F.col("low") < F.col("high")) & (F.col("fewest") < met)).select("b"), "open-stars")
+    # The most matches with the first one that count, in a pair with a document that was not met.
+    low = F.least(F.col("matches"), F.lit(met - 1))
+    group = stages.keep(
+        apart.join(open_groups, "b", "left_semi").where(F.lit(COORDINATES) - F.col("matches") >= F.lit(least) - low)
+        .select("a", "b", "matches", "component"), "stars")
+    other = F.filter(
+        F.transform("sa", lambda v, i: F.when(v != F.element_at("sb", i + 1), i.cast("bigint") * (1 << 32) + v)), lambda x: x.isNotNull())
+    sized = reps.select(F.col("id").alias("a"), F.col("n_shingles").alias("n"))
+    entries = _with_signatures(group.select("a", "b"), reps).select("a", "b", F.explode(other).alias("e"))
+    df = entries.groupBy("b", "e").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = entries.join(df, ["b", "e"]).groupBy("b", "a").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("all"))
+    posted = (
+        ranked.join(group, ["b", "a"]).join(sized, "a")
+        .select("b", "a", "n", "matches", "component", F.size("all").alias("shared"), F.posexplode("all").alias("at", "x"))
+        # Values that no other document of the group has come first and meet nothing.
+        .select("b", F.col("x.e").alias("e"), "a", "n", "matches", "component",
+                (F.col("at") + (F.lit(COORDINATES) - F.col("matches")) - F.col("shared")).alias("rank"))
+        .where(F.col("rank") <= F.lit(COORDINATES) - F.col("matches") - F.lit(least) + low)
+    )
+    posted = stages.keep(posted, "posted")
+    names = ("a", "n", "matches", "component", "rank")
+    one = posted.where(F.col("matches") < met).select("b", "e", *[F.col(c).alias(f"{c}1") for c in names])
+    two = posted.select("b", "e", *[F.col(c).alias(f"{c}2") for c in names])
+    need = F.lit(least) - F.least("matches1", "matches2")
+    near_enough = (
+        (F.col("rank1") <= F.lit(COORDINATES) - F.col("matches1") - need) & (F.col("rank2") <= F.lit(COORDINATES) - F.col("matches2") - need)
+    )
+    # Two documents that were not met would find one another from both sides.
+    once = (F.col("matches2") >= met) | (F.col("a1") > F.col("a2"))
+    return (
+        one.join(two, ["b", "e"]).where(near_enough & once & F.expr("component1 <> component2"))
+        .select(F.greatest("a1", "a2").alias("a"), F.least("a1", "a2").alias("b"), "n1", "n2").distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row: documents joined by links of that similarity.
 
     A document's set is its distinct shingles of ``words`` words (A-Z lower-cased, ASCII white
     space between words); with fewer words, the whole sequence. Null, empty and word-free texts have an empty set and no
-    links. ``component_id`` is the smallest key that links reach, ``kept`` whether it is the row's own.
-    Rows that repeat a key and its text share the result; a null key is its own component and kept. Other columns are not used.
-
-    Documents with equal sets are one class and meet as sums only. Of each class one signature is
-    posted under its rarest coordinate values (see ``_posted``). A first pass pairs each document with the most typical of every
-    list it is in, so that a large group costs its size and not its square. A second pass looks for what that leaves: across
-    components, documents that were compared with the same one meet by what sets them apart from it
-    (see ``_by_delta``), and documents that could not be compared with a list's first meet the list. Both passes
-    drop pairs whose signatures match in fewer coordinates than the threshold, and confirm the rest on
+    links. ``component_id`` is the smallest key that links reach, ``kept`` whether it is the row's own. Rows are linked by
+    their sets, so of rows that repeat a key each has the component of its own text, which may be kept for several. A null
+    key is its own component and kept. Other columns are not used.
+
+    Documents with equal sets are one class, with a number of its own, and meet as sums only. Of each class one signature is
+    posted under its rarest coordinate values (see ``_posted``). Each is first paired with the most typical of every
+    list it is in, so that a large group costs its size and not its square, and matches are counted. Those that match it in
+    two thirds of what a link needs are compared with it on the whole texts. What that leaves apart is found, across
+    components, by how documents differ from the one they had in common: by the shingles of those that were compared with it
+    (see ``_by_delta``), by the coordinate values of the others (see ``_by_tokens``). These pairs
+    too are dropped if they match in fewer coordinates than the threshold, and confirmed on
     the whole texts. Links within a component are not needed for the result.
     """
     stages = Stages(docs.sparkSession, "minhash")
     least = least_matches(percent)
+    met = max(least * 2 // 3, 1)
     signed = stages.keep(signatures(docs, words, text, key), "signed")
     real = signed.where("n_shingles > 0 and id is not null")
-    classes = stages.keep(real.groupBy("one", "two", "n_shingles").agg(F.min("id").alias("rep")), "classes")
-    members = stages.keep(
-        real.join(classes, ["one", "two", "n_shingles"]).select("id", "rep", "n_shingles", "signature"), "members"
-    )
-    reps = stages.keep(members.where("id = rep").select("id", "n_shingles", "signature").dropDuplicates(["id"]), "reps")
+    # Numbered once and written, so that all later reads see the same numbers.
+    classes = stages.keep(
+        real.groupBy("one", "two", "n_shingles").agg(F.min(F.struct("id", "mark")).alias("least"), F.first("signature").alias("signature"))
+        .withColumn("class", F.monotonically_increasing_id()), "classes")
+    reps = classes.select(F.col("class").alias("id"), "n_shingles", "signature")
     prefix = _posted(reps, stages, least)
+    wanted = classes.select("class", F.col("least.id").alias("id"), F.col("least.mark").alias("mark")).join(
+        prefix.select(F.col("id").alias("class")), "class", "left_semi")
     texts = stages.keep(
-        docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-        .join(prefix.select("id"), "id", "left_semi").dropDuplicates(["id"]), "texts"
-    )
-    alike = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-
-    first = stages.keep(
-        prefix.groupBy("token").agg(F.min(F.struct((-F.col("score")).alias("rank"), "id", "n")).alias("first"))
-        .select("token", F.col("first.id").alias("b"), F.col("first.n").alias("nb")), "first"
+        docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).join(wanted, ["id", "mark"])
+        .select(F.col("class").alias("id"), "text").dropDuplicates(["id"]), "texts"
     )
-    star = (
-        prefix.select("token", F.col("id").alias("a"), F.col("n").alias("na")).join(first, "token")
-        .where(alike & F.expr("a <> b")).groupBy("a", "b").agg(F.count("*").alias("shared")).select("a", "b")
+    first = (
+        prefix.groupBy("token").agg(F.min(F.struct((-F.col("score")).alias("rank"), "id")).alias("first"))
+        .select("token", F.col("first.id").alias("b"))
     )
-    # Deltas are exact at any distance, so more is compared here than can be linked: what is not has to meet the whole list.
-    star = stages.keep(_matching(star, reps, least * 2 // 3), "star")
-    compared = stages.keep(_compared(star, texts, words, percent), "compared")
+    star = prefix.select("token", F.col("id").alias("a")).join(first, "token").where("a <> b").select("a", "b").distinct()
+    star = stages.keep(_matching(star, reps, 0), "star")
+    # Deltas are exact at any distance, so more is compared here than can be linked.
+    compared = stages.keep(_compared(star.where(F.col("matches") >= met).select("a", "b"), texts, words, percent), "compared")
     links = compared.where("linked").select("a", "b")
     near = stages.keep(components(links, stages, "near"), "near")
 
-    placed = stages.keep(
-        prefix.join(first.select("token", "b"), "token").select("token", F.col("id").alias("a"), "n", "b")
-        .join(star.withColumn("met", F.lit(True)), ["a", "b"], "left")
-        .join(near.withColumnRenamed("id", "a"), "a", "left")
-        .select("token", "a", "n", (F.coalesce("met", F.lit(False)) | F.expr("a = b")).alias("met"),
-                F.coalesce("component", "a").alias("component")), "placed"
-    )
-    # Lists in which a document could not be compared with the first one, and which hold more than one component.
-    open_lists = stages.keep(
-        placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("met").alias("met"))
-        .where("low < high and not met").select("token"), "open"
-    )
-    listed = stages.keep(placed.join(open_lists, "token"), "listed")
-    one = listed.where("not met").select("token", F.col("a").alias("one"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    two = listed.select("token", F.col("a").alias("two"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = one.join(two, "token").where(alike & F.expr("ca <> cb")).select(
-        F.greatest("one", "two").alias("a"), F.least("one", "two").alias("b"))
+    alike = (F.col("n1") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n1") * percent)
+    rest = _by_tokens(star, near, reps, least, met, stages).where(alike).select("a", "b")
     rest = rest.union(_by_delta(compared, near, percent, stages)).distinct()
     rest = stages.keep(_matching(rest, reps, least), "rest")
-    more = stages.keep(_compared(rest, texts, words, percent).where("linked").select("a", "b"), "rest-links")
+    more = stages.keep(_compared(rest.select("a", "b"), texts, words, percent).where("linked").select("a", "b"), "rest-links")
     found = near if more.isEmpty() else stages.keep(components(links.union(more), stages, "all"), "found")
 
-    placed = members.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
-        "id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    placed = classes.join(found.withColumnRenamed("id", "class"), "class", "left").select(
+        "one", "two", "n_shingles", F.coalesce("component", "class").alias("component"), F.col("least.id").alias("least"))
+    smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = placed.join(smallest, "component").select("one", "two", "n_shingles", "component_id")
+    linked = real.select("id", "n_shingles", "one", "two").join(named, ["one", "two", "n_shingles"]).select("id", "n_shingles", "component_id")
     alone = signed.where("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component_id"))
-    return placed.union(alone).select(
+    return linked.union(alone).select(
         F.col("id").alias(key), "n_shingles", "component_id",
         F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept"),
     )

@@ -92,6 +92,38 @@ def test_repeated_rows_null_keys_and_no_rows(spark):
     assert minhash.near_duplicates(df.limit(0), 3, 85).collect() == []
 
 
+def test_repeated_keys_with_other_texts_and_large_keys(spark):
+    """Links follow texts, whichever of a key's rows comes first."""
+    rng = random.Random(2)
+    a, b = ([f"w{rng.randrange(9999)}" for _ in range(60)] for _ in range(2))
+    rows = [(1, a), (1, b), (2, [*b, "x"]), (3, [*a, "x"]), (9007199254740993, a), (9007199254740995, ["other"]), (None, a), (5, ["other"])]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id long, text string").coalesce(1)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df, 3, 85).collect()), key=str)
+    assert got == sorted([
+        (1, 58, 1, True), (1, 58, 1, True), (2, 59, 1, False), (3, 59, 1, False), (9007199254740993, 58, 1, False),
+        (9007199254740995, 1, 5, False), (None, 58, None, True), (5, 1, 5, True)], key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_short_copies_far_from_one_another(spark, seed):
+    """Copies so short that a few edits part them from what they are copies of, and pairs among them that share edits."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(4000)}" for _ in range(40)]
+    docs = []
+    for i in range(120):
+        text = list(base) if i % 4 else base[rng.randrange(12):] + [f"t{rng.randrange(30)}" for _ in range(rng.randrange(9))]
+        for _ in range(rng.randrange(1, 7)):
+            text[rng.randrange(len(text))] = f"n{rng.randrange(4000)}"
+        docs.append(text)
+        for _ in range(rng.randrange(3)):
+            near = list(text)
+            near[rng.choice([0, -1, rng.randrange(len(near))])] = f"m{rng.randrange(4000)}"
+            docs.append(near)
+    rng.shuffle(docs)
+    rows = [(i, " ".join(t)) for i, t in enumerate(docs)]
+    assert result(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)) == brute(rows, 5, 80)
+
+
 def test_sets_of_long_texts_and_threshold():
     text = " ".join(f"w{i % 70_000} É" for i in range(150_000)) + " " + "x" * 1_200_000 + " y"
     assert len(shingle_set(text, 3)) == len(shingles(text, 3))
