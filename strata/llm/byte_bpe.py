@@ -189,8 +189,9 @@ def decode(ids: DataFrame, ranks: str, column: str = "ids", name: str = "decoded
         table = token_bytes(ranks)
         for batch in batches:
             held = batch.column(column)
-            values, ends = held.flatten().tolist(), pc.fill_null(pc.list_value_length(held), 0).to_numpy().cumsum().tolist()
-            found = [b"".join([table[i] for i in values[a:b]]) for a, b in zip([0, *ends], ends, strict=False)]
+            values, ends = held.flatten().to_numpy(), pc.fill_null(pc.list_value_length(held), 0).to_numpy().cumsum().tolist()
+            # One row's ids at a time are Python numbers.
+            found = [b"".join([table[i] for i in values[a:b].tolist()]) for a, b in zip([0, *ends], ends, strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, name])
 
     return ids.mapInArrow(joined, schema)
