@@ -47,14 +47,15 @@ def _square(diff: np.ndarray) -> np.ndarray:
     return out
 
 
-def matched(left: np.ndarray, right: np.ndarray, block: int, edges: np.ndarray, budget: float, least: float,
-            same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def matched(left: np.ndarray, right: np.ndarray, given: tuple[np.ndarray, np.ndarray], block: int, edges: np.ndarray,
+            budget: float, least: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of two sides with a cosine of ``least`` or more that this block is the first to pass.
 
     The block's share of the squared distance decides in single precision with a margin; in double
-    precision then the earlier blocks and the cosine. With ``same``, both sides are one, and the left index is the smaller.
+    precision then the earlier blocks and the cosine, which is that of the vectors as ``given``. With ``same``, both sides are one, and the left index is the smaller.
     """
     share = budget * np.diff(edges) / edges[-1]
+    lengths = [np.sqrt(np.einsum("ij,ij->i", x, x)) for x in given]
     at = slice(edges[block], edges[block + 1])
     a32, b32 = left[:, at].astype(np.float32), right[:, at].astype(np.float32)
     a2, b2 = (a32 * a32).sum(axis=1), (b32 * b32).sum(axis=1)
@@ -74,7 +75,7 @@ def matched(left: np.ndarray, right: np.ndarray, block: int, edges: np.ndarray,
                 for k in range(block + 1):
                     inside = _square(diff[:, edges[k]:edges[k + 1]]) <= share[k] + _SLACK
                     good &= inside if k == block else ~inside
-                good &= np.einsum("ij,ij->i", one, two) >= least
+                good &= np.einsum("ij,ij->i", given[0][p], given[1][q]) / (lengths[0][p] * lengths[1][q]) >= least
                 if good.any():
                     yield p[good], q[good]
 
@@ -133,7 +134,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, blocks: int = BLOCKS, s
                 turned = rotated(raw, turns[dim])
                 edges = _edges(dim, blocks)
                 for block in range(len(edges) - 1):
-                    width = np.sqrt(budget * (edges[block + 1] - edges[block]) / dim)
+                    width = np.sqrt(budget * (edges[block + 1] - edges[block]) / dim) * (1 + 1e-9)
                     yield pd.DataFrame({
                         "id": group["id"], "weight": group["weight"], "dim": dim, "block": block,
                         "slab": np.floor(turned[:, edges[block]] / width).astype(np.int32),
@@ -165,7 +166,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, blocks: int = BLOCKS, s
     def linked(frame: pd.DataFrame) -> pd.DataFrame:
         dim, block = int(frame["dim"].iloc[0]), int(frame["block"].iloc[0])
         frame = frame.sort_values("id", ignore_index=True)
-        turned = rotated(np.stack(frame["vec"].to_numpy()).astype(float), turns[dim])
+        raw = np.stack(frame["vec"].to_numpy()).astype(float)
+        turned = rotated(raw, turns[dim])
+        raw /= np.exp2(np.floor(np.log2(np.abs(raw).max(axis=1, keepdims=True))))  # by powers of two, which is exact
         right = frame["right"].to_numpy()
         ids, weights = frame["id"].to_numpy(), frame["weight"].to_numpy()
         sides_of = frame["tile"].iloc[0].split(":")
@@ -173,7 +176,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, blocks: int = BLOCKS, s
         one = np.arange(len(frame)) if same else np.flatnonzero(~right)
         two = one if same else np.flatnonzero(right)
         counts, labels = np.zeros(len(frame), dtype=np.int64), np.arange(len(frame))
-        for p, q in matched(turned[one], turned[two], block, _edges(dim, blocks), budget, least, same):
+        for p, q in matched(turned[one], turned[two], (raw[one], raw[two]), block, _edges(dim, blocks), budget, least, same):
             p, q = one[p], two[q]
             np.add.at(counts, p, weights[q])
             np.add.at(counts, q, weights[p])

@@ -41,7 +41,7 @@ def test_each_pair_is_found_in_one_block():
     turned = e.rotated(raw, e.rotation(32))
     edges, seen = e._edges(32, 4), []
     for block in range(4):
-        for p, q in e.matched(turned, turned, block, edges, 0.2, 0.9, True):
+        for p, q in e.matched(turned, turned, (raw, raw), block, edges, 0.2, 0.9, True):
             seen += zip(p.tolist(), q.tolist(), strict=True)
     unit = raw / np.linalg.norm(raw, axis=1)[:, None]
     wanted = {(i, j) for i, j in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.9, 1)), strict=True)}
@@ -53,3 +53,21 @@ def test_rows(spark):
     assert sorted(map(tuple, e.near_vectors(df).collect()), key=str) == sorted(
         [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True)], key=str)
     assert e.near_vectors(df.limit(0)).collect() == []
+
+
+def test_pairs_just_at_the_threshold(spark):
+    """Cosines of exactly 0.9, whose rotated vectors are some last bits off."""
+    rows = []
+    for i in range(60):
+        one, two = [0.0] * 64, [0.0] * 64
+        a, b, c, f = (int(x) for x in np.random.default_rng(i).permutation(64)[:4])
+        one[a] = 10.0
+        two[a], two[b], two[c], two[f] = 9.0, 3.0, 3.0, 1.0
+        size = 1000.0 ** (i % 3) * (1 if i % 2 else -1)
+        rows += [(2 * i, [x * size for x in one]), (2 * i + 1, [x * size for x in two])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    good = dict(rows)
+    got = result(e.near_vectors(df))
+    for k in range(0, 120, 2):
+        a, b = np.array(good[k]), np.array(good[k + 1])
+        assert (a @ b) / (np.sqrt(a @ a) * np.sqrt(b @ b)) >= 0.9 and got[k + 1][0] >= 1 and got[k][1] == got[k + 1][1]
