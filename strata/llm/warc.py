@@ -148,10 +148,12 @@ class _File:
     def close(self) -> tuple:
         self.out.close()
         target = f"{self.root}/{self.name}"
-        # A second attempt at the task writes the same bytes under the same name.
+        # A second attempt at the task writes the same bytes under the same name. What stands there came by one
+        # rename and is whole, so it is left alone.
         if self.fs.get_file_info(target).type != arrow_fs.FileType.NotFound:
-            self.fs.delete_file(target)
-        self.fs.move(self.temporary, target)
+            self.fs.delete_file(self.temporary)
+        else:
+            self.fs.move(self.temporary, target)
         return self.name, self.shard, self.records, self.bytes, self.digest.hexdigest()
 
 
@@ -182,15 +184,17 @@ def write(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", h
     width = shuffle_width(spark, shards, 1)
     sorted_rows = (
         rows.join(F.broadcast(ranges), "range").drop("range")  # at most MOST_RANGES rows
-        .repartition(width, "shard")
+        .repartitionByRange(width, "shard")
         .sortWithinPartitions("shard", "key", "kind", F.sha2(F.coalesce("payload", F.lit(b"")), 256), "url")
+        # As texts: pandas would make doubles of whole numbers with nulls among them.
+        .withColumns({c: F.col(c).cast("string") for c in ("key", "refers_to")})
     )
 
     def archive(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         file, number, known, key_now, done = None, 0, {}, object(), []
         for frame in frames:
             for row in frame.itertuples(index=False):
-                name = None if pd.isna(row.key) else int(row.key)
+                name = None if row.key is None else int(row.key)
                 if name != key_now:
                     key_now, known = name, {}
                 if row.kind == 0:

@@ -50,3 +50,22 @@ def test_only_what_the_manifest_names_is_read(spark, folder):
 def test_no_pages(spark, folder):
     warc.write(spark.createDataFrame([], SCHEMA), folder)
     assert warc.read(spark, folder).collect() == []
+
+
+def test_large_keys_beside_nulls(spark, folder):
+    page = "x" * 200
+    rows = [(9007199254740993, "a", page), (9007199254740995, "b", page), (None, "c", "y" * 200), (9007199254740997, "d", None)]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    got = {r.url: (r.page_id, r.record_type, r.refers_to) for r in warc.read(spark, folder).collect()}
+    assert got == {"a": (9007199254740993, "response", None), "b": (9007199254740995, "revisit", 9007199254740993),
+                   "c": (None, "response", None), "d": (9007199254740997, "response", None)}
+
+
+def test_a_second_attempt_leaves_the_file(tmp_path):
+    """A task that runs again finds its file in place: the file is never gone, not even between two calls."""
+    for _ in range(2):
+        file = warc._File(str(tmp_path), 0, 0)
+        file.add(warc.record(1, "u", b"payload", hashlib.sha256(b"payload").hexdigest(), None))
+        before = {p: p.read_bytes() for p in tmp_path.glob("*.gz")}
+        file.close()
+        assert all(p.read_bytes() == data for p, data in before.items()) and len(list(tmp_path.glob("*.gz"))) == 1
