@@ -78,9 +78,9 @@ def cut(docs: DataFrame, ranks: str, pattern: str, end_id: int = 1, window: int
     stands: ``part`` (the task) and ``place`` among the task's pieces of that length. A null text
     is empty; every document ends with ``end_id`` and so has a piece. Repeated rows are each cut.
     """
-    kind = docs.schema[key].dataType.simpleString()
+    kind = docs.schema[key].dataType
     columns = ["key", "start", "length", "ids_crc32", "doc_tokens", "part", "place"] + ["ids"] * keep_ids
-    schema = f"key {kind}, start bigint, length int, ids_crc32 bigint, doc_tokens bigint, part int, place bigint"
+    schema = "key string, start bigint, length int, ids_crc32 bigint, doc_tokens bigint, part int, place bigint"
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = ids_of(ranks, pattern)
@@ -98,8 +98,9 @@ def cut(docs: DataFrame, ranks: str, pattern: str, end_id: int = 1, window: int
                     seen[n] += 1
             yield pd.DataFrame(rows, columns=columns, dtype=object).astype({c: "int64" for c in columns[1:7]})
 
-    small = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return small.mapInPandas(pieces, schema + ", ids array<bigint>" * keep_ids)
+    # Keys travel as texts: pandas would make doubles of whole numbers with nulls among them.
+    small = docs.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return small.mapInPandas(pieces, schema + ", ids array<bigint>" * keep_ids).withColumn("key", F.col("key").cast(kind))
 
 
 def combinations(counts: np.ndarray, window: int = WINDOW, fan: int = FAN) -> np.ndarray:

@@ -174,7 +174,8 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
     spark = docs.sparkSession
     stages = Stages(spark, "suffixes")
     reach, size = match - NAME, 2 * match - NAME
-    own = docs.select(F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("bytes"))
+    # Keys travel as texts: pandas would make doubles of whole numbers with nulls among them.
+    own = docs.select(F.col(key).cast("bigint").cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("bytes"))
     total = own.agg(F.coalesce(F.sum(F.length("bytes") + 1), F.lit(0))).first()[0]
     units = shuffle_width(spark, total, unit_bytes)
     grouped = own.withColumn("unit", F.pmod(F.xxhash64("id"), F.lit(units)))
@@ -353,10 +354,10 @@ def repeated(docs: DataFrame, match: int = MATCH, text: str = "text", key: str =
     found = stages.keep(around.groupBy("range").applyInPandas(judged, told), "found")
     found = found.unionByName(names.where(F.col("kind") == HOT))
     return grouped.groupBy("unit").cogroup(found.groupBy("unit")).applyInPandas(
-        removed, "id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
-    ).withColumnRenamed("id", key)
+        removed, "id string, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
+    ).select(F.col("id").cast("bigint").alias(key), "n_bytes", "spans", "kept")
 
 
 def _ids(docs_of: pd.DataFrame) -> np.ndarray:
     ids = docs_of["id"]
-    return np.array([_LAST if pd.isna(i) else int(i) for i in ids], dtype=np.int64)
+    return np.array([_LAST if i is None else int(i) for i in ids], dtype=np.int64)

@@ -103,3 +103,10 @@ def test_solver_reaches_the_optimum():
             a[length, i] += 1
     slope = a.T @ (a @ x - counts)
     assert (x >= 0).all() and (slope > -1e-3).all() and (np.abs(slope[x > 1e-6]) < 1e-3).all()
+
+
+def test_large_keys_beside_nulls(spark):
+    df = spark.createDataFrame([(9007199254740993, "a b"), (None, "c"), (9007199254740995, None)], "doc_id long, text string").coalesce(1)
+    got = packing.pack(df, RANKS, PATTERN)
+    assert got.schema["doc_id"].dataType.simpleString() == "bigint"
+    assert sorted((str(r.doc_id), r.length) for r in got.collect()) == [("9007199254740993", 3), ("9007199254740995", 1), ("None", 2)]

@@ -70,3 +70,10 @@ def test_common_prefixes_are_induced():
         for w, d in zip(strings, docs, strict=True):
             least[w] = min(least.get(w, d), d)
         assert [bool(b >> o & 1) for b in map(int, bits)] == [least[w] < d for w, d in zip(strings, docs, strict=True)]
+
+
+def test_large_keys_beside_nulls(spark):
+    text = "a passage that is long enough to be removed from all documents but one, and some more"
+    rows = [(9007199254740993, text), (9007199254740995, "before " + text), (None, text + " after")]
+    got = {r.doc_id: len(r.spans) for r in s.repeated(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert got == {9007199254740993: 0, 9007199254740995: 1, None: 1}
