@@ -92,7 +92,7 @@ def index_of(items: list[tuple[int, str]], q: int = Q, rate: float = EDIT_RATE)
     slots[places[::-1]] = np.arange(len(values), dtype=np.int32)[::-1]
     crowd = int(np.bincount(places).max()) if len(values) else 0
     return Index(
-        np.array([i for i, _ in items], dtype=np.int64), codes, budget, least, values, np.append(first, len(grams)),
+        np.array([i for i, _ in items], dtype=object), codes, budget, least, values, np.append(first, len(grams)),
         owner[order], offset[order], slots, crowd, [i for i, n in enumerate(sizes) if 0 < n < q],
     )
 
@@ -203,19 +203,26 @@ def search(index: Index, texts: list[str], q: int = Q) -> list[tuple[int, int, i
             hit &= codes[i:len(codes) - n + 1 + i] == c
         for at in np.flatnonzero(hit):
             keep(int(doc_of[at]), item, 0, int(at), int(at) + n)
-    return [(doc, int(index.ids[item]), *found) for (doc, item), found in sorted(best.items())]
+    return [(doc, index.ids[item], *found) for (doc, item), found in sorted(best.items())]
 
 
-def _blocks(items: DataFrame, most: int) -> Iterator[list[tuple[int, str]]]:
-    block, size = [], 0
+def gram_size(n: int, q: int = Q, rate: float = EDIT_RATE) -> int:
+    """The q-grams that an item of n characters is looked for by: shorter ones if its edits could break all of ``q``."""
+    return max(min(q, n // (int(n * rate + 1e-9) + 1)), 1)
+
+
+def _blocks(items: DataFrame, most: int, q: int, rate: float) -> Iterator[tuple[int, list[tuple[int | None, str]]]]:
+    """Items of one size of q-grams, as many as a pass may have. Only items below five q-grams have other sizes than ``q``."""
+    blocks: dict[int, list[tuple[int | None, str]]] = {}
+    sizes: dict[int, int] = {}
     for row in items.toLocalIterator():
-        if block and size + len(row[1] or "") > most:
-            yield block
-            block, size = [], 0
-        block.append((row[0], row[1]))
-        size += len(row[1] or "")
-    if block:
-        yield block
+        own = gram_size(len(item_codes(row[1])), q, rate)
+        if own in blocks and sizes[own] + len(row[1] or "") > most:
+            yield own, blocks.pop(own)
+            del sizes[own]
+        blocks.setdefault(own, []).append((row[0], row[1]))
+        sizes[own] = sizes.get(own, 0) + len(row[1] or "")
+    yield from blocks.items()
 
 
 def leaks(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = EDIT_RATE, text: str = "text", key: str = "doc_id",
@@ -224,16 +231,19 @@ def leaks(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = EDIT_RATE
 
     Letters and digits count, in lower case, and one space for anything between them. Positions are
     those of the best place (fewest edits, then first) in the document's characters, end exclusive. Null and empty texts and
-    items match nothing; repeated rows each give theirs; other columns are not used. Whole texts are searched.
+    items match nothing; an item without a key is searched like any other and told as null; repeated rows each give theirs; other
+    columns are not used. Whole texts are searched.
 
     The items are a stated query set: blocks of bounded size are broadcast, one pass over the
-    documents for each, without a shuffle.
+    documents for each, without a shuffle. Items so short that their edits could break every q-gram have
+    shorter ones, and passes of their own.
     """
-    kind = docs.schema[key].dataType.simpleString()
+    kind = docs.schema[key].dataType
     spark = docs.sparkSession
-    small = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null")
+    # Keys travel as texts: pandas would make doubles of whole numbers with nulls among them.
+    small = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).where("text is not null")
 
-    def passed(block: list[tuple[int, str]]) -> DataFrame:
+    def passed(q: int, block: list[tuple[int | None, str]]) -> DataFrame:
         held = spark.sparkContext.broadcast(index_of(block, q, rate))
 
         def searched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,10 +261,10 @@ def leaks(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = EDIT_RATE
                     rows += [(names[r[0]], *r[1:]) for r in search(held.value, texts, q)]
                 yield pd.DataFrame(rows, columns=columns, dtype=object)
 
-        return small.mapInPandas(searched, f"key {kind}, {FOUND}")
+        return small.mapInPandas(searched, f"key string, {FOUND}")
 
-    rows = items.select(F.col(item_key).cast("bigint"), F.col(item_text)).where(f"{item_key} is not null").orderBy(item_key, item_text)
-    passes = [passed(block) for block in _blocks(rows, block_chars)]
+    rows = items.select(F.col(item_key).cast("bigint").alias("item"), F.col(item_text).alias("text")).orderBy("item", "text")
+    passes = [passed(*block) for block in _blocks(rows, block_chars, q, rate)]
     if not passes:
         passes = [small.select("key", *[F.lit(0).alias(c.split()[0]).cast(c.split()[1]) for c in FOUND.split(", ")]).limit(0)]
-    return reduce(DataFrame.unionByName, passes).select(F.col("key").alias(key), *[c.split()[0] for c in FOUND.split(", ")])
+    return reduce(DataFrame.unionByName, passes).select(F.col("key").cast(kind).alias(key), *[c.split()[0] for c in FOUND.split(", ")])

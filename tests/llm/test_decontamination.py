@@ -86,5 +86,34 @@ def test_rows(spark):
     docs = spark.createDataFrame([(1, "some words to be found here", 1), (1, "some words to be found here", 2), (None, "x", 3), (2, None, 4)],
                                  "doc_id long, text string, item int")
     items = spark.createDataFrame([(1, "Words, to be found"), (2, None), (None, "some words")], "item_id int, text string")
-    assert [tuple(r) for r in d.leaks(docs, items).collect()] == [(1, 1, 0, 5, 22)] * 2
+    assert sorted(map(tuple, d.leaks(docs, items).collect()), key=str) == [(1, 1, 0, 5, 22)] * 2 + [(1, None, 0, 0, 10)] * 2
     assert d.leaks(docs, items.limit(0)).collect() == [] and d.leaks(docs.limit(0), items).collect() == []
+
+
+def test_short_items_have_their_edits(spark):
+    """One edit in ten characters, also where edits could break every q-gram of eight characters."""
+    for n in range(1, 60):
+        q, k = d.gram_size(n), int(n * d.EDIT_RATE + 1e-9)
+        assert n - q + 1 - k * q >= 1 and (q == d.Q or n < 40), n
+    words = "quickbrownfoxjumpsoverthelazydogandmore"
+    items = [(i, words[:n]) for i, n in enumerate((7, 10, 14, 20, 23, 30, 31, 39))]
+    docs = []
+    for i, item in items:
+        k = int(len(item) * d.EDIT_RATE + 1e-9)
+        for edits in range(k + 2):
+            text = list(item)
+            for e in range(edits):
+                text[(2 * e + 1) * len(item) // (2 * edits)] = "0"
+            docs.append((100 * i + edits, "." + "".join(text) + "."))
+    found = {(r.doc_id, r.item, r.edits) for r in d.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string")).collect()}
+    for i, item in items:
+        k = int(len(item) * d.EDIT_RATE + 1e-9)
+        assert {e for doc, n, e in found if n == i and doc // 100 == i} == set(range(k + 1)), item
+
+
+def test_large_keys_beside_nulls(spark):
+    docs = spark.createDataFrame([(9007199254740993, "words to be found"), (None, "words to be found")], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(9007199254740995, "words to be found"), (None, "nothing of this")], "item_id long, text string")
+    got = sorted(((r.doc_id, r.item) for r in d.leaks(docs, items).collect()), key=str)
+    assert got == [(9007199254740993, 9007199254740995), (None, 9007199254740995)]
