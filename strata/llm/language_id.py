@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import free_names
+
 UNKNOWN = "und"
 
 #: Lengths of n-grams, and buckets that they are hashed into.
@@ -179,8 +181,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame([classify(known, t) for t in texts], columns=["lang", "score"])
 
     own = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.withColumn("__judged", judged(F.col(text))).select(
-        *own, F.col("__judged.lang").alias("lang_pred"), F.col("__judged.score").alias("score")
+    [both] = free_names(docs, "judged")
+    return docs.withColumn(both, judged(F.col(text))).select(
+        *own, F.col(f"{both}.lang").alias("lang_pred"), F.col(f"{both}.score").alias("score")
     )
 
 

@@ -9,6 +9,8 @@ from re import _parser as regex_parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import free_names
+
 #: Beyond so many literal alternatives a rule counts as one without mandatory trigrams and is scanned for everywhere.
 MOST_ALTERNATIVES = 64
 
@@ -166,15 +168,16 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", k
     """
     own = [c for c in docs.columns if c != "findings"]
     indexed = [n for n, rule in enumerate(rules) if trigram_query(rule.pattern) is not None]
-    rows = docs.select(*own, F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    whole, met, may_fit = free_names(docs, "whole", "met", "may_fit")
+    rows = docs.select(*own, F.coalesce(F.col(text), F.lit("")).alias(whole))
     if indexed:
-        hits = candidates(docs, rules, text, key).select(F.col("key").alias("__key"), F.col("rules").alias("__rules"))
-        rows = rows.join(hits, F.col(key).eqNullSafe(F.col("__key")), "left")
+        hits = candidates(docs, rules, text, key).select(F.col("key").alias(met), F.col("rules").alias(may_fit))
+        rows = rows.join(hits, F.col(key).eqNullSafe(F.col(met)), "left")
     nothing = F.array().cast("array<struct<start:int,rule:int,end:int>>")
     found = []
     for n, rule in enumerate(rules):
-        may = F.array_contains("__rules", n) if n in indexed else F.lit(True)
-        found.append(F.when(may & F.col("__text").rlike(rule.pattern), _matches(F.col("__text"), n, rule)).otherwise(nothing))
+        may = F.array_contains(may_fit, n) if n in indexed else F.lit(True)
+        found.append(F.when(may & F.col(whole).rlike(rule.pattern), _matches(F.col(whole), n, rule)).otherwise(nothing))
     ordered = F.array_sort(F.flatten(F.array(*found)))
     names = F.array(*[F.lit(r.kind) for r in rules])
     return rows.select(*own, F.transform(ordered, lambda f: F.struct(

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.common import free_names
+
 #: Hexadecimal digits of SHA-256 that the first lookup compares (32 bits).
 SHORT = 8
 
@@ -70,16 +72,17 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     longest = max(chars, default=0)
 
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    judged = pages.withColumns({"__host": host_of(url), "__path": path_of(url)})
-    judged = judged.withColumn("__head", F.substring("__path", 1, longest))
-    keys = judged.where("__host <> ''").select("__host", "__head").distinct()
-    parts = F.split("__host", r"\.")
-    keys = keys.withColumn("__n", F.size(parts)).withColumn("__l", F.length("__head"))
-    suffixes = _present(F.when(F.col("__n") >= n, F.substring_index("__host", ".", -n)) for n in labels)
-    prefixes = _present(F.when(F.col("__l") >= n, F.substring("__head", 1, n)) for n in chars)
+    host, path, head, rule_of, verdict_of = free_names(pages, "host_of", "path_of", "head", "rule_of", "verdict_of")
+    judged = pages.withColumns({host: host_of(url), path: path_of(url)})
+    judged = judged.withColumn(head, F.substring(path, 1, longest))
+    keys = judged.where(f"{host} <> ''").select(host, head).distinct()
+    parts = F.split(host, r"\.")
+    keys = keys.withColumn("__n", F.size(parts)).withColumn("__l", F.length(head))
+    suffixes = _present(F.when(F.col("__n") >= n, F.substring_index(host, ".", -n)) for n in labels)
+    prefixes = _present(F.when(F.col("__l") >= n, F.substring(head, 1, n)) for n in chars)
     expressions = (
-        keys.select("__host", "__head", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes"))
-        .select("__host", "__head", "suffix", F.explode("prefixes").alias("prefix"))
+        keys.select(host, head, F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes"))
+        .select(host, head, "suffix", F.explode("prefixes").alias("prefix"))
         .withColumn("digest", F.sha2(F.concat("suffix", F.lit("\n"), "prefix"), 256))
     )
     found = expressions.withColumn("short", F.left("digest", F.lit(SHORT))).join(
@@ -89,12 +92,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         ),
         "short",
     ).where(F.col("digest") == F.col("full"))
-    best = found.groupBy("__host", "__head").agg(
+    best = found.groupBy(host, head).agg(
         F.max(F.struct(
             F.length("text").alias("chars"), "host_chars", F.col("verdict").alias("verdict"), F.col("text").alias("rule")
         )).alias("best")
-    ).select("__host", "__head", F.col("best.rule").alias("__rule"), F.col("best.verdict").alias("__verdict"))
-    return judged.join(best, ["__host", "__head"], "left").select(
-        *own, F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"),
-        F.coalesce("__verdict", F.lit(default)).alias("verdict"),
+    ).select(host, head, F.col("best.rule").alias(rule_of), F.col("best.verdict").alias(verdict_of))
+    return judged.join(best, [host, head], "left").select(
+        *own, F.col(host).alias("host"), F.col(path).alias("path"), F.col(rule_of).alias("rule"),
+        F.coalesce(verdict_of, F.lit(default)).alias("verdict"),
     )

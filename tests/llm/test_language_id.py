@@ -73,3 +73,8 @@ def test_rows(spark):
     nothing = li.train(df.limit(0))
     assert nothing.languages == () and li.classify(nothing, "abc") == ("und", 0.0)
     assert li.predict(df.limit(0), model).collect() == []
+
+
+def test_names_of_other_columns(spark):
+    df = spark.createDataFrame([(1, "abc", "en", "mine")], "doc_id long, text string, lang string, judged string")
+    assert li.predict(df, li.train(df)).select("judged", "lang_pred").collect() == [("mine", "en")]

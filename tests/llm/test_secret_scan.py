@@ -58,3 +58,9 @@ def test_digest(spark):
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(x[0] == k for x in spans) for k in ("assign", "access", "hex")]
         found += len(spans)
     assert found
+
+
+def test_names_of_other_columns(spark):
+    df = spark.createDataFrame([(1, TEXTS[3], "a", "b", "c", 1)], "doc_id long, text string, whole string, met string, may_fit string, whole_ int")
+    got = s.scan(df).collect()
+    assert [tuple(r)[2:6] for r in got] == [("a", "b", "c", 1)] and [tuple(f) for f in got[0].findings] == brute(TEXTS[3])

@@ -36,3 +36,10 @@ def test_without_rules_or_pages(spark):
     assert [tuple(r) for r in u.judge_urls(pages, u.rule_table(spark, []), default="block").collect()] == [
         (1, "http://x.org/", "x.org", "/", None, "block")]
     assert u.judge_urls(pages.limit(0), u.rule_table(spark, RULES)).collect() == []
+
+
+def test_names_of_other_columns(spark):
+    names = ["host_of", "path_of", "head", "rule_of", "verdict_of", "__n", "digest", "suffix"]
+    pages = spark.createDataFrame([(1, "http://x.org/a", *names)], "page_id int, url string, " + ", ".join(f"{n} string" for n in names))
+    got = u.judge_urls(pages, u.rule_table(spark, RULES)).first()
+    assert [got[n] for n in names] == names and (got.host, got.path, got.rule, got.verdict) == brute("http://x.org/a")
