@@ -272,6 +272,9 @@ def main_text(html: str | None) -> str:
         return ""
     tree = _Tree()
     tree.feed(_MARKED.sub("", html))
+    # What the end of the page cuts off within a comment or tag is neither text nor an element.
+    if re.match(r"<[a-zA-Z/!?]", tree.rawdata):
+        tree.rawdata = ""
     tree.close()
     tree.settle()
     chosen = _chosen(tree)

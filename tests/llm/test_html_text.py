@@ -81,3 +81,12 @@ def test_extract_rows(spark):
     df = spark.createDataFrame([(1, None, "x"), (1, None, "x"), (None, "<p>a", None)], "page_id int, html string, text string")
     assert sorted((r.page_id or 0, r.text) for r in html_text.extract(df).collect()) == [(0, "a"), (1, ""), (1, "")]
     assert html_text.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("end", ["<!-- open <p>after", "<!-- open", "<p class='x", "<div", "</p", "<!DOCTYPE", "<?pi"])
+def test_what_the_end_of_a_page_cuts_off_is_no_text(end):
+    assert main_text("<article><p>kept words of it</p>" + end) == "kept words of it"
+
+
+def test_a_less_than_sign_is_text():
+    assert main_text("<article><p>one < two and 3 <4") == "one < two and 3 <4"
