@@ -24,10 +24,17 @@ CHUNK = 1 << 16
 OVERLAP = 1 << 10
 #: Code points before a chunk's end that its end may have changed the words of: a match looks no further ahead.
 MARGIN = 4
-_RUN = 1 << 33  # chunks that one task may number
+_RUN = 1 << 33  # rows that one task may number
+_ROWS = 256  # rows of a batch that are worked on, and handed on, at a time
 _tables: dict[str, list[bytes]] = {}
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
 def token_bytes(ranks: str) -> list[bytes]:
     """The bytes of each id, from a file of ``base64-token rank`` lines; once for each process."""
     if ranks not in _tables:
@@ -83,7 +90,7 @@ def _chunks(docs: DataFrame, text: str, key: str, chunk: int, overlap: int) -> D
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() * _RUN
-        for batch in batches:
+        for batch in _slices(batches):
             for i, whole in enumerate(batch.column("text").to_pylist()):
                 parts = range(0, len(whole), chunk)
                 yield pa.RecordBatch.from_arrays([
@@ -169,7 +176,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", key: s
     kind = docs.schema[key].dataType.simpleString()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             ids = [encoded(x or "", ranks, pattern) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), _lists(ids)], [key, "ids"])
 
@@ -187,7 +194,7 @@ def decode(ids: DataFrame, ranks: str, column: str = "ids", name: str = "decoded
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(ranks)
-        for batch in batches:
+        for batch in _slices(batches):
             held = batch.column(column)
             values, ends = held.flatten().to_numpy(), pc.fill_null(pc.list_value_length(held), 0).to_numpy().cumsum().tolist()
             # One row's ids at a time are Python numbers.
