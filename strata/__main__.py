@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.joins import REPORT_ORDER
 from strata.plans.invoices import (
-    InvoiceFolders, flatten, ingest, rewards_additive, rewards_complete, rewards_replace, rewards_table, stream_bronze,
-    stream_line_items,
+    InvoiceFolders, flatten, ingest, ingest_messages, message_table, rewards_additive, rewards_complete, rewards_replace,
+    rewards_table, send_invoices, store_decoded, stream_bronze, stream_line_items,
 )
 from strata.plans.trades import TOTALS, stream_trade_summary
 from strata.plans.words import COUNTS, batch_word_count, stream_word_count
@@ -17,6 +18,7 @@ from strata.plans.workouts import Gym
 from strata.schemas import TABLES
 from strata.session import build_session
 from strata.sinks.staged import SnapshotTable
+from strata.sources.log import LogConnection, stream_log
 from strata.streaming.jobs import Job, await_all, run_stages
 
 
@@ -58,6 +60,28 @@ def rewards(spark: SparkSession, args) -> DataFrame:
     return table.read()
 
 
+def consume(spark: SparkSession, args) -> DataFrame:
+    """A log topic of invoices, decoded and appended as it comes."""
+    log = stream_log(spark, _connection(args), args.topic, args.offsets_per_trigger)
+    await_all([store_decoded(log, f"{args.root}/messages", _job(args, "messages"))])
+    return spark.read.parquet(f"{args.root}/messages")
+
+
+def ingest_log(spark: SparkSession, args) -> DataFrame:
+    """A log topic as it is, each message once by its position."""
+    table = message_table(spark, f"{args.root}/messages_by_position")
+    log = stream_log(spark, _connection(args), args.topic, args.offsets_per_trigger)
+    await_all([ingest_messages(log, table, _job(args, "messages_by_position"))])
+    return table.read()
+
+
+def produce(spark: SparkSession, args) -> DataFrame:
+    """Chosen invoices of the landing files to a log topic."""
+    query = send_invoices(spark, args.input, args.where, _connection(args), args.topic, f"{args.root}/checkpoint/produce")
+    await_all([query])
+    return spark.createDataFrame([(args.topic,)], "topic string")
+
+
 def trades(spark: SparkSession, args) -> DataFrame:
     messages = spark.readStream.schema("value string").parquet(args.input)
     totals = SnapshotTable(spark, f"{args.root}/trade_summary", TOTALS)
@@ -78,18 +102,25 @@ def _job(args, name: str) -> Job:
     return Job(name, f"{args.root}/checkpoint/{name}", args.every)
 
 
+def _connection(args) -> LogConnection:
+    """The password comes from a file, so that no command line shows it."""
+    password = Path(args.password_file).read_text().strip() if args.password_file else None
+    return LogConnection(args.servers, args.protocol, args.mechanism, args.user, password)
+
+
 def _invoice_folders(args) -> InvoiceFolders:
     return InvoiceFolders(
         args.input, f"{args.root}/invoices_bronze", f"{args.root}/invoices_silver", f"{args.root}/checkpoint")
 
 
-WORKLOADS = {f.__name__: f for f in (words, line_items, invoices, rewards, trades, gym)}
+WORKLOADS = {f.__name__: f for f in (words, line_items, invoices, rewards, consume, ingest_log, produce, trades, gym)}
+FROM_LOG, WITH_LOG = ("consume", "ingest_log"), ("consume", "ingest_log", "produce")
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="strata", description=__doc__)
     parser.add_argument("workload", choices=WORKLOADS)
-    parser.add_argument("--input", required=True, help="landing folder, glob or stored messages")
+    parser.add_argument("--input", help="landing folder, glob or stored messages; needed by all that do not read a log")
     parser.add_argument("--root", help="folder for tables and checkpoints")
     parser.add_argument("--table", help="managed table for the result (words in batch, line_items)")
     parser.add_argument("--every", help="keep running at this interval; default: all there is, once")
@@ -99,7 +130,19 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--clean-source", choices=["off", "delete", "archive"], default="off", help="invoices")
     parser.add_argument("--archive-to", help="archive folder for --clean-source archive")
     parser.add_argument("--dates", help="JSON date lookup to load first (gym)")
+    parser.add_argument("--servers", help="broker addresses (consume, ingest_log, produce)")
+    parser.add_argument("--topic", help="log topic (consume, ingest_log, produce)")
+    parser.add_argument("--protocol")
+    parser.add_argument("--mechanism")
+    parser.add_argument("--user")
+    parser.add_argument("--password-file", help="file that holds the user's password")
+    parser.add_argument("--offsets-per-trigger", type=int)
+    parser.add_argument("--where", default="true", help="SQL condition on the invoices to send (produce)")
     args = parser.parse_args(argv)
+    if args.input is None and args.workload not in FROM_LOG:
+        parser.error("--input is needed")
+    if args.workload in WITH_LOG and not (args.servers and args.topic):
+        parser.error("--servers and --topic are needed")
     if args.root is None and not (args.workload == "words" and args.table):
         parser.error("--root is needed for all but words into a table")
     if args.workload == "line_items" and not args.table:

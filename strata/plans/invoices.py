@@ -68,10 +68,13 @@ def message_table(spark: SparkSession, root: str, key: list[str] | None = None)
     """A table that holds each message once.
 
     Messages of one position are the same message, so by position nothing is ever updated. By content, a repeated
-    message takes the place of the stored one.
+    message takes the place of the stored one. By position, files are parted by topic and partition, so that a batch looks up
+    its own ones only.
     """
     key, schema = key or POSITION_KEY, TABLES["invoice_messages"]
-    return (InsertTable if key == POSITION_KEY else StateTable)(spark, root, schema, key)
+    if key == POSITION_KEY:
+        return InsertTable(spark, root, schema, key, parted_by=["topic", "partition"])
+    return StateTable(spark, root, schema, key)
 
 
 def store_decoded(log: DataFrame, path: str, job: Job, schema: str = INVOICE) -> StreamingQuery:

@@ -24,6 +24,7 @@ from strata.schemas import GYM_LOGIN, MESSAGE, REGISTERED_USER, STORED_MESSAGE,
 from strata.sinks.catalog import ensure_database, save_bucketed
 from strata.sinks.staged import SnapshotTable, StateTable
 from strata.sources.files import stream_csv, stream_files, stream_json, stream_loaded, with_load_day
+from strata.sources.fs import SharedFs
 from strata.streaming.jobs import Job, append_to_path, await_all, upsert
 from strata.streaming.state import watermarked, without_duplicates
 from strata.streaming.stateful import first_of_key, greatest_of_key
@@ -131,6 +132,7 @@ def greatest_logout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
            round(avg(r.heartrate), 8) AS avg_bpm, max(r.heartrate) AS max_bpm, count(*) AS num_recordings
     FROM done d JOIN readings r ON r.user_id = d.user_id AND r.s > d.start_time AND r.s <= d.end_time
     WHERE d.user_id IN (SELECT c_custkey FROM customer)
+      AND d.end_time < d.start_time + INTERVAL 3 HOUR AND d.end_time < r.s + INTERVAL 3 HOUR
     GROUP BY d.user_id, d.session_id, d.end_time
 """)
 def finished_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,8 +264,8 @@ def landed_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files with a header line, one file per trigger at least, with lineage."""
     session, folder = streaming_session(spark), run_folder(spark, "landed_registrations")
     users = users_of(table(session, sf_dir, "customer"), F.col("c_acctbal").alias("registration_timestamp"))
-    users.write.option("header", True).csv(f"{folder}/landing")
-    return _ingested(spark, session, folder, stream_csv(session, f"{folder}/landing", REGISTERED_USER, 1000))
+    users.repartition(4).write.option("header", True).csv(f"{folder}/landing")
+    return _ingested(spark, session, folder, stream_csv(session, f"{folder}/landing", REGISTERED_USER, bytes_per_trigger=_half(session, f"{folder}/landing")))
 
 
 @query("""
@@ -277,8 +279,8 @@ def landed_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     logins = table(session, sf_dir, "events").where("event_type = 'signup'").select(
         F.concat(F.lit("mac"), F.col("user_id").cast("string")).alias("mac_address"),
         (F.col("user_id") % 7).alias("gym"), at.alias("login"), (at + 60).alias("logout"))
-    logins.write.option("header", True).csv(f"{folder}/landing")
-    return _ingested(spark, session, folder, stream_csv(session, f"{folder}/landing", GYM_LOGIN, 1000))
+    logins.repartition(4).write.option("header", True).csv(f"{folder}/landing")
+    return _ingested(spark, session, folder, stream_csv(session, f"{folder}/landing", GYM_LOGIN, bytes_per_trigger=_half(session, f"{folder}/landing")))
 
 
 def envelopes(df: DataFrame) -> DataFrame:
@@ -299,8 +301,8 @@ ENVELOPE_SQL = """
 @query(ENVELOPE_SQL)
 def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, folder = streaming_session(spark), run_folder(spark, "landed_messages")
-    envelopes(table(session, sf_dir, "events")).write.json(f"{folder}/landing")
-    return _ingested(spark, session, folder, stream_json(session, f"{folder}/landing", MESSAGE, 1000))
+    envelopes(table(session, sf_dir, "events")).repartition(4).write.json(f"{folder}/landing")
+    return _ingested(spark, session, folder, stream_json(session, f"{folder}/landing", MESSAGE, 2))
 
 
 @query("""
@@ -323,6 +325,11 @@ def loaded_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(spark.read.parquet(f"{folder}/rows"))
 
 
+def _half(session: SparkSession, folder: str) -> int:
+    """Half the bytes of a landing folder, so that it takes at least two micro-batches."""
+    return sum(SharedFs(session, folder).sizes(folder)) // 2 + 1
+
+
 def _ingested(spark: SparkSession, session: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
     """Run a landing stream to its end; lineage differs per run, so only its presence is told."""
     await_all([append_to_path(rows, f"{folder}/bronze", Job("landing", f"{folder}/checkpoint"))])

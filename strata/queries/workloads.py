@@ -99,16 +99,25 @@ def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT o_orderkey, o_custkey, year, dayofyear, week_part FROM {view}")
 
 
-def _land_gym(session: SparkSession, sf_dir: str, landing: str) -> None:
-    """Registrations, visits and messages of three topics, from customers and events."""
+def _land_gym(session: SparkSession, sf_dir: str, landing: str, until: int | None = None, after: int | None = None) -> None:
+    """Registrations, visits and messages of three topics, from customers and events.
+
+    ``until`` and ``after`` (epoch seconds) leave out messages and visits of other times. Registrations and profiles come each time.
+    """
+    def due(rows: DataFrame, second: str) -> DataFrame:
+        rows = rows if until is None else rows.where(F.col(second) <= until)
+        return rows if after is None else rows.where(F.col(second) > after)
+
     customer, source = table(session, sf_dir, "customer"), events(table(session, sf_dir, "events"))
     second = F.unix_seconds("ts")
-    users_of(customer).withColumn("registration_timestamp", F.lit(1.7e9)).write.option("header", True).csv(
-        f"{landing}/registered_users_bz")
-    source.where("event_type = 'signup'").select(
+    # The first registration of a user stays, whatever device a later one names.
+    device = F.col("device_id") + (0 if after is None else 1_000_000)
+    users_of(customer).withColumn("device_id", device).withColumn("registration_timestamp", F.lit(1.7e9)).write.mode(
+        "append").option("header", True).csv(f"{landing}/registered_users_bz")
+    due(source.where("event_type = 'signup'").select(
         F.concat(F.lit("mac"), text("user_id")).alias("mac_address"), (F.col("user_id") % 7).alias("gym"),
         second.cast("double").alias("login"), (second + 3600).cast("double").alias("logout"),
-    ).write.option("header", True).csv(f"{landing}/gym_logins_bz")
+    ), "login").write.mode("append").option("header", True).csv(f"{landing}/gym_logins_bz")
 
     info = profiles_of(customer).select(
         "user_id", F.lit(1_700_000_000).alias("second"), F.lit("user_info").alias("topic"),
@@ -138,14 +147,14 @@ def _land_gym(session: SparkSession, sf_dir: str, landing: str) -> None:
             (F.col("user_id") * 7).alias("device_id"),
             F.date_format(F.timestamp_seconds("second"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
             "heartrate")).alias("value"))
-    for messages in (info, work("start", "begun"), work("stop", "ended"), bpm):
+    for messages in (info, due(work("start", "begun"), "second"), due(work("stop", "ended"), "second"), due(bpm, "second")):
         messages.select(
             text("user_id").alias("key"), "value", "topic", F.lit(0).alias("partition"),
             F.col("second").alias("offset"), F.col("second").alias("timestamp"),
         ).write.mode("append").json(f"{landing}/kafka_multiplex_bz")
 
 
-@query(f"""
+GYM_SQL = f"""
     WITH done AS (
         SELECT user_id, event_id AS session_id, date_trunc('second', ts) AS start_time,
                date_trunc('second', ts) + to_seconds(CAST(round(value * 120) AS BIGINT)) AS end_time, value
@@ -166,13 +175,38 @@ def _land_gym(session: SparkSession, sf_dir: str, landing: str) -> None:
     SELECT CAST(1 AS BIGINT) AS workout_id, s.session_id, s.user_id, b.age, b.gender, b.city, b.state,
            s.min_bpm, round(s.avg_bpm, 8) AS avg_bpm, s.max_bpm, s.num_recordings
     FROM stats s JOIN ({BINS_SQL}) b ON s.user_id = b.user_id
-""")
+"""
+
+
+def _gym(session: SparkSession, sf_dir: str, folder: str) -> Gym:
+    gym = Gym(session, f"{folder}/landing", f"{folder}/tables", lateness="30 seconds", spread=4, as_of=as_of())
+    days = table(session, sf_dir, "events").select(F.to_date("ts").alias("date")).distinct()
+    gym.dates.overwrite(date_lookup_of(days))
+    return gym
+
+
+def _summary(gym: Gym) -> DataFrame:
+    return plain_times(rounded(gym.tables["workout_bpm_summary"].read(), "avg_bpm", places=8))
+
+
+@query(GYM_SQL)
+def gym_two_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gym workload over two landing sets: sessions that the first leaves open are finished by the second."""
+    session, folder = streaming_session(spark), run_folder(spark, "gym_two_sets")
+    half = table(session, sf_dir, "events").agg(
+        F.percentile_approx(F.unix_seconds(F.col("ts").cast("timestamp")), 0.5)).first()[0] or 0
+    gym = _gym(session, sf_dir, folder)
+    for bounds in ({"until": half}, {"after": half}):
+        _land_gym(session, sf_dir, f"{folder}/landing", **bounds)
+        gym.run()
+    return _summary(gym)
+
+
+@query(GYM_SQL)
 def gym_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gym workload over one landing set: bronze, silver, gold."""
     session, folder = streaming_session(spark), run_folder(spark, "gym_layers")
     _land_gym(session, sf_dir, f"{folder}/landing")
-    gym = Gym(session, f"{folder}/landing", f"{folder}/tables", lateness="30 seconds", spread=4, as_of=as_of())
-    days = table(session, sf_dir, "events").select(F.to_date("ts").alias("date")).distinct()
-    gym.dates.overwrite(date_lookup_of(days))
+    gym = _gym(session, sf_dir, folder)
     gym.run()
-    return plain_times(rounded(gym.tables["workout_bpm_summary"].read(), "avg_bpm", places=8))
+    return _summary(gym)

@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.operators.latest import first_per_key, latest_per_key
 from strata.operators.merge import SET_ALL, Clause, changed_rows, split_null_keys
-from strata.sinks.catalog import add_partition, drop_partition, external_table, lasting_view
+from strata.sinks.catalog import add_partition, drop_partition, external_table, lasting_view, recover_partitions
 from strata.sources.fs import SharedFs
 
 __all__ = ["SET_ALL", "Clause", "InsertTable", "SnapshotTable", "StateTable"]
@@ -43,9 +43,9 @@ class _Staged:
         self.fs = SharedFs(spark, self.root)
         self.fs.mkdirs(self.data)
 
-    def _publish(self, df: DataFrame, target: str, **options: str) -> None:
+    def _publish(self, df: DataFrame, target: str, parted_by: Sequence[str] = (), **options: str) -> None:
         staging = f"{self.root}/_staging/{target.rsplit('/data/', 1)[-1]}"
-        df.write.mode("overwrite").options(**options).parquet(staging)
+        df.write.mode("overwrite").options(**options).partitionBy(*parted_by).parquet(staging)
         self.fs.move(staging, target)
 
     def _conform(self, df: DataFrame) -> DataFrame:
@@ -128,9 +128,13 @@ class _Batches(_Staged):
 
     _EXTRA: Sequence[StructField] = ()
 
-    def __init__(self, spark: SparkSession, root: str, schema: str, keys: Sequence[str]):
+    def __init__(self, spark: SparkSession, root: str, schema: str, keys: Sequence[str], parted_by: Sequence[str] = ()):
+        """``parted_by`` names key columns of few values, by which each batch's files are parted, too."""
         super().__init__(spark, root, schema)
         self.keys = list(keys)
+        self.parted_by = list(parted_by)
+        if set(self.parted_by) - set(self.keys):
+            raise ValueError(f"parted_by names keys, of {self.keys}, not {self.parted_by}")
         self.registered: str | None = None
 
     # -- reading -----------------------------------------------------------------------
@@ -158,13 +162,13 @@ class _Batches(_Staged):
         """The stored rows with a batch's keys.
 
         What the batch is known to hold reaches the scan as literals: the range of ``range_column``, and the
-        values of the first other key, if they are few. Statistics and Bloom filters then leave out row groups
-        without them. The rest is a semi-join, for which a small batch is broadcast and the table never shuffled.
+        values of partition columns and of the first other key, if they are few. Partitions, statistics and Bloom filters then
+        leave out files and row groups without them. The rest is a semi-join, for which a small batch is broadcast and the table never shuffled.
         """
         if range_column and low is not None:
             stored = self._within(stored, range_column, low, high)
-        lookup = next((k for k in self.keys if k != range_column), None)
-        if lookup:
+        others = [k for k in self.keys if k != range_column and k not in self.parted_by]
+        for lookup in [*self.parted_by, *others[:1]]:
             values = [r[0] for r in rows.select(lookup).distinct().limit(ASKED_VALUES + 1).collect()]
             if len(values) <= ASKED_VALUES:
                 stored = stored.where(_any_of(lookup, values))
@@ -174,15 +178,14 @@ class _Batches(_Staged):
         """How many rows a batch has, and its range."""
         bounds = [F.count("*").alias("n")]
         if range_column:
-            exact = self._exact(range_column)
-            bounds += [F.min(exact).alias("low"), F.max(exact).alias("high")]
+            bounds += [self._exact(F.min(range_column), range_column).alias("low"), self._exact(F.max(range_column), range_column).alias("high")]
         facts = rows.agg(*bounds).first()
         return (facts.n, facts.low, facts.high) if range_column else (facts.n, None, None)
 
-    def _exact(self, column: str) -> Column:
-        """A value as it comes to the driver and back: instants as numbers, as their spelling can be ambiguous."""
+    def _exact(self, value: Column, column: str) -> Column:
+        """A value of a column as it comes to the driver and back: instants as numbers, as their spelling can be ambiguous."""
         instant = self.schema[column].dataType.typeName() == "timestamp"
-        return F.unix_micros(column) if instant else F.col(column).cast("string")
+        return F.unix_micros(value) if instant else value.cast("string")
 
     def _within(self, stored: DataFrame, column: str, low: int | str, high: int | str) -> DataFrame:
         kind = self.schema[column].dataType
@@ -198,15 +201,17 @@ class _Batches(_Staged):
         return not self.fs.names(self.data)
 
     def _add(self, rows: DataFrame, writer: str, batch_id: int) -> None:
-        blooms = {f"parquet.bloom.filter.enabled#{k}": "true" for k in self.keys}
-        self._publish(rows, self._target(writer, batch_id), **blooms, **{"parquet.bloom.filter.adaptive.enabled": "true"})
+        blooms = {f"parquet.bloom.filter.enabled#{k}": "true" for k in self.keys if k not in self.parted_by}
+        self._publish(rows, self._target(writer, batch_id), self.parted_by, **blooms, **{"parquet.bloom.filter.adaptive.enabled": "true"})
         self._announce(writer, batch_id)
 
     # -- catalog -----------------------------------------------------------------------
 
     def _announce(self, writer: str, batch_id: int) -> None:
         """Tell the catalog of a batch. Done again when a batch is replayed, as a run may have died before it."""
-        if self.registered:
+        if self.registered and self.parted_by:
+            recover_partitions(self.spark, self.registered)
+        elif self.registered:
             add_partition(self.spark, self.registered, {"writer": writer, "batch": batch_id})
 
     def register(self, name: str) -> None:
@@ -216,7 +221,7 @@ class _Batches(_Staged):
         catalog reads through the view what is stored at that moment.
         """
         table = f"{name}_batches"
-        external_table(self.spark, table, self._stored_schema(), self.data, ["writer", "batch"])
+        external_table(self.spark, table, self._stored_schema(), self.data, ["writer", "batch", *self.parted_by])
         self.registered = table
         lasting_view(self.spark, name, self._view_sql(table))
 

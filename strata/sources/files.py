@@ -33,10 +33,13 @@ def query_file(
 def stream_files(
     spark: SparkSession, kind: str, path: str, schema: str,
     files_per_trigger: int | None = None, clean_source: str = "off", archive_to: str | None = None,
-    **options: str,
+    bytes_per_trigger: str | int | None = None, **options: str,
 ) -> DataFrame:
     """New files of a folder or glob as a stream with a declared schema.
 
+    A micro-batch takes up to ``files_per_trigger`` files, or up to ``bytes_per_trigger`` (such as ``"10g"``) of them and one at least:
+    bytes bound a batch's work where files differ in size.
+
     ``clean_source`` deletes or archives files once they are processed; the last batch's files
     stay until a later batch completes.
     """
@@ -44,9 +47,13 @@ def stream_files(
         raise ValueError(f"clean_source is off, delete or archive, not {clean_source}")
     if (clean_source == "archive") != (archive_to is not None):
         raise ValueError("archive_to goes with clean_source='archive', and only with it")
+    if files_per_trigger is not None and bytes_per_trigger is not None:
+        raise ValueError("a batch is bounded by files or by bytes, not by both")
     reader = spark.readStream.format(kind).schema(schema).options(**options)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     if clean_source != "off":
         reader = reader.option("cleanSource", clean_source)
     if archive_to is not None:
@@ -83,17 +90,18 @@ def stream_loaded(spark: SparkSession, path: str, schema: str, since: str | None
 
 
 def stream_csv(
-    spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None,
+    spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None, bytes_per_trigger: str | int | None = None,
 ) -> DataFrame:
     """CSV files with a header line, with lineage columns."""
-    return with_lineage(stream_files(spark, "csv", path, schema, files_per_trigger, header="true"))
+    return with_lineage(stream_files(
+        spark, "csv", path, schema, files_per_trigger, bytes_per_trigger=bytes_per_trigger, header="true"))
 
 
 def stream_json(
-    spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None,
+    spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None, bytes_per_trigger: str | int | None = None,
 ) -> DataFrame:
     """JSON-lines files, with lineage columns."""
-    return with_lineage(stream_files(spark, "json", path, schema, files_per_trigger))
+    return with_lineage(stream_files(spark, "json", path, schema, files_per_trigger, bytes_per_trigger=bytes_per_trigger))
 
 
 def stream_parquet(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

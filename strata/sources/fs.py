@@ -28,6 +28,10 @@ class SharedFs:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(self._make_path(path))]
 
+    def sizes(self, path: str) -> list[int]:
+        """Bytes of the files in a folder."""
+        return [status.getLen() for status in self._fs.listStatus(self._make_path(path)) if status.isFile()]
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._make_path(path), True)
 

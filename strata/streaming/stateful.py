@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.streaming.state import LATENESS, watermarked
 
@@ -54,29 +54,34 @@ def first_of_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], remem
         _FirstRow(df.columns, ties, ttl), StructType(df.schema.fields), "Append", "ProcessingTime" if ttl else "None")
 
 
+# Times as numbers, which compare alike whatever zone a worker reads them in.
+_VALUE, _AT = "_value_micros", "_at_millis"
+
+
 class _Greatest(StatefulProcessor):
     """Gives a key's greatest value whenever it grows, and forgets the key when its time is behind the watermark."""
 
-    def __init__(self, keys: Sequence[str], at: str, value: str, columns: Sequence[str], kept_ms: int):
-        self._at, self._value, self._columns, self._kept = list(keys).index(at), value, list(columns), kept_ms
-        self._keys = list(keys)
+    def __init__(self, keys: Sequence[str], kept_ms: int):
+        self._keys, self._kept = list(keys), kept_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._greatest = handle.getValueState("greatest", "value timestamp")
+        self._greatest = handle.getValueState("greatest", "value bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        values = [r[self._value] for r in rows]
-        held = self._greatest.get()[0] if self._greatest.exists() else None
-        known = self._greatest.exists()
-        best = max((v for v in [held, *values] if v is not None), default=None)
+        state = self._greatest.get()  # one call: each goes to Spark's process and back
+        known = state is not None
+        held = best = state[0] if known else None
+        for row in rows:
+            if best is None or (row[_VALUE] is not None and row[_VALUE] > best):
+                best = row[_VALUE]
+            end = row[_AT] + self._kept
         if known and best == held:
             return
         if not known:
-            self._handle.registerTimer(int(key[self._at].timestamp() * 1000) + self._kept)
+            self._handle.registerTimer(end)
         self._greatest.update((best,))
-        named = {**dict(zip(self._keys, key)), self._value: best}
-        yield Row(**{c: named[c] for c in self._columns})
+        yield Row(**dict(zip(self._keys, key)), **{_VALUE: best})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self._greatest.clear()
@@ -89,14 +94,14 @@ class _Greatest(StatefulProcessor):
 def greatest_of_key(
     df: DataFrame, keys: Sequence[str], at: str, value: str, lateness: str = LATENESS, kept: dt.timedelta = dt.timedelta(days=1),
 ) -> DataFrame:
-    """Each key's greatest ``value`` so far, given anew whenever it grows. Update mode: a later row replaces an earlier one.
+    """Each key's greatest ``value`` (a time) so far, given anew whenever it grows. Update mode: a later row replaces an earlier one.
 
     ``at`` names the key column of event time. A key is held until the watermark, which follows the greatest ``at`` by ``lateness``,
     has passed its time by ``kept``; what comes later for it starts anew, so that a merge behind the stream should keep the greater
     value. Rows without an ``at`` are left out, null values never replace others.
     """
-    columns = [*keys, value]
-    rows = watermarked(df.select(*columns).where(F.col(at).isNotNull()), at, lateness)
-    schema = StructType([df.schema[c] for c in columns])
-    return rows.groupBy(*keys).transformWithState(
-        _Greatest(keys, at, value, columns, int(kept / dt.timedelta(milliseconds=1))), schema, "Update", "EventTime")
+    timed = df.where(F.col(at).isNotNull()).select(*keys, F.unix_micros(value).alias(_VALUE), F.unix_millis(at).alias(_AT))
+    schema = StructType([*[df.schema[c] for c in keys], StructField(_VALUE, LongType())])
+    grown = watermarked(timed, at, lateness).groupBy(*keys).transformWithState(
+        _Greatest(keys, int(kept / dt.timedelta(milliseconds=1))), schema, "Update", "EventTime")
+    return grown.select(*keys, F.timestamp_micros(_VALUE).alias(value))

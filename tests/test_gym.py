@@ -10,7 +10,7 @@ from strata.operators.joins import REPORT_ORDER
 from strata.plans.workouts import Gym
 from strata.schemas import STORED_USER
 from strata.sources.files import stream_loaded, with_load_day
-from strata.streaming.jobs import Job, await_all, for_each_batch
+from strata.streaming.jobs import Job, append_to_path, await_all
 
 from .conftest import rows
 
@@ -176,13 +176,11 @@ def test_a_later_start_opens_its_own_days_only(gym, tmp_path):
     path = str(tmp_path / "bz")
     with_load_day(days).write.partitionBy("load_day").parquet(path)
     since = "2024-03-02 12:00:00"
-    seen, plans = [], []
-
-    def look(rows_, _):
-        seen.extend(r.user_id for r in rows_.collect())
-        plans.append(rows_._jdf.queryExecution().executedPlan().toString())
-    await_all([for_each_batch(stream_loaded(spark, path, STORED_USER, since), look, Job("since", str(tmp_path / "c")))])
-    assert sorted(seen) == [2, 4, 5] and "PartitionFilters: [isnotnull(load_day" in plans[0]
+    query = append_to_path(stream_loaded(spark, path, STORED_USER, since), str(tmp_path / "out"), Job("since", str(tmp_path / "c")))
+    await_all([query])
+    assert sorted(r.user_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [2, 4, 5]
+    filters = query._jsq.explainInternal(True).split("PartitionFilters: [")[1].split("]")[0]
+    assert "isnotnull(load_day" in filters and ">= 2024-03-02" in filters
 
 
 def test_messages_are_partitioned_and_keep_dates_without_a_match(gym):

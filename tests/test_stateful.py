@@ -115,7 +115,7 @@ def test_keys_are_forgotten_after_their_time(spark, folder, request):
 
 @pytest.mark.parametrize("files", CUTS)
 def test_greatest_of_key(spark, folder, files):
-    data = [(at(i // 3 * 3600), i % 2, at(i * 700 % 9000 + i * 100) if i % 5 else None) for i in range(60)]
+    data = [(at(i // 6 * 3600), i % 2, at(i * 700 % 9000 + i * 100) if i % 5 else None) for i in range(60)]
     df = spark.createDataFrame(data, "login timestamp, k int, logout timestamp")
     stream = greatest_of_key(cut(df, f"{folder}/in", files), ["k", "login"], "login", "logout", kept=dt.timedelta(hours=1))
     seen = []

@@ -289,6 +289,18 @@ def test_json_one_file_per_trigger(spark, folder):
     assert sorted(r[0] or "" for r in spark.read.parquet(f"{folder}/out").select("key").collect()) == ["", "", "", "0", "1", "2"]
 
 
+def test_batches_bounded_by_bytes(spark, folder):
+    Path(folder, "in").mkdir(parents=True)
+    for i, size in enumerate((10, 10, 10, 5000, 10, 10)):
+        Path(folder, "in", f"{i}.json").write_text(json.dumps({"key": "k" * size}))
+    stream = stream_json(spark, f"{folder}/in", MESSAGE, bytes_per_trigger=1000)
+    seen = []
+    await_all([for_each_batch(stream, lambda batch, _: seen.append(batch.count()), Job("b", f"{folder}/c"))])
+    assert sum(seen) == 6 and len(seen) >= 2
+    with pytest.raises(ValueError):
+        stream_files(spark, "json", f"{folder}/in", MESSAGE, 1, bytes_per_trigger="1g")
+
+
 def test_archive(spark, folder):
     Path(folder, "in").mkdir(parents=True)
     for i in range(3):

@@ -233,6 +233,21 @@ def test_files_without_the_keys_of_a_batch_are_skipped(spark, folder, kind):
         assert t.read().count() == 8000 and t.read().where("n = 0").count() == 3
 
 
+def test_messages_are_looked_up_in_their_own_partitions(spark, folder):
+    t = message_table(spark, folder)
+    log = spark.range(40).selectExpr("string(id) AS key", "'v' AS value", "concat('t', id % 4) AS topic", "id % 2 AS partition", "id AS offset",
+                                     "timestamp'2024-01-01' AS timestamp")
+    for batch, part in enumerate((log, log.where("topic = 't1'"), log.withColumn("offset", F.col("offset") + 20))):
+        t.insert_new(part, "w", batch, range_column="offset")
+    assert t.read().count() == 60 and not Path(folder, "data", "writer=w", "batch=1", "topic=t1").exists()
+    found = t._asked(t.read(), log.where("topic = 't1'"), "offset", "0", "39")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "topic" in filters and "t1" in filters and "partition" in filters and found.count() == 10
+    with pytest.raises(ValueError):
+        InsertTable(spark, f"{folder}-2", ROW, ["k"], parted_by=["v"])
+
+
 def test_batches_of_many_keys_ask_by_range(spark, folder, monkeypatch):
     monkeypatch.setattr(staged, "ASKED_VALUES", 5)
     t = InsertTable(spark, folder, ROW, ["k"])

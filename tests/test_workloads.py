@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from strata.queries import ORACLES, QUERIES
-from strata.__main__ import parse, run
+from strata.__main__ import _connection, parse, run
 
 from .conftest import rows
 from .test_gym import first_set
@@ -67,11 +67,25 @@ def test_gym_from_the_command_line_and_views(spark, folder):
 
 
 def test_arguments():
-    for bad in (["words", "--input", "x"], ["line_items", "--input", "x", "--root", "y"], ["other", "--input", "x"]):
+    for bad in (["words", "--input", "x"], ["line_items", "--input", "x", "--root", "y"], ["other", "--input", "x"],
+                ["trades", "--root", "y"], ["consume", "--root", "y"], ["produce", "--servers", "h:1", "--topic", "t", "--root", "y"]):
         with pytest.raises(SystemExit):
             parse(bad)
 
 
+@pytest.mark.parametrize("workload", ["consume", "ingest_log", "produce"])
+def test_log_workloads_reach_for_the_connector(spark, folder, workload):
+    """The connector is not here; all that comes before it is."""
+    Path(folder).mkdir(parents=True)
+    Path(folder, "secret").write_text("word\n")
+    args = [workload, "--input", invoices(f"{folder}/in"), "--root", f"{folder}/out", "--servers", "h:1", "--topic", "t",
+            "--user", "u", "--password-file", f"{folder}/secret", "--protocol", "SASL_SSL", "--mechanism", "PLAIN"]
+    options = _connection(parse(args)).options()
+    assert options["kafka.bootstrap.servers"] == "h:1" and "username='u' password='word'" in options["kafka.sasl.jaas.config"]
+    with pytest.raises(Exception, match="kafka"):
+        run(spark, args)
+
+
 def test_every_query_has_sql_that_runs():
     duck = duckdb.connect()
     for path in Path(SMALL).glob("*.parquet"):
