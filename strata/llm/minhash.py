@@ -98,9 +98,9 @@ def _with_signatures(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _matching(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
-    """(a, b, matches) of the pairs whose signatures match in ``least`` coordinates: the rest of the count, from the signatures."""
+    """The pairs whose signatures match in ``least`` coordinates, with their ``matches``: the rest of the count, from the signatures."""
     equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return _with_signatures(pairs.select("a", "b"), reps).select("a", "b", equal.alias("matches")).where(F.col("matches") >= least)
+    return _with_signatures(pairs, reps).select(*pairs.columns, equal.alias("matches")).where(F.col("matches") >= least)
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -184,7 +184,7 @@ def _by_tokens(star: DataFrame, near: DataFrame, reps: DataFrame, least: int, me
     apart = (
         star.join(near.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
         .join(near.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-        .select("a", "b", "matches", F.coalesce("ca", "a").alias("component"), F.coalesce("cb", "b").alias("firsts"))
+        .select("a", "b", "n", "matches", F.coalesce("ca", "a").alias("component"), F.coalesce("cb", "b").alias("firsts"))
     )
     open_groups = stages.keep(
         apart.groupBy("b").agg(F.min(F.least("component", "firsts")).alias("low"), F.max(F.greatest("component", "firsts")).alias("high"),
@@ -194,15 +194,14 @@ def _by_tokens(star: DataFrame, near: DataFrame, reps: DataFrame, least: int, me
     low = F.least(F.col("matches"), F.lit(met - 1))
     group = stages.keep(
         apart.join(open_groups, "b", "left_semi").where(F.lit(COORDINATES) - F.col("matches") >= F.lit(least) - low)
-        .select("a", "b", "matches", "component"), "stars")
+        .select("a", "b", "n", "matches", "component"), "stars")
     other = F.filter(
         F.transform("sa", lambda v, i: F.when(v != F.element_at("sb", i + 1), i.cast("bigint") * (1 << 32) + v)), lambda x: x.isNotNull())
-    sized = reps.select(F.col("id").alias("a"), F.col("n_shingles").alias("n"))
-    entries = _with_signatures(group.select("a", "b"), reps).select("a", "b", F.explode(other).alias("e"))
+    entries = _with_signatures(group, reps).select("b", "a", "n", "matches", "component", F.explode(other).alias("e"))
     df = entries.groupBy("b", "e").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = entries.join(df, ["b", "e"]).groupBy("b", "a").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("all"))
     posted = (
-        ranked.join(group, ["b", "a"]).join(sized, "a")
+        entries.join(df, ["b", "e"]).groupBy("b", "a", "n", "matches", "component")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("all"))
         .select("b", "a", "n", "matches", "component", F.size("all").alias("shared"), F.posexplode("all").alias("at", "x"))
         # Values that no other document of the group has come first and meet nothing.
         .select("b", F.col("x.e").alias("e"), "a", "n", "matches", "component",
@@ -264,7 +263,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
         prefix.groupBy("token").agg(F.min(F.struct((-F.col("score")).alias("rank"), "id")).alias("first"))
         .select("token", F.col("first.id").alias("b"))
     )
-    star = prefix.select("token", F.col("id").alias("a")).join(first, "token").where("a <> b").select("a", "b").distinct()
+    star = prefix.select("token", F.col("id").alias("a"), "n").join(first, "token").where("a <> b").select("a", "b", "n").distinct()
     star = stages.keep(_matching(star, reps, 0), "star")
     # Deltas are exact at any distance, so more is compared here than can be linked.
     compared = stages.keep(_compared(star.where(F.col("matches") >= met).select("a", "b"), texts, words, percent), "compared")
