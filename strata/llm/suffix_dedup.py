@@ -70,9 +70,19 @@ def _chunks(keys: np.ndarray, texts: list[bytes]) -> Iterator[tuple[np.ndarray,
 
 
 def surroundings(codes: np.ndarray, at: np.ndarray, reach: int, size: int) -> np.ndarray:
-    """The ``size`` bytes from ``reach`` before each place, with ends outside the texts."""
+    """The ``size`` bytes from ``reach`` before each place, with ends for all outside its own document.
+
+    What lies beyond the document is no part of them: groups of documents are read more than once, and their rows may come in
+    another order each time.
+    """
     padded = np.concatenate((np.full(reach, _END, np.uint8), codes, np.full(size, _END, np.uint8)))
-    return np.lib.stride_tricks.sliding_window_view(padded, size)[at]
+    rows = np.lib.stride_tricks.sliding_window_view(padded, size)[at]
+    cut = np.flatnonzero(~whole(padded, size)[at])
+    outside = rows[cut] == _END
+    outside[:, :reach] = np.logical_or.accumulate(outside[:, :reach][:, ::-1], axis=1)[:, ::-1]
+    outside[:, reach:] = np.logical_or.accumulate(outside[:, reach:], axis=1)
+    rows[cut] = np.where(outside, np.uint8(_END), rows[cut])
+    return rows
 
 
 def _labels(rows: np.ndarray) -> np.ndarray:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -48,6 +49,21 @@ def test_against_all_strings(spark, seed, monkeypatch):
     assert result(s.repeated(df, unit_bytes=3000, hot_groups=3 - seed)) == brute(docs)
 
 
+def test_rows_in_another_order_at_each_pass(spark):
+    """Shuffled rows come as their blocks arrive: what is said of a document must not depend on the rows beside it."""
+    rng = random.Random(5)
+    pool = ["".join(rng.choices("abcdefgh", k=n)) for n in (50, 60, 75, 90)]
+    docs = [(k, rng.choice(pool) + "".join(rng.choices("ijklm", k=k % 4))) for k in range(80)]
+
+    def shuffled(frames):
+        for frame in frames:
+            yield frame.sample(frac=1, random_state=time.time_ns() % 2 ** 32)
+
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).mapInPandas(shuffled, "doc_id long, text string")
+    assert result(s.repeated(df, unit_bytes=1000)) == brute(docs)
+    assert result(s.repeated(df, unit_bytes=1000, hot_groups=2)) == brute(docs)
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     assert result(s.repeated(docs)) == brute([tuple(r) for r in docs.collect()])
