@@ -131,6 +131,24 @@ def test_greatest_of_key(spark, folder, files):
     assert held < len(last) / 4 < totals(query).peak_state
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_greatest_of_many_keys_is_held_in_parts(spark, folder, files):
+    """State is called for parts of the keys, not for each of 1,500; keys stay apart by type, null and microsecond."""
+    data = [(at(0), i % 1500 if i % 10 else None, dt.datetime(2024, 1, 1, 0, 0, 0, i % 3), -0.0 if i % 2 else 0.0, at(i)) for i in range(3000)]
+    df = spark.createDataFrame(data, "login timestamp, k long, t timestamp, z double, logout timestamp")
+    stream = greatest_of_key(cut(df, f"{folder}/in", files), ["k", "t", "z", "login"], "login", "logout")
+    seen = []
+    query = for_each_batch(stream, lambda rows_, _: seen.extend(map(tuple, rows_.collect())), Job("g", f"{folder}/checkpoint"), "update")
+    assert await_all([query]) == {"g": 0}
+    last = {}
+    for k, t, z, login, logout in seen:
+        assert (k, t, z) not in last or logout > last[k, t, z]
+        last[k, t, z] = logout
+    wanted = {(r.k, r.t, r.z): r.m for r in df.groupBy("k", "t", "z").agg(F.max("logout").alias("m")).collect()}
+    assert last == wanted and len(wanted) > 1000
+    assert state(spark, f"{folder}/checkpoint", stateVarName="greatest").count() <= 256
+
+
 # -- chained joins -----------------------------------------------------------------------
 
 
