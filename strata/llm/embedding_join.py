@@ -59,12 +59,16 @@ def matched(left: np.ndarray, right: np.ndarray, given: tuple[np.ndarray, np.nda
     at = slice(edges[block], edges[block + 1])
     a32, b32 = left[:, at].astype(np.float32), right[:, at].astype(np.float32)
     a2, b2 = (a32 * a32).sum(axis=1), (b32 * b32).sum(axis=1)
+    # One product gives the squared distances: with the squares as two more columns of each side.
+    a32 = np.column_stack((-2 * a32, a2, np.ones_like(a2)))
+    b32 = np.column_stack((b32, np.ones_like(b2), b2))
     limit = np.float32(share[block] + 1e-5)
     for i in range(0, len(left), _SUB):
         for j in range(i if same else 0, len(right), _SUB):
-            near = a2[i:i + _SUB, None] + b2[None, j:j + _SUB] - 2 * (a32[i:i + _SUB] @ b32[j:j + _SUB].T)
-            x, y = np.nonzero(near <= limit)
-            x, y = x + i, y + j
+            near = a32[i:i + _SUB] @ b32[j:j + _SUB].T
+            hit = np.flatnonzero(near.min(axis=1) <= limit)  # few rows have any
+            x, y = np.nonzero(near[hit] <= limit)
+            x, y = hit[x] + i, y + j
             if same:
                 x, y = x[x < y], y[x < y]
             for start in range(0, len(x), _PAIRS):
