@@ -271,7 +271,9 @@ class Gym:
         stats = reading_stats(readings, [*SESSION, "end_time"])
 
         def binned(rows: DataFrame) -> DataFrame:
-            return with_bins(rows, self.tables["user_bins"].read(), self.bins_join)
+            # Groups come out of state, most of them in a batch without data, which Catalyst takes for empty: left to
+            # itself it broadcasts them all. The bins are shuffled and sorted by user in any case.
+            return with_bins(rows.hint("merge"), self.tables["user_bins"].read(), self.bins_join)
 
         return insert_new(
             stats, self.tables["workout_bpm_summary"], self.job("workout_bpm_summary"),

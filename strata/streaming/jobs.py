@@ -81,7 +81,10 @@ def insert_new(
     prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows, mode: str = "append", keep: bool = True,
 ) -> StreamingQuery:
     """Insert each batch's rows whose key is new. ``prepare`` shapes the batch first; static
-    tables it joins are read as they stand at that moment."""
+    tables it joins are read as they stand at that moment.
+
+    What Catalyst knows of a batch's size is the size of its input, not of what state adds to it. A ``prepare`` that joins rows
+    that come out of state says how, by a hint, or they may be broadcast however many they are."""
     def insert(rows: DataFrame, batch_id: int) -> None:
         _settle(table.insert_new(prepare(rows), writer_id(rows.sparkSession), batch_id, order, range_column, keep), rows)
     return for_each_batch(df, insert, job, mode)

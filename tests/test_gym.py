@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators.joins import REPORT_ORDER
+from strata.operators.joins import REPORT_ORDER, with_bins
 from strata.plans.workouts import Gym
 from strata.schemas import STORED_USER
 from strata.sources.files import stream_loaded, with_load_day
@@ -220,3 +220,25 @@ def test_continuous_mode_over_both_sets(spark, tmp_path):
     assert len(table(gym, "workout_bpm", "time")) == 4
     got = table(gym, "workout_bpm_summary", "user_id", "min_bpm", "avg_bpm", "max_bpm", "num_recordings")
     assert got == [(1, 100.0, 110.0, 120.0, 2)]
+
+
+def test_groups_that_leave_the_state_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """They leave it in a batch without data, which Catalyst takes for empty."""
+    gym, plans = Gym(spark, str(tmp_path / "landing"), str(tmp_path / "tables")), []
+    at = "timestamp_seconds({} + id * 60)".format
+    gym.tables["workout_bpm"].insert_new(spark.range(50).selectExpr(
+        "id AS user_id", "1 AS workout_id", "id AS session_id", f"{at(T0)} AS start_time", f"{at(T0 + 900)} AS end_time",
+        f"{at(T0 + 300)} AS time", "60D + id AS heartrate"), "loader", 0)
+    gym.tables["user_bins"].merge(spark.range(40).selectExpr(
+        "id AS user_id", "'18-25' AS age", "'F' AS gender", "'Town' AS city", "'CA' AS state"), "loader", 0, [])
+
+    def look(stats, bins, how):
+        joined = with_bins(stats, bins, how)
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    monkeypatch.setattr("strata.plans.workouts.with_bins", look)
+    await_all([gym.gold_summary()])
+    got = table(gym, "workout_bpm_summary", "user_id", "session_id", "age", "avg_bpm", "num_recordings")
+    assert got == sorted(((i, i, "18-25", 60.0 + i, 1) for i in range(40)), key=repr)
+    assert len(plans) > 1 and not [p for p in plans if "Broadcast" in p]
